@@ -1,0 +1,70 @@
+"""The end-to-end pipeline: raw receipts -> F0 -> F1 -> F2_CONT -> PS.
+
+Every layer is a lazy DataFrame; nothing is materialised unless the caller
+writes a layer. ``Layers`` builds each layer once per object, so several
+outputs of one run share a single plan prefix.
+"""
+
+from __future__ import annotations
+
+import datetime as dt
+from dataclasses import dataclass, field
+from functools import cached_property
+
+from pyspark.sql import DataFrame, SparkSession
+
+from ledgerly.operators.enrich import business_events, product_dimension
+from ledgerly.operators.ledger import ledger_from_events
+from ledgerly.operators.normalize import normalize_receipts
+from ledgerly.operators.postings import postings
+from ledgerly.operators.rules import RuleSet
+from ledgerly.sources.fixtures import fixture_tables
+from ledgerly.sources.tables import raw_receipts
+
+DEFAULT_POSTING_DATE = "24062024"
+
+
+@dataclass
+class Layers:
+    raw: DataFrame
+    rules: RuleSet
+    product_dim_raw: DataFrame
+    posting_date: dt.date | str | None = DEFAULT_POSTING_DATE
+    keep: list[str] = field(default_factory=list)
+
+    @cached_property
+    def product_dim(self) -> DataFrame:
+        return product_dimension(self.product_dim_raw)
+
+    @cached_property
+    def f0(self) -> DataFrame:
+        return normalize_receipts(self.raw, keep=self.keep)
+
+    @cached_property
+    def f1(self) -> DataFrame:
+        return business_events(self.f0, self.product_dim,
+                               self.rules.max_broadcast_rows)
+
+    @cached_property
+    def postings(self) -> DataFrame:
+        return postings(self.f1, self.rules)
+
+    @cached_property
+    def ledger(self) -> DataFrame:
+        return ledger_from_events(self.f1, self.rules, self.posting_date)
+
+
+def run_pipeline(raw: DataFrame, rules: RuleSet, product_dim_raw: DataFrame,
+                 posting_date: dt.date | str | None = None) -> Layers:
+    """All layers of one run over ``raw`` (lazy)."""
+    return Layers(raw, rules.validate(), product_dim_raw, posting_date)
+
+
+def fixture_layers(spark: SparkSession, sf_dir: str,
+                   posting_date: str = DEFAULT_POSTING_DATE) -> Layers:
+    """Layers over the receipts derived from the driver tables, with the
+    fixture rule tables."""
+    tabs = fixture_tables(spark)
+    rules = RuleSet.from_tables(tabs)
+    return run_pipeline(raw_receipts(spark, sf_dir), rules, tabs["product_dim"],
+                        posting_date)
