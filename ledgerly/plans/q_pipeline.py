@@ -1,15 +1,7 @@
-"""Registered queries: name -> (Spark builder, DuckDB oracle SQL or None).
-
-Every builder takes ``(spark, sf_dir)`` and reads the driver tables (or data
-Spark derives from them), so its work grows with the scale factor.
-"""
+"""Registered queries over the pipeline layers (F0, F1, F2_CONT, PS)."""
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from dataclasses import dataclass
-
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly import contracts as C
@@ -17,29 +9,7 @@ from ledgerly.operators import postings as P
 from ledgerly.operators.ledger import ledger, posting_lineage
 from ledgerly.plans import oracle as O
 from ledgerly.plans.pipeline import fixture_layers
-
-SUM_TYPE = "decimal(18,2)"
-
-
-@dataclass
-class Query:
-    build: Callable[[SparkSession, str], DataFrame]
-    sql: str | None
-
-
-REGISTRY: dict[str, Query] = {}
-
-
-def register(name: str, sql: str | None):
-    def deco(fn):
-        REGISTRY[name] = Query(fn, sql)
-        return fn
-    return deco
-
-
-def _count(*keys: str) -> str:
-    k = ", ".join(keys)
-    return f"select {k}, count(*) as n from {{src}} group by {k}"
+from ledgerly.plans.registry import SUM_TYPE, count_sql, register
 
 
 # ---- F0: receipts ----------------------------------------------------------
@@ -84,14 +54,14 @@ def q_receipt_status(spark, sf):
 
 
 @register("management_type", O.with_ctes(
-    _count("COD_AGENCIA", "COD_TIP_GESTION").format(src="f0")))
+    count_sql("f0", "COD_AGENCIA", "COD_TIP_GESTION")))
 def q_management_type(spark, sf):
     return (fixture_layers(spark, sf).f0.groupBy("COD_AGENCIA", "COD_TIP_GESTION")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("settlement_date", O.with_ctes(
-    _count("COD_EST_REC", "FEC_LIQ").format(src="f0")))
+    count_sql("f0", "COD_EST_REC", "FEC_LIQ")))
 def q_settlement_date(spark, sf):
     return (fixture_layers(spark, sf).f0.groupBy("COD_EST_REC", "FEC_LIQ")
             .agg(F.count(F.lit(1)).alias("n")))
@@ -111,7 +81,7 @@ _TRANSLATION_KEYS = ("COD_TIP_RECIB", "TR_COD_TIP_RECIB", "COD_EST_REC",
                      "TR_COD_EST_RECIB", "COD_AGENCIA", "TR_COD_AGENCIA")
 
 
-@register("code_translation", O.with_ctes(_count(*_TRANSLATION_KEYS).format(src="f1")))
+@register("code_translation", O.with_ctes(count_sql("f1", *_TRANSLATION_KEYS)))
 def q_code_translation(spark, sf):
     return (fixture_layers(spark, sf).f1.groupBy(*_TRANSLATION_KEYS)
             .agg(F.count(F.lit(1)).alias("n")))
@@ -120,7 +90,7 @@ def q_code_translation(spark, sf):
 _PRODUCT_KEYS = ("COD_RAMO", "COD_MODALIDAD", "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO")
 
 
-@register("product_enrich", O.with_ctes(_count(*_PRODUCT_KEYS).format(src="f1")))
+@register("product_enrich", O.with_ctes(count_sql("f1", *_PRODUCT_KEYS)))
 def q_product_enrich(spark, sf):
     return (fixture_layers(spark, sf).f1.groupBy(*_PRODUCT_KEYS)
             .agg(F.count(F.lit(1)).alias("n")))
@@ -131,7 +101,7 @@ def q_event_ids(spark, sf):
     return fixture_layers(spark, sf).f1.select("TR_ID_EVNEG", "COD_RECIBO")
 
 
-@register("event_key", O.with_ctes(_count("EVENT_NEG").format(src="ev")))
+@register("event_key", O.with_ctes(count_sql("ev", "EVENT_NEG")))
 def q_event_key(spark, sf):
     ev = P.with_event_key(fixture_layers(spark, sf).f1)
     return ev.groupBy("EVENT_NEG").agg(F.count(F.lit(1)).alias("n"))
@@ -204,14 +174,14 @@ def q_posting_amount_pick(spark, sf):
 
 
 @register("posting_description", O.with_ctes(
-    _count("TR_CUENTA_CONT", "TR_CC_DES").format(src="postings")))
+    count_sql("postings", "TR_CUENTA_CONT", "TR_CC_DES")))
 def q_posting_description(spark, sf):
     return (fixture_layers(spark, sf).postings.groupBy("TR_CUENTA_CONT", "TR_CC_DES")
             .agg(F.count(F.lit(1)).alias("n")))
 
 
 @register("posting_attributes", O.with_ctes(
-    _count("TR_COD_TIP_EVCON", "TR_ID_EVCON", "TR_NAT_EVCON").format(src="postings")))
+    count_sql("postings", "TR_COD_TIP_EVCON", "TR_ID_EVCON", "TR_NAT_EVCON")))
 def q_posting_attributes(spark, sf):
     return (fixture_layers(spark, sf).postings
             .groupBy("TR_COD_TIP_EVCON", "TR_ID_EVCON", "TR_NAT_EVCON")
@@ -255,11 +225,3 @@ _LINEAGE_COLS = ["TR_ID_EVNEG", "TR_COD_TIP_EVCON", "TR_ID_EVCON", "TR_NAT_EVCON
 def q_posting_lineage(spark, sf):
     lay = fixture_layers(spark, sf)
     return posting_lineage(lay.postings, lay.f1).select(*_LINEAGE_COLS)
-
-
-def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {k: q.build for k, q in REGISTRY.items()}
-
-
-def oracle_sql() -> dict[str, str]:
-    return {k: q.sql for k, q in REGISTRY.items() if q.sql is not None}

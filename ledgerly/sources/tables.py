@@ -75,3 +75,27 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     o = load_table(spark, sf_dir, "orders").select(*ORDERS_COLS)
     joined = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return joined.select([F.expr(e).alias(n) for e, n in zip(_RAW_EXPRS, RAW_NAMES)])
+
+
+def _months_before(month: str, n: int) -> str:
+    y, m = (int(x) for x in month.split("-"))
+    k = y * 12 + (m - 1) - n
+    return f"{k // 12:04d}-{k % 12 + 1:02d}"
+
+
+def receipts_as_of(raw: DataFrame, cut: str, archive_months: int = 12) -> DataFrame:
+    """The extract as it looked at month ``cut`` (``YYYY-MM``).
+
+    Receipts charged after ``cut`` are not yet there; cancellation and
+    collection dates after ``cut`` have not happened yet (``0001-01``);
+    receipts collected more than ``archive_months`` before ``cut`` have been
+    archived out of the extract.
+    """
+    from ledgerly.functions import column
+    never = F.lit("0001-01")
+    masked = raw
+    for c in ("F.LIQ.ANU.", "F.LIQ.COB."):
+        masked = masked.withColumn(c, F.when(column(c) <= cut, column(c)).otherwise(never))
+    cob = column("F.LIQ.COB.")
+    archived = (cob != "0001-01") & (cob < _months_before(cut, archive_months))
+    return masked.filter((column("F.LIQ.CAR.") <= cut) & ~F.coalesce(archived, F.lit(False)))
