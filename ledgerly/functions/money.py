@@ -15,4 +15,4 @@ def money(c: Column | str) -> Column:
     Every ``,`` becomes ``.``, then ``try_cast``: empty, malformed
     (``1.234,56``) or overflowing text gives NULL rather than an error.
     """
-    return F.regexp_replace(column(c), ",", ".").try_cast(MONEY)
+    return F.replace(column(c), F.lit(","), F.lit(".")).try_cast(MONEY)

@@ -119,13 +119,14 @@ def q_csv_export_roundtrip(spark, sf):
     return read_reference(spark, path, schema=C.LEDGER)
 
 
-YEAR_LABEL = F.substring(column("F.EFECTO"), 1, 4)
+def year_label():
+    return F.substring(column("F.EFECTO"), 1, 4)
 
 
 def receipt_files(spark, sf) -> str:
     """Receipts of the driver tables as one pipe file per effect year."""
     target = scratch_path(spark, "receipt-files")
-    write_receipt_files(spark, fixture_layers(spark, sf).raw, YEAR_LABEL,
+    write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
                         scratch_path(spark, "receipt-staging"), target)
     return target
 

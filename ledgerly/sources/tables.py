@@ -17,6 +17,17 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """Hash-repartition ``df`` on ``key`` only when its scan yields fewer
+    partitions than the cluster runs in parallel (a small file with one row
+    group is a single task). Large inputs already split into many scan tasks
+    and are left alone, so no shuffle is added at scale."""
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
+        return df.repartition(parallelism, key)
+    return df
+
+
 def _money_text(c: str) -> str:
     return f"replace(cast(cast({c} as decimal(13,2)) as string), '.', ',')"
 
@@ -71,7 +82,7 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     is under the size threshold, a sort-merge join otherwise. Only the listed
     columns are read from parquet.
     """
-    li = load_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS)
+    li = spread(load_table(spark, sf_dir, "lineitem").select(*LINEITEM_COLS), "l_orderkey")
     o = load_table(spark, sf_dir, "orders").select(*ORDERS_COLS)
     joined = li.join(o, li.l_orderkey == o.o_orderkey, "inner")
     return joined.select([F.expr(e).alias(n) for e, n in zip(_RAW_EXPRS, RAW_NAMES)])
