@@ -127,8 +127,8 @@ class ContractError(ValueError):
     """A frame cannot be projected onto a contract."""
 
 
-def _converted(df: DataFrame, field: StructField) -> Column:
-    source = df.schema[field.name].dataType
+def _converted(source_types: dict, field: StructField) -> Column:
+    source = source_types[field.name]
     c = F.col(f"`{field.name}`")
     if source != field.dataType:
         c = c.try_cast(field.dataType)
@@ -142,11 +142,11 @@ def conform(df: DataFrame, contract: StructType) -> DataFrame:
     dropped. This is a pure projection, so Catalyst prunes the scan to the
     contract's columns.
     """
-    present = set(df.columns)
-    missing = [f.name for f in contract.fields if f.name not in present]
+    types = {f.name: f.dataType for f in df.schema.fields}
+    missing = [f.name for f in contract.fields if f.name not in types]
     if missing:
         raise ContractError(f"missing columns for contract: {missing}")
-    return df.select([_converted(df, f) for f in contract.fields])
+    return df.select([_converted(types, f) for f in contract.fields])
 
 
 def positional(df: DataFrame, contract: StructType) -> DataFrame:

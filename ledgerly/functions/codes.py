@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerly.functions.common import column
+from ledgerly.functions.common import all_names, column, ident, lit_sql
 
 # The "never happened" date sentinel and receipt status codes.
 NEVER = "0001-01"
@@ -27,6 +27,9 @@ AGENCY_CODES = {"C": "CORR", "E": "ECOL", "X": "AGEX", "L": "SLU", "S": "SLU", "
 
 
 def management_type(mediator_type: Column | str) -> Column:
+    if all_names(mediator_type):
+        codes = ", ".join(lit_sql(c) for c in DIRECT_MEDIATOR_TYPES)
+        return F.expr(f"case when {ident(mediator_type)} in ({codes}) then 'D' else 'C' end")
     return F.when(column(mediator_type).isin(*DIRECT_MEDIATOR_TYPES), F.lit("D")) \
             .otherwise(F.lit("C"))
 
@@ -40,6 +43,13 @@ def receipt_status(charge: Column | str, cancel: Column | str,
     PT: charged, neither cancelled nor collected.
     Otherwise NA; a NULL in a rule's inputs makes that rule not match.
     """
+    if all_names(charge, cancel, collect):
+        car, anu, cob, nv = ident(charge), ident(cancel), ident(collect), lit_sql(NEVER)
+        return F.expr(
+            f"case when {car} <= {cob} and {anu} <= {cob} and {cob} <> {nv} then '{STATUS_COLLECTED}'"
+            f" when {car} <= {anu} and {anu} <> {nv} and {cob} = {nv} then '{STATUS_RETURNED}'"
+            f" when {car} <> {nv} and {anu} = {nv} and {cob} = {nv} then '{STATUS_PENDING}'"
+            f" else '{STATUS_NONE}' end")
     car, anu, cob = column(charge), column(cancel), column(collect)
     return (
         F.when((car <= cob) & (anu <= cob) & (cob != NEVER), F.lit(STATUS_COLLECTED))
@@ -68,6 +78,9 @@ def translate_codes(c: Column | str, mapping: Mapping[str, str]) -> Column:
     A ``when`` chain keeps the expression inside whole-stage codegen; mappings
     are small fixed code lists.
     """
+    if all_names(c) and mapping:
+        whens = " ".join(f"when {lit_sql(k)} then {lit_sql(v)}" for k, v in mapping.items())
+        return F.expr(f"case {ident(c)} {whens} else {ident(c)} end")
     src = column(c)
     expr = None
     for k, v in mapping.items():

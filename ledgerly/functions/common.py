@@ -11,3 +11,18 @@ def column(c: Column | str) -> Column:
     if isinstance(c, Column):
         return c
     return F.col("`" + c.replace("`", "``") + "`")
+
+
+def ident(name: str) -> str:
+    """A column name as a quoted SQL identifier."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def lit_sql(v: str) -> str:
+    return "'" + v.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def all_names(*cols) -> bool:
+    """True when every argument is a column name (then the function is built
+    as one SQL expression: one JVM call instead of one per operator)."""
+    return all(isinstance(c, str) for c in cols)

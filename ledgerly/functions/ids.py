@@ -11,10 +11,14 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from ledgerly.functions.common import column
+from ledgerly.functions.common import all_names, column, ident
 
 
 def key_text(*parts: Column | str) -> Column:
+    if all_names(*parts):
+        enc_sql = [f"coalesce(concat(cast(length({ident(p)}) as string), ':', "
+                   f"cast({ident(p)} as string)), '-')" for p in parts]
+        return F.expr(f"concat_ws(',', {', '.join(enc_sql)})")
     enc = []
     for p in parts:
         c = column(p).cast("string")

@@ -23,7 +23,8 @@ class UnknownColumnError(ValueError):
 
 def check_columns(df: DataFrame, names: Iterable[str], what: str) -> list[str]:
     names = sorted({n for n in names if n is not None})
-    missing = [n for n in names if n not in df.columns]
+    present = set(df.columns)
+    missing = [n for n in names if n not in present]
     if missing:
         raise UnknownColumnError(f"{what} names unknown columns: {missing}")
     return names
@@ -54,9 +55,10 @@ def column_equals(df: DataFrame, name_col: Column | str, value_col: Column | str
     column; NULL on either side never matches.
     """
     sel, val = column(name_col), column(value_col)
+    types = {f.name: f.dataType for f in df.schema.fields}
     expr = None
     for n in candidates:
-        dtype = df.schema[n].dataType
+        dtype = types[n]
         rhs = val if isinstance(dtype, StringType) else val.try_cast(dtype)
         cond = F.coalesce(column(n) == rhs, F.lit(False))
         expr = F.when(sel == n, cond) if expr is None else expr.when(sel == n, cond)

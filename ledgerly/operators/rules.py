@@ -1,7 +1,7 @@
 """Data-driven accounting rules.
 
 ``RuleSet`` holds the six rule tables. They are configuration: small, but read
-from storage, so their size is *checked* (one counting job) before any of them
+from storage, so their size is *checked* (one small counting job) before any of them
 is broadcast; a table over ``max_broadcast_rows`` joins by shuffle instead.
 Everything derived from the rules (amount structure, account cells, chart
 join) is computed once here, so the event side is scanned exactly once.
@@ -41,6 +41,8 @@ class RuleSet:
     max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS
     _sizes: dict = field(default=None, repr=False)
     _names: dict = field(default=None, repr=False)
+    _names_null: bool = field(default=False, repr=False)
+    _dups: list = field(default=None, repr=False)
 
     @classmethod
     def from_tables(cls, tables: dict[str, DataFrame], **kw) -> RuleSet:
@@ -87,40 +89,65 @@ class RuleSet:
                      .drop("NUM_CUENTA"))
 
     # ---- plan-time metadata ---------------------------------------------
+    def _frames(self) -> dict[str, DataFrame]:
+        return {
+            "valid_events": self.valid_event_names(),
+            "relation": self.relation(),
+            "amount_structure": self.amount_structure(),
+            "rule_accounts": self.rule_accounts(),
+        }
+
+    def _metadata(self) -> None:
+        """One job over the base rule tables (global aggregates, no joins):
+        row counts, the column names they refer to, repeated event names.
+
+        A derived frame's size is bounded by the product of its inputs'
+        counts; only when that bound exceeds ``max_broadcast_rows`` is the
+        derived frame itself counted.
+        """
+        def one(df, key, names_col=None):
+            aggs = [F.count(F.lit(1)).alias("n")]
+            aggs.append(F.sort_array(F.collect_set(names_col)).alias("names")
+                        if names_col else F.array().cast("array<string>").alias("names"))
+            aggs.append(F.max(F.col(names_col).isNull().cast("int")).alias("has_null")
+                        if names_col else F.lit(0).alias("has_null"))
+            return df.agg(*aggs).select(F.lit(key).alias("k"), "n", "names", "has_null")
+        parts = [
+            one(self.event_master, "event_master", "EVENT_NEG"),
+            one(self.event_relation, "event_relation"),
+            one(self.entry_structure, "entry_structure"),
+            one(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
+            one(self.account_rules, "account_rules", "NOM_CAMPO"),
+            one(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX"),
+        ]
+        rows = {r.k: r for r in reduce(DataFrame.unionByName, parts).collect()}
+        n = {k: r.n for k, r in rows.items()}
+        master = rows["event_master"]
+        self._dups = [] if len(master.names) + master.has_null == master.n else ["<repeated>"]
+        self._names = {"attributes": list(rows["account_rules"].names),
+                       "amounts": list(rows["entry_amounts"].names),
+                       "aux": list(rows["chart_of_accounts"].names)}
+        self._names_null = bool(rows["account_rules"].has_null)
+        bounds = {"valid_events": n["event_master"], "relation": n["event_relation"],
+                  "amount_structure": n["entry_structure"] * n["entry_amounts"],
+                  "rule_accounts": n["account_rules"] * n["chart_of_accounts"]}
+        frames = self._frames()
+        self._sizes = {k: (b if b <= self.max_broadcast_rows
+                           else frames[k].limit(self.max_broadcast_rows + 1).count())
+                       for k, b in bounds.items()}
+
     def names(self) -> dict[str, list[str]]:
-        """Column names the rules refer to (one small job, cached)."""
+        """Column names the rules refer to (cached)."""
         if self._names is None:
-            parts = [
-                self.account_rules.select(F.lit("attributes").alias("k"),
-                                          F.col("NOM_CAMPO").alias("v")),
-                self.entry_amounts.select(F.lit("amounts").alias("k"),
-                                          F.col("NOM_CAMPO").alias("v")),
-                self.chart_of_accounts.select(F.lit("aux").alias("k"),
-                                              F.col("CAMPO_AUX").alias("v")),
-            ]
-            rows = reduce(DataFrame.unionByName, parts).distinct().collect()
-            out = {"attributes": [], "amounts": [], "aux": []}
-            for r in rows:
-                if r.v is None and r.k == "attributes":
-                    raise RuleError("account rule with a NULL attribute name")
-                if r.v is not None:
-                    out[r.k].append(r.v)
-            self._names = {k: sorted(v) for k, v in out.items()}
+            self._metadata()
+        if self._names_null:
+            raise RuleError("account rule with a NULL attribute name")
         return self._names
 
     def sizes(self) -> dict[str, int]:
-        """Row counts of every frame that may be broadcast (one job, cached)."""
+        """Row counts of every frame that may be broadcast (cached)."""
         if self._sizes is None:
-            frames = {
-                "valid_events": self.valid_event_names(),
-                "relation": self.relation(),
-                "amount_structure": self.amount_structure(),
-                "rule_accounts": self.rule_accounts(),
-            }
-            parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(k).alias("k"), "n")
-                     for k, df in frames.items()]
-            rows = reduce(DataFrame.unionByName, parts).collect()
-            self._sizes = {r.k: r.n for r in rows}
+            self._metadata()
         return self._sizes
 
     def small(self, name: str, df: DataFrame) -> DataFrame:
@@ -130,11 +157,12 @@ class RuleSet:
         return df
 
     def validate(self) -> RuleSet:
-        """Reject rule tables whose joins would silently duplicate events."""
-        dup = (self.event_master.groupBy("EVENT_NEG").count()
-               .filter(F.col("count") > 1).limit(1).collect())
-        if dup:
-            raise RuleError(f"event master repeats {dup[0].EVENT_NEG!r}")
+        """Reject rule tables whose joins would silently duplicate events or
+        that name no column."""
+        if self._sizes is None:
+            self._metadata()
+        if self._dups:
+            raise RuleError("event master repeats an event name")
         self.names()
         return self
 

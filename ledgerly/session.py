@@ -24,6 +24,11 @@ SESSION_DEFAULTS = {
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
+    # Wide receipt projections compile to methods above HotSpot's 8000-byte
+    # JIT limit; without this flag they would run interpreted. Only takes
+    # effect for JVMs this builder launches.
+    "spark.driver.extraJavaOptions": "-XX:-DontCompileHugeMethods",
+    "spark.executor.extraJavaOptions": "-XX:-DontCompileHugeMethods",
 }
 
 
