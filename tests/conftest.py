@@ -14,8 +14,9 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     ckpt = tempfile.mkdtemp(prefix="ledgerly-test-ckpt-")
+    wh = tempfile.mkdtemp(prefix="ledgerly-test-wh-")
     s = build_session("local[4]", shuffle_partitions=4,
-                      extra={"spark.checkpoint.dir": ckpt})
+                      extra={"spark.checkpoint.dir": ckpt, "spark.sql.warehouse.dir": wh})
     yield s
     s.stop()
 
