@@ -124,11 +124,16 @@ def year_label():
 
 
 def receipt_files(spark, sf) -> str:
-    """Receipts of the driver tables as one pipe file per effect year."""
+    """Receipts of the driver tables as pipe files named by effect year."""
+    return receipt_file_set(spark, sf)[0]
+
+
+def receipt_file_set(spark, sf) -> tuple[str, int]:
+    """Folder and number of receipt files (one per year and writing task)."""
     target = scratch_path(spark, "receipt-files")
-    write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
-                        scratch_path(spark, "receipt-staging"), target)
-    return target
+    names = write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
+                                scratch_path(spark, "receipt-staging"), target)
+    return target, len(names)
 
 
 @register("file_provenance", O.with_ctes(
