@@ -13,11 +13,13 @@ from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ledgerly import contracts as C
 from ledgerly.operators.enrich import business_events, product_dimension
-from ledgerly.operators.ledger import ledger_from_events
+from ledgerly.operators.ledger import ledger, ledger_from_events
 from ledgerly.operators.normalize import normalize_receipts
 from ledgerly.operators.postings import postings
 from ledgerly.operators.rules import RuleSet
+from ledgerly.sinks import full_refresh
 from ledgerly.sources.fixtures import fixture_tables
 from ledgerly.sources.tables import raw_receipts
 
@@ -68,3 +70,36 @@ def fixture_layers(spark: SparkSession, sf_dir: str,
     rules = RuleSet.from_tables(tabs)
     return run_pipeline(raw_receipts(spark, sf_dir), rules, tabs["product_dim"],
                         posting_date)
+
+
+def _committed(spark: SparkSession, path: str) -> bool:
+    """True when ``path`` holds a completed write (its ``_SUCCESS`` marker)."""
+    from ledgerly.sources.files import _fs
+    fs, jvm = _fs(spark, path)
+    return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
+
+
+def publish_layers(layers: Layers, base: str, resume: bool = True) -> dict[str, str]:
+    """Full refresh of every layer under ``base``, each computed from the
+    *stored* previous layer, as separately scheduled jobs would: the lineage
+    is cut at every layer. With ``resume``, a layer whose write already
+    committed is kept, so a rerun after a failure restarts at the first
+    missing layer. The ledger uses the join form (postings x events on the
+    event id) because both layers are read from storage."""
+    spark = layers.raw.sparkSession
+    steps = [
+        ("F0", C.F0, "f0", lambda prev: layers.f0),
+        ("F1", C.F1, "f1", lambda prev: business_events(
+            prev["F0"], layers.product_dim, layers.rules.max_broadcast_rows)),
+        ("F2_CONT", C.POSTINGS, "f2_cont", lambda prev: postings(prev["F1"], layers.rules)),
+        ("PS", C.LEDGER, "ps", lambda prev: ledger(prev["F2_CONT"], prev["F1"],
+                                                   layers.posting_date)),
+    ]
+    stored, paths = {}, {}
+    for name, contract, sub, build in steps:
+        path = f"{base.rstrip('/')}/{sub}"
+        if not (resume and _committed(spark, path)):
+            full_refresh(build(stored), contract, path)
+        paths[name] = path
+        stored[name] = spark.read.parquet(path)
+    return paths

@@ -67,3 +67,17 @@ def test_plans_do_not_shuffle_events(layers):
     plan = layers.postings._jdf.queryExecution().executedPlan().toString()
     assert "SortMergeJoin" not in plan
     assert "BroadcastHashJoin" in plan
+
+
+def test_publish_layers_and_resume(spark, layers):
+    from ledgerly.plans.pipeline import publish_layers
+    from ledgerly.session import scratch_path
+    base = scratch_path(spark, "t-layers")
+    paths = publish_layers(layers, base)
+    ps = spark.read.parquet(paths["PS"])
+    assert ps.exceptAll(layers.ledger).count() == 0
+    assert layers.ledger.exceptAll(ps).count() == 0
+    # rerun: every layer is committed, nothing is rewritten
+    before = spark.read.parquet(paths["F1"]).inputFiles()
+    publish_layers(layers, base)
+    assert spark.read.parquet(paths["F1"]).inputFiles() == before
