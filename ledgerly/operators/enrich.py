@@ -69,14 +69,19 @@ def enrich_product(events: DataFrame, dim: DataFrame,
 
 
 def business_events(f0: DataFrame, dim: DataFrame,
-                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS) -> DataFrame:
+                    max_broadcast_rows: int = DEFAULT_MAX_BROADCAST_ROWS,
+                    keep: list[str] = ()) -> DataFrame:
     """F0 -> F1 (59 columns): translations, product enrichment, event id.
 
     The id hashes the receipt's natural key plus the matched dimension row, so
     reruns, retries after executor loss and streaming all give the same id.
+    ``keep`` passes extra input columns (e.g. a change type) through.
     """
     ev = enrich_product(translate_receipt_codes(f0), dim, max_broadcast_rows)
     ev = ev.withColumn("TR_ID_EVNEG", event_id(
         "COD_SOCIEDAD", "COD_RECIBO", "_DIM_RAMO", "_DIM_MODALIDAD",
         "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"))
-    return C.conform(ev, C.F1)
+    out = C.conform(ev, C.F1)
+    if keep:
+        out = ev.select(*out.columns, *keep)
+    return out

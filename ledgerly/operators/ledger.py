@@ -71,6 +71,39 @@ def ledger_lines(wide: DataFrame, posting_date: dt.date | str | None = None) ->
     """
     agg = wide.groupBy(*LEDGER_KEYS).agg(
         F.sum("TR_CC_IMP").try_cast(C.MONEY).alias("TR_CC_IMP"))
+    return _layout(agg, posting_date)
+
+
+# Signed partial sums: amount sum, posting count and non-NULL amount count,
+# each weighted by the row's sign (+1 added, -1 retracted).
+PARTIAL_COLUMNS = ["P_SUM", "P_ROWS", "P_AMOUNTS"]
+
+
+def signed_partials(wide: DataFrame, sign: str | None = None) -> DataFrame:
+    """Per-key partial sums of postings; ``sign`` names a +1/-1 column
+    (absent: every posting counts +1). Partials from any number of batches or
+    corrections add up to the ledger exactly (decimal sums)."""
+    s = F.col(sign) if sign else F.lit(1)
+    amount = F.col("TR_CC_IMP")
+    return wide.groupBy(*LEDGER_KEYS).agg(
+        F.sum(amount * s).alias("P_SUM"),
+        F.sum(s).cast("long").alias("P_ROWS"),
+        F.sum(F.when(amount.isNotNull(), s).otherwise(0)).cast("long").alias("P_AMOUNTS"))
+
+
+def ledger_from_partials(partials: DataFrame,
+                         posting_date: dt.date | str | None = None) -> DataFrame:
+    """PS from signed partials: groups whose postings all cancelled vanish,
+    a group whose amounts are all NULL stays NULL."""
+    agg = (partials.groupBy(*LEDGER_KEYS)
+           .agg(*[F.sum(c).alias(c) for c in PARTIAL_COLUMNS])
+           .filter(F.col("P_ROWS") != 0)
+           .withColumn("TR_CC_IMP", F.when(F.col("P_AMOUNTS") != 0, F.col("P_SUM"))
+                       .try_cast(C.MONEY)))
+    return _layout(agg, posting_date)
+
+
+def _layout(agg: DataFrame, posting_date: dt.date | str | None) -> DataFrame:
     date_text = posting_date_text(posting_date)
     cols = []
     for name, src in LEDGER_FIELDS.items():
@@ -102,3 +135,18 @@ def ledger_from_events(f1: DataFrame, rules: RuleSet,
     """PS straight from F1: postings carry the event columns, no join back."""
     wide = postings(f1, rules, carry=LEDGER_EVENT_COLUMNS)
     return ledger_lines(wide, posting_date)
+
+
+CHANGE_SIGN = "_SIGN"
+
+
+def ledger_corrections(changed_events: DataFrame, rules: RuleSet,
+                       change_col: str = "_change_type") -> DataFrame:
+    """Signed partials for a change set of F1 events: deleted rows and update
+    preimages retract their postings (-1), inserts and postimages add (+1).
+    Append them to the partials of the previous ledger to get the new one."""
+    sign = F.when(F.col(change_col).isin("delete", "update_preimage"), F.lit(-1)) \
+            .otherwise(F.lit(1))
+    ev = changed_events.withColumn(CHANGE_SIGN, sign)
+    wide = postings(ev, rules, carry=LEDGER_EVENT_COLUMNS + [CHANGE_SIGN])
+    return signed_partials(wide, CHANGE_SIGN)

@@ -206,9 +206,10 @@ from (
  group by {keys})"""
 
 
-def base_ctes() -> dict[str, str]:
-    """Every building block, in dependency order."""
-    ctes = {"raw": RAW_SQL}
+def base_ctes(raw: str | None = None) -> dict[str, str]:
+    """Every building block, in dependency order. ``raw`` replaces the receipt
+    extract with SQL over ``raw_all`` (the full extract)."""
+    ctes = {"raw": RAW_SQL} if raw is None else {"raw_all": RAW_SQL, "raw": raw}
     ctes.update(_rule_ctes())
     ctes["f0"] = f0_select()
     ctes["f1"] = f1_select()
@@ -229,8 +230,9 @@ from wide w join chart_of_accounts c on w.COD_CUENTA = c.NUM_CUENTA"""
     return ctes
 
 
-def with_ctes(final: str, extra: dict[str, str] | None = None) -> str:
-    ctes = base_ctes()
+def with_ctes(final: str, extra: dict[str, str] | None = None,
+              raw: str | None = None) -> str:
+    ctes = base_ctes(raw)
     ctes.update(extra or {})
     body = ",\n".join(f"{k} as (\n{v}\n)" for k, v in ctes.items())
     return f"with {body}\n{final}"

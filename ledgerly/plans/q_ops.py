@@ -117,11 +117,11 @@ OLD_CUT, NEW_CUT, ARCHIVE_MONTHS = "1995-06", "1996-06", 12
 RECENT_FROM = "1994-12"
 
 
-def _as_of_sql(cut: str) -> str:
+def _as_of_sql(cut: str, source: str = "raw") -> str:
     anu = f"""case when "F.LIQ.ANU." <= '{cut}' then "F.LIQ.ANU." else '0001-01' end"""
     cob = f"""case when "F.LIQ.COB." <= '{cut}' then "F.LIQ.COB." else '0001-01' end"""
     limit = _months_before(cut, ARCHIVE_MONTHS)
-    return f"""select * replace ({anu} as "F.LIQ.ANU.", {cob} as "F.LIQ.COB.") from raw
+    return f"""select * replace ({anu} as "F.LIQ.ANU.", {cob} as "F.LIQ.COB.") from {source}
 where "F.LIQ.CAR." <= '{cut}' and not coalesce(({cob}) <> '0001-01' and ({cob}) < '{limit}', false)"""
 
 
@@ -176,3 +176,29 @@ def q_upsert_by_key(spark, sf):
     old, new = _snapshots(spark, sf)
     updates = new.filter(F.col("FEC_EMI") > RECENT_FROM)
     return upsert(old, updates, ["COD_RECIBO"])
+
+
+@register("ledger_incremental", O.with_ctes(
+    f"select {', '.join(C.LEDGER.fieldNames())} from ps", {"ps": O.ledger_select()},
+    raw=_as_of_sql(NEW_CUT, "raw_all")))
+def q_ledger_incremental(spark, sf):
+    """Ledger of the new snapshot computed incrementally: partial sums of the
+    old snapshot plus signed corrections for the receipts that changed."""
+    from ledgerly.operators.enrich import business_events
+    from ledgerly.operators.ledger import (
+        LEDGER_EVENT_COLUMNS,
+        ledger_corrections,
+        ledger_from_partials,
+        signed_partials,
+    )
+    from ledgerly.operators.postings import postings
+    lay = fixture_layers(spark, sf)
+    rules = lay.rules.validate()
+    old, new = _snapshots(spark, sf)
+    old_f1 = business_events(old, lay.product_dim, rules.max_broadcast_rows)
+    base = signed_partials(postings(old_f1, rules, carry=LEDGER_EVENT_COLUMNS))
+    changes = snapshot_changes(old, new, ["COD_RECIBO"])
+    changed_f1 = business_events(changes, lay.product_dim, rules.max_broadcast_rows,
+                                 keep=["_change_type"])
+    delta = ledger_corrections(changed_f1, rules)
+    return ledger_from_partials(base.unionByName(delta), lay.posting_date)
