@@ -24,6 +24,9 @@ MATCH_KEYS = ["COD_SOCIEDAD", "ID_ESTRUCTURA", "COD_ASIENTO", "NATURALEZA"]
 ACCOUNT_FIELDS = ["DESC_CUENTA", "IND_TIPO", "CAMPO_AUX"]
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
+# Rules name event columns, so there can be no more distinct names than the
+# widest event frame has columns; the metadata job never collects more.
+MAX_RULE_NAMES = 10_000
 
 
 class RuleError(ValueError):
@@ -99,35 +102,47 @@ class RuleSet:
 
     def _metadata(self) -> None:
         """One job over the base rule tables (global aggregates, no joins):
-        row counts, the column names they refer to, repeated event names.
+        row counts, the column names they refer to (a bounded distinct
+        collect), repeated event names.
 
         A derived frame's size is bounded by the product of its inputs'
         counts; only when that bound exceeds ``max_broadcast_rows`` is the
         derived frame itself counted.
         """
-        def one(df, key, names_col=None):
-            aggs = [F.count(F.lit(1)).alias("n")]
-            aggs.append(F.sort_array(F.collect_set(names_col)).alias("names")
-                        if names_col else F.array().cast("array<string>").alias("names"))
-            aggs.append(F.max(F.col(names_col).isNull().cast("int")).alias("has_null")
-                        if names_col else F.lit(0).alias("has_null"))
-            return df.agg(*aggs).select(F.lit(key).alias("k"), "n", "names", "has_null")
-        parts = [
-            one(self.event_master, "event_master", "EVENT_NEG"),
-            one(self.event_relation, "event_relation"),
-            one(self.entry_structure, "entry_structure"),
-            one(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
-            one(self.account_rules, "account_rules", "NOM_CAMPO"),
-            one(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX"),
-        ]
+        def count_row(df, key):
+            return df.agg(F.count(F.lit(1)).alias("n")).select(
+                F.lit(key).alias("k"), "n", F.array().cast("array<string>").alias("names"),
+                F.lit(0).alias("has_null"))
+
+        def names_row(df, key, col):
+            # distinct, then at most MAX_RULE_NAMES + 1 values reach the collect
+            distinct = df.select(F.col(col).alias("v")).distinct().limit(MAX_RULE_NAMES + 1)
+            return distinct.agg(
+                F.sort_array(F.collect_list("v")).alias("names"),
+                F.coalesce(F.max(F.col("v").isNull().cast("int")), F.lit(0)).alias("has_null"),
+            ).select(F.lit(f"names:{key}").alias("k"), F.lit(None).cast("long").alias("n"),
+                     "names", "has_null")
+
+        tables = {"event_master": self.event_master, "event_relation": self.event_relation,
+                  "entry_structure": self.entry_structure, "entry_amounts": self.entry_amounts,
+                  "account_rules": self.account_rules,
+                  "chart_of_accounts": self.chart_of_accounts}
+        parts = [count_row(df, k) for k, df in tables.items()]
+        parts += [names_row(self.event_master, "event_master", "EVENT_NEG"),
+                  names_row(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
+                  names_row(self.account_rules, "account_rules", "NOM_CAMPO"),
+                  names_row(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX")]
         rows = {r.k: r for r in reduce(DataFrame.unionByName, parts).collect()}
-        n = {k: r.n for k, r in rows.items()}
-        master = rows["event_master"]
-        self._dups = [] if len(master.names) + master.has_null == master.n else ["<repeated>"]
-        self._names = {"attributes": list(rows["account_rules"].names),
-                       "amounts": list(rows["entry_amounts"].names),
-                       "aux": list(rows["chart_of_accounts"].names)}
-        self._names_null = bool(rows["account_rules"].has_null)
+        if any(len(r.names) > MAX_RULE_NAMES for r in rows.values()):
+            raise RuleError(f"rule tables name more than {MAX_RULE_NAMES} columns")
+        n = {k: r.n for k, r in rows.items() if not k.startswith("names:")}
+        master = rows["names:event_master"]
+        distinct_names = len(master.names) + master.has_null
+        self._dups = [] if distinct_names == n["event_master"] else ["<repeated>"]
+        self._names = {"attributes": list(rows["names:account_rules"].names),
+                       "amounts": list(rows["names:entry_amounts"].names),
+                       "aux": list(rows["names:chart_of_accounts"].names)}
+        self._names_null = bool(rows["names:account_rules"].has_null)
         bounds = {"valid_events": n["event_master"], "relation": n["event_relation"],
                   "amount_structure": n["entry_structure"] * n["entry_amounts"],
                   "rule_accounts": n["account_rules"] * n["chart_of_accounts"]}

@@ -152,3 +152,14 @@ def test_single_join_equals_pivot_union(spark, cells):
     a = P.match_rules(ln, rules)
     b = match_rules_pivot(ln, rules).select(*a.columns)
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_shuffle_path_equals_broadcast_path(spark, layers):
+    """Rule frames over the broadcast bound join by shuffle; same postings."""
+    tabs = {k: spark.sql(FX.values_sql(v, FX.FIXTURE_SCHEMAS[k]))
+            for k, v in FX.fixture_rows().items()}
+    shuffled = RuleSet.from_tables(tabs, max_broadcast_rows=0).validate()
+    assert all(v > 0 for v in shuffled.sizes().values())
+    a = P.postings(layers.f1, shuffled)
+    b = layers.postings
+    assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
