@@ -103,3 +103,26 @@ def publish_layers(layers: Layers, base: str, resume: bool = True) -> dict[str,
         paths[name] = path
         stored[name] = spark.read.parquet(path)
     return paths
+
+
+def publish_bucketed_layers(layers: Layers, base: str, buckets: int,
+                            name_prefix: str) -> dict[str, str]:
+    """Store F1 and F2_CONT as external tables bucketed (and sorted) by the
+    event id, then build PS from the stored tables: the postings x events join
+    reads matching buckets side by side, with no shuffle of either layer.
+    Pick ``buckets`` so one bucket of F1 is a comfortable task (~128-512 MB).
+    Returns the table names."""
+    spark = layers.raw.sparkSession
+    names = {"F1": f"{name_prefix}_f1", "F2_CONT": f"{name_prefix}_f2_cont"}
+
+    def save(df, name, sub):
+        (df.write.mode("overwrite").option("path", f"{base.rstrip('/')}/{sub}")
+           .bucketBy(buckets, "TR_ID_EVNEG").sortBy("TR_ID_EVNEG").saveAsTable(name))
+
+    save(C.conform(layers.f1, C.F1), names["F1"], "f1")
+    f1 = spark.table(names["F1"])
+    save(C.conform(postings(f1, layers.rules), C.POSTINGS), names["F2_CONT"], "f2_cont")
+    names["PS"] = f"{name_prefix}_ps"
+    ps = ledger(spark.table(names["F2_CONT"]), f1, layers.posting_date)
+    ps.write.mode("overwrite").option("path", f"{base.rstrip('/')}/ps").saveAsTable(names["PS"])
+    return names

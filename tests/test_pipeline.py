@@ -81,3 +81,21 @@ def test_publish_layers_and_resume(spark, layers):
     before = spark.read.parquet(paths["F1"]).inputFiles()
     publish_layers(layers, base)
     assert spark.read.parquet(paths["F1"]).inputFiles() == before
+
+
+def test_bucketed_layers_join_without_shuffle(spark, layers):
+    from ledgerly.operators.ledger import posting_lineage
+    from ledgerly.plans.pipeline import publish_bucketed_layers
+    from ledgerly.session import scratch_path
+    names = publish_bucketed_layers(layers, scratch_path(spark, "t-bkt"), 4, "t_bkt")
+    ps = spark.table(names["PS"])
+    assert ps.exceptAll(layers.ledger).count() == 0
+    assert layers.ledger.exceptAll(ps).count() == 0
+    # small test tables would be broadcast; switch that off to see the bucket join
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        j = posting_lineage(spark.table(names["F2_CONT"]), spark.table(names["F1"]))
+        plan = j._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "SortMergeJoin" in plan and "Exchange" not in plan
