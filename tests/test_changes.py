@@ -113,3 +113,19 @@ def test_incremental_ledger_equals_full(spark, sf_small):
                         lay.product_dim_raw, lay.posting_date).ledger
     assert inc.exceptAll(full).count() == 0 and full.exceptAll(inc).count() == 0
     assert business_events  # imported API stays available
+
+
+from hypothesis import HealthCheck, given, settings  # noqa: E402
+from hypothesis import strategies as st  # noqa: E402
+
+row = st.tuples(st.sampled_from(["a", "b", "c", None]), st.sampled_from(["1", "2", None]),
+                st.integers(0, 2))
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(st.lists(row, max_size=6), st.lists(row, max_size=6))
+def test_replay_property(spark, old_rows, new_rows):
+    old = spark.createDataFrame(old_rows, SCHEMA)
+    new = spark.createDataFrame(new_rows, SCHEMA)
+    ch = snapshot_changes(old, new, ["k"])
+    assert same(apply_changes(old, ch, ["k"]), new)
