@@ -15,7 +15,6 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerly import contracts as C
 
 STRUCTURE_KEYS = ["COD_SOCIEDAD", "ID_ESTRUCTURA", "COD_ASIENTO", "NOM_IMPORTE"]
 RULE_GROUP_KEYS = ["COD_SOCIEDAD", "ID_CUEN_ASIEN", "ID_ESTRUCTURA", "COD_ASIENTO",
@@ -112,37 +111,36 @@ class RuleSet:
         def count_row(df, key):
             return df.agg(F.count(F.lit(1)).alias("n")).select(
                 F.lit(key).alias("k"), "n", F.array().cast("array<string>").alias("names"),
-                F.lit(0).alias("has_null"))
+                F.lit(0).alias("has_null"), F.lit(1).cast("long").alias("max_rep"))
 
         def names_row(df, key, col):
-            # distinct, then at most MAX_RULE_NAMES + 1 values reach the collect
-            distinct = df.select(F.col(col).alias("v")).distinct().limit(MAX_RULE_NAMES + 1)
-            return distinct.agg(
+            # per distinct name its row count; at most MAX_RULE_NAMES + 1 names
+            # reach the collect, and the counts also give the table size and
+            # any repeated name
+            per_name = (df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+                        .limit(MAX_RULE_NAMES + 1))
+            return per_name.agg(
+                F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
                 F.sort_array(F.collect_list("v")).alias("names"),
                 F.coalesce(F.max(F.col("v").isNull().cast("int")), F.lit(0)).alias("has_null"),
-            ).select(F.lit(f"names:{key}").alias("k"), F.lit(None).cast("long").alias("n"),
-                     "names", "has_null")
-
-        tables = {"event_master": self.event_master, "event_relation": self.event_relation,
-                  "entry_structure": self.entry_structure, "entry_amounts": self.entry_amounts,
-                  "account_rules": self.account_rules,
-                  "chart_of_accounts": self.chart_of_accounts}
-        parts = [count_row(df, k) for k, df in tables.items()]
-        parts += [names_row(self.event_master, "event_master", "EVENT_NEG"),
-                  names_row(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
-                  names_row(self.account_rules, "account_rules", "NOM_CAMPO"),
-                  names_row(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX")]
+                F.coalesce(F.max("c"), F.lit(0)).cast("long").alias("max_rep"),
+            ).select(F.lit(key).alias("k"), "n", "names", "has_null", "max_rep")
+
+        parts = [count_row(self.event_relation, "event_relation"),
+                 count_row(self.entry_structure, "entry_structure"),
+                 names_row(self.event_master, "event_master", "EVENT_NEG"),
+                 names_row(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
+                 names_row(self.account_rules, "account_rules", "NOM_CAMPO"),
+                 names_row(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX")]
         rows = {r.k: r for r in reduce(DataFrame.unionByName, parts).collect()}
-        if any(len(r.names) > MAX_RULE_NAMES for r in rows.values()):
+        if any(len(r.names) + r.has_null > MAX_RULE_NAMES for r in rows.values()):
             raise RuleError(f"rule tables name more than {MAX_RULE_NAMES} columns")
-        n = {k: r.n for k, r in rows.items() if not k.startswith("names:")}
-        master = rows["names:event_master"]
-        distinct_names = len(master.names) + master.has_null
-        self._dups = [] if distinct_names == n["event_master"] else ["<repeated>"]
-        self._names = {"attributes": list(rows["names:account_rules"].names),
-                       "amounts": list(rows["names:entry_amounts"].names),
-                       "aux": list(rows["names:chart_of_accounts"].names)}
-        self._names_null = bool(rows["names:account_rules"].has_null)
+        n = {k: r.n for k, r in rows.items()}
+        self._dups = ["<repeated>"] if rows["event_master"].max_rep > 1 else []
+        self._names = {"attributes": list(rows["account_rules"].names),
+                       "amounts": list(rows["entry_amounts"].names),
+                       "aux": list(rows["chart_of_accounts"].names)}
+        self._names_null = bool(rows["account_rules"].has_null)
         bounds = {"valid_events": n["event_master"], "relation": n["event_relation"],
                   "amount_structure": n["entry_structure"] * n["entry_amounts"],
                   "rule_accounts": n["account_rules"] * n["chart_of_accounts"]}
@@ -194,4 +192,4 @@ def bounded_broadcast(df: DataFrame, max_rows: int) -> DataFrame:
     return F.broadcast(df) if n <= max_rows else df
 
 
-__all__ = ["RuleSet", "RuleError", "fixture_rules", "bounded_broadcast", "C"]
+__all__ = ["RuleSet", "RuleError", "fixture_rules", "bounded_broadcast"]

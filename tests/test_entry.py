@@ -1,7 +1,6 @@
 """Driver contract and oracle agreement at sf0.001 for a sample of queries."""
 
 import decimal
-import os
 
 import duckdb
 import pytest
