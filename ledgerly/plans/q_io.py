@@ -9,7 +9,7 @@ from ledgerly.functions import column, file_prefix, management_type
 from ledgerly.operators.enrich import product_dimension
 from ledgerly.operators.normalize import normalize_receipts
 from ledgerly.plans import oracle as O
-from ledgerly.plans.pipeline import fixture_layers
+from ledgerly.plans.layers import fixture_layers
 from ledgerly.plans.registry import SUM_TYPE, register
 from ledgerly.session import scratch_path
 from ledgerly.sinks import export_csv, full_refresh

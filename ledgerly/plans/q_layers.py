@@ -8,7 +8,7 @@ from ledgerly import contracts as C
 from ledgerly.operators import postings as P
 from ledgerly.operators.ledger import ledger, posting_lineage
 from ledgerly.plans import oracle as O
-from ledgerly.plans.pipeline import fixture_layers
+from ledgerly.plans.layers import fixture_layers
 from ledgerly.plans.registry import SUM_TYPE, count_sql, register
 
 

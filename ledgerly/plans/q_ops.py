@@ -12,7 +12,7 @@ from ledgerly.operators.normalize import normalize_receipts
 from ledgerly.operators.rejects import REJECT_COLUMNS, unmatched_events
 from ledgerly.operators.sampling import CASE_COLUMN, case_sample
 from ledgerly.plans import oracle as O
-from ledgerly.plans.pipeline import fixture_layers
+from ledgerly.plans.layers import fixture_layers
 from ledgerly.plans.registry import register
 from ledgerly.sources.tables import _months_before, receipts_as_of
 

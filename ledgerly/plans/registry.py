@@ -48,4 +48,4 @@ def oracle_sql() -> dict[str, str]:
 
 
 def _load() -> None:
-    from ledgerly.plans import q_io, q_ops, q_pipeline, q_stream  # noqa: F401
+    from ledgerly.plans import q_io, q_layers, q_ops, q_stream  # noqa: F401

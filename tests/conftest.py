@@ -28,5 +28,5 @@ def sf_small():
 
 @pytest.fixture(scope="session")
 def layers(spark, sf_small):
-    from ledgerly.plans.pipeline import fixture_layers
+    from ledgerly.plans.layers import fixture_layers
     return fixture_layers(spark, sf_small)

@@ -103,7 +103,7 @@ def test_signed_partials_cancel_and_keep_null(spark):
 
 def test_incremental_ledger_equals_full(spark, sf_small):
     from ledgerly.operators.enrich import business_events
-    from ledgerly.plans.pipeline import fixture_layers, run_pipeline
+    from ledgerly.plans.layers import fixture_layers, run_pipeline
     from ledgerly.plans.q_ops import NEW_CUT, ARCHIVE_MONTHS
     from ledgerly.plans.registry import queries
     from ledgerly.sources.tables import receipts_as_of

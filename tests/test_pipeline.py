@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerly.operators import postings as P
 from ledgerly.operators.ledger import ledger
-from ledgerly.plans.pipeline import fixture_layers
+from ledgerly.plans.layers import fixture_layers
 
 
 def test_stage_counts(layers):
@@ -70,7 +70,7 @@ def test_plans_do_not_shuffle_events(layers):
 
 
 def test_publish_layers_and_resume(spark, layers):
-    from ledgerly.plans.pipeline import publish_layers
+    from ledgerly.plans.layers import publish_layers
     from ledgerly.session import scratch_path
     base = scratch_path(spark, "t-layers")
     paths = publish_layers(layers, base)
@@ -85,7 +85,7 @@ def test_publish_layers_and_resume(spark, layers):
 
 def test_bucketed_layers_join_without_shuffle(spark, layers):
     from ledgerly.operators.ledger import posting_lineage
-    from ledgerly.plans.pipeline import publish_bucketed_layers
+    from ledgerly.plans.layers import publish_bucketed_layers
     from ledgerly.session import scratch_path
     names = publish_bucketed_layers(layers, scratch_path(spark, "t-bkt"), 4, "t_bkt")
     ps = spark.table(names["PS"])
