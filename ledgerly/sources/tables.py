@@ -32,6 +32,15 @@ def _money_text(c: str) -> str:
     return f"replace(cast(cast({c} as decimal(13,2)) as string), '.', ',')"
 
 
+def _month_text(c: str, shift: int = 0) -> str:
+    """``YYYY-MM`` of timestamp ``c`` moved ``shift`` months, by integer
+    arithmetic on year and month (same text as formatting the shifted
+    timestamp, without calendar arithmetic per row)."""
+    idx = f"(year({c}) * 12 + month({c}) - 1 + {shift})"
+    return (f"concat(lpad(cast(div({idx}, 12) as string), 4, '0'), '-', "
+            f"lpad(cast(pmod({idx}, 12) + 1 as string), 2, '0'))")
+
+
 # One expression per raw field, in file order.
 _RAW_EXPRS = [
     "cast(o_orderkey as string)",
@@ -52,18 +61,16 @@ _RAW_EXPRS = [
     _money_text("o_totalprice"),
     "substr(cast(o_orderdate as string), 1, 10)",
     "substr(cast(o_orderdate + interval 1 year as string), 1, 10)",
-    "substr(cast(o_orderdate as string), 1, 7)",
-    "case when l_returnflag = 'R' then substr(cast(l_shipdate as string), 1, 7) "
-    "else '0001-01' end",
-    "case when l_linestatus = 'F' then "
-    "substr(cast(l_shipdate + interval 1 month as string), 1, 7) else '0001-01' end",
+    _month_text("o_orderdate"),
+    f"case when l_returnflag = 'R' then {_month_text('l_shipdate')} else '0001-01' end",
+    f"case when l_linestatus = 'F' then {_month_text('l_shipdate', 1)} else '0001-01' end",
     "cast(null as string)",
     "case substr(o_orderpriority, 1, 1) when '1' then 'RPA' when '2' then 'RPA' "
     "when '3' then 'RSUP' else 'REXT' end",
     "cast(o_custkey % 50 as string)",
     "substr('CEXLSUA', cast(l_suppkey % 7 as int) + 1, 1)",
     "cast(l_suppkey as string)",
-    "substr(cast(l_shipdate as string), 1, 7)",
+    _month_text("l_shipdate"),
     "'N'",
     "'0,00'",
 ]
