@@ -22,6 +22,11 @@ from ledgerly.operators.rules import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadca
 
 DIM_COLUMNS = ["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo de Negocio"]
 
+# Natural key first, then the rest of the receipt, then the matched product row.
+EVENT_ID_PARTS = (["COD_SOCIEDAD", "COD_RECIBO"]
+                  + [c for c in C.F0_NAMES if c not in ("COD_SOCIEDAD", "COD_RECIBO")]
+                  + ["_DIM_RAMO", "_DIM_MODALIDAD", "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"])
+
 
 def product_dimension(raw_dim: DataFrame) -> DataFrame:
     """Reference CSV -> product dimension: the four used columns, distinct,
@@ -73,14 +78,14 @@ def business_events(f0: DataFrame, dim: DataFrame,
                     keep: list[str] = ()) -> DataFrame:
     """F0 -> F1 (59 columns): translations, product enrichment, event id.
 
-    The id hashes the receipt's natural key plus the matched dimension row, so
-    reruns, retries after executor loss and streaming all give the same id.
+    The id hashes the whole receipt (every F0 field) plus the matched
+    dimension row: reruns, retries after executor loss and streaming all give
+    the same id, two different receipts never share one (even under a
+    repeated receipt number), and only exact duplicate lines do.
     ``keep`` passes extra input columns (e.g. a change type) through.
     """
     ev = enrich_product(translate_receipt_codes(f0), dim, max_broadcast_rows)
-    ev = ev.withColumn("TR_ID_EVNEG", event_id(
-        "COD_SOCIEDAD", "COD_RECIBO", "_DIM_RAMO", "_DIM_MODALIDAD",
-        "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"))
+    ev = ev.withColumn("TR_ID_EVNEG", event_id(*EVENT_ID_PARTS))
     out = C.conform(ev, C.F1)
     if keep:
         out = ev.select(*out.columns, *keep)

@@ -118,9 +118,14 @@ def _layout(agg: DataFrame, posting_date: dt.date | str | None) -> DataFrame:
 
 
 def posting_lineage(postings_df: DataFrame, events: DataFrame) -> DataFrame:
-    """Postings joined to their event's ledger columns on the event id."""
+    """Postings joined to their event's ledger columns on the event id.
+
+    Ids are content hashes, so only exact duplicate receipt lines share one;
+    their postings are already repeated, so the event side keeps one row per
+    id (the dedup and the join use the same hash partitioning on the id).
+    """
     p = postings_df.select(*LEDGER_POSTING_COLUMNS)
-    e = events.select("TR_ID_EVNEG", *LEDGER_EVENT_COLUMNS)
+    e = events.select("TR_ID_EVNEG", *LEDGER_EVENT_COLUMNS).dropDuplicates(["TR_ID_EVNEG"])
     return p.join(e, "TR_ID_EVNEG", "inner")
 
 

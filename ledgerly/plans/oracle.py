@@ -104,7 +104,10 @@ def _key(*cols: str) -> str:
 
 
 def f1_select(source: str = "f0") -> str:
-    return f"""select {_key('s.COD_SOCIEDAD', 's.COD_RECIBO', 'd.RAMO_POL', 'd.MODALIDAD_POL', 'd.Negocio', 'd.Tipo_de_negocio')} as TR_ID_EVNEG,
+    rest = [f"s.{c}" for c in C.F0_NAMES if c not in ("COD_SOCIEDAD", "COD_RECIBO")]
+    key = _key("s.COD_SOCIEDAD", "s.COD_RECIBO", *rest, "d.RAMO_POL", "d.MODALIDAD_POL",
+               "d.Negocio", "d.Tipo_de_negocio")
+    return f"""select {key} as TR_ID_EVNEG,
  {', '.join('s.' + c for c in C.F0_NAMES)},
  case when s.COD_TIP_RECIB = 'RPA' then 'RPRI' else s.COD_TIP_RECIB end as TR_COD_TIP_RECIB,
  case s.COD_EST_REC when 'CB' then 'COB' when 'DV' then 'DEV' when 'PT' then 'PTE' else s.COD_EST_REC end as TR_COD_EST_RECIB,
