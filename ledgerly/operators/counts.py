@@ -14,3 +14,20 @@ def layer_counts(frames: dict[str, DataFrame]) -> DataFrame:
     parts = [df.agg(F.count(F.lit(1)).alias("n")).select(F.lit(name).alias("layer"), "n")
              for name, df in frames.items()]
     return reduce(DataFrame.unionByName, parts)
+
+
+def receipt_key_profile(f0: DataFrame, key: str = "COD_RECIBO") -> DataFrame:
+    """One row: receipt lines, distinct lines, distinct receipt numbers.
+
+    ``n_distinct_lines > n_receipts`` means some receipt number carries two
+    different receipts (their event ids would collide); ``n_lines >
+    n_distinct_lines`` counts re-delivered identical lines. Both aggregates
+    combine map-side, so a hot key or a mass duplicate is collapsed before the
+    shuffle.
+    """
+    lines = f0.agg(F.count(F.lit(1)).alias("n_lines"),
+                   F.count_distinct(F.col(key)).alias("n_receipts"))
+    distinct = f0.distinct().agg(F.count(F.lit(1)).alias("n_distinct_lines"))
+    return lines.unionByName(distinct, allowMissingColumns=True).agg(
+        *[F.max(c).cast("long").alias(c) for c in ("n_lines", "n_distinct_lines",
+                                                    "n_receipts")])

@@ -22,10 +22,12 @@ from ledgerly.operators.rules import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadca
 
 DIM_COLUMNS = ["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo de Negocio"]
 
-# Natural key first, then the rest of the receipt, then the matched product row.
-EVENT_ID_PARTS = (["COD_SOCIEDAD", "COD_RECIBO"]
-                  + [c for c in C.F0_NAMES if c not in ("COD_SOCIEDAD", "COD_RECIBO")]
-                  + ["_DIM_RAMO", "_DIM_MODALIDAD", "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"])
+# The receipt's natural key, then the matched product row. Hashing only the
+# key keeps the id prunable: postings and ledgers never compute F0 columns
+# they do not use. ``receipt_key_profile`` checks the key really identifies
+# the receipt.
+EVENT_ID_PARTS = ["COD_SOCIEDAD", "COD_RECIBO", "_DIM_RAMO", "_DIM_MODALIDAD",
+                  "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"]
 
 
 def product_dimension(raw_dim: DataFrame) -> DataFrame:
@@ -78,10 +80,11 @@ def business_events(f0: DataFrame, dim: DataFrame,
                     keep: list[str] = ()) -> DataFrame:
     """F0 -> F1 (59 columns): translations, product enrichment, event id.
 
-    The id hashes the whole receipt (every F0 field) plus the matched
-    dimension row: reruns, retries after executor loss and streaming all give
-    the same id, two different receipts never share one (even under a
-    repeated receipt number), and only exact duplicate lines do.
+    The id hashes the receipt number plus the matched dimension row: reruns,
+    retries after executor loss and streaming all give the same id, and a
+    dimension with a repeated normalised key still yields distinct ids. A
+    re-delivered identical line shares its id (the join-form ledger keeps one
+    event row per id, so it still posts twice, like the fused ledger).
     ``keep`` passes extra input columns (e.g. a change type) through.
     """
     ev = enrich_product(translate_receipt_codes(f0), dim, max_broadcast_rows)

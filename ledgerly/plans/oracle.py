@@ -104,8 +104,7 @@ def _key(*cols: str) -> str:
 
 
 def f1_select(source: str = "f0") -> str:
-    rest = [f"s.{c}" for c in C.F0_NAMES if c not in ("COD_SOCIEDAD", "COD_RECIBO")]
-    key = _key("s.COD_SOCIEDAD", "s.COD_RECIBO", *rest, "d.RAMO_POL", "d.MODALIDAD_POL",
+    key = _key("s.COD_SOCIEDAD", "s.COD_RECIBO", "d.RAMO_POL", "d.MODALIDAD_POL",
                "d.Negocio", "d.Tipo_de_negocio")
     return f"""select {key} as TR_ID_EVNEG,
  {', '.join('s.' + c for c in C.F0_NAMES)},

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerly import contracts as C
 from ledgerly.operators.changes import snapshot_changes, upsert
-from ledgerly.operators.counts import layer_counts
+from ledgerly.operators.counts import layer_counts, receipt_key_profile
 from ledgerly.operators.filters import LIFE_LINES, NON_LIFE_LINES, line_filter
 from ledgerly.operators.normalize import normalize_receipts
 from ledgerly.operators.rejects import REJECT_COLUMNS, unmatched_events
@@ -202,3 +202,11 @@ def q_ledger_incremental(spark, sf):
                                  keep=["_change_type"])
     delta = ledger_corrections(changed_f1, rules)
     return ledger_from_partials(base.unionByName(delta), lay.posting_date)
+
+
+@register("receipt_key_profile", O.with_ctes(
+    "select (select count(*) from f0) as n_lines, "
+    "(select count(*) from (select distinct * from f0)) as n_distinct_lines, "
+    "(select count(distinct COD_RECIBO) from f0) as n_receipts"))
+def q_receipt_key_profile(spark, sf):
+    return receipt_key_profile(fixture_layers(spark, sf).f0)
