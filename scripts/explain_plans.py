@@ -24,7 +24,9 @@ NOTES = {
     "ledger_summary": "Postings carry the event columns, so PS is one HashAggregate pair "
                       "(partial before the exchange, final after) - no join back to F1.",
     "posting_lineage": "The join form for stored layers: postings and events meet on the "
-                       "unique event id (no hot keys).",
+                       "event id. The event side keeps one row per id (re-delivered "
+                       "identical lines); that aggregate and the join share one hash "
+                       "partitioning on the id, so the dedup adds no exchange.",
     "case_sample": "WindowGroupLimit appears before the exchange: at most n rows per case "
                    "leave each map task, so a huge case never lands whole in one task.",
     "snapshot_changes": "One HashAggregate over whole rows nets the two snapshots (unchanged "
