@@ -163,3 +163,25 @@ def test_shuffle_path_equals_broadcast_path(spark, layers):
     a = P.postings(layers.f1, shuffled)
     b = layers.postings
     assert a.exceptAll(b).count() == 0 and b.exceptAll(a).count() == 0
+
+
+def test_reject_reasons_no_entry_and_no_structure(spark):
+    """An event name in the master without an entry, and an entry without
+    structure lines, are reported at event and entry grain."""
+    master = spark.createDataFrame([("RPRI_COB",), ("RPRI_PTE",)], C.EVENT_MASTER)
+    relation = spark.createDataFrame([("RPRI_COB", "CB01"), ("RPRI_COB", "ZZ99")],
+                                     C.EVENT_RELATION)
+    rules = rules_with(spark, [acct("r1", 1, "COD_RAMO", "01", 1)], chart=[chart_row(1)],
+                       event_master=master, event_relation=relation)
+    ev = events(spark, [("e1", "01", "CORR", "9")])
+    pte = ev.withColumn("TR_ID_EVNEG", F.lit("e2")).withColumn("TR_COD_EST_RECIB", F.lit("PTE"))
+    dev = ev.withColumn("TR_ID_EVNEG", F.lit("e3")).withColumn("TR_COD_EST_RECIB", F.lit("DEV"))
+    rej = unmatched_events(ev.unionByName(pte).unionByName(dev), rules)
+    got = sorted((r.TR_ID_EVNEG, r.REASON, r.COD_ASIENTO, r.NATURALEZA) for r in rej.collect())
+    assert ("e1", "no_structure", "ZZ99", None) in got
+    assert ("e2", "no_entry", None, None) in got
+    assert ("e3", "invalid_event", None, None) in got
+    # CB01 lines of e1: nature-1 PRIMA matches the rule; the nature-2 lines do not
+    assert sorted(g for g in got if g[1] == "no_account_rule") == [
+        ("e1", "no_account_rule", "CB01", "2"), ("e1", "no_account_rule", "CB01", "2")]
+    assert P.postings(ev, rules).count() == 1
