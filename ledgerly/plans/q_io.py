@@ -144,3 +144,16 @@ def q_file_provenance(spark, sf):
     df = read_receipts(spark, receipt_files(spark, sf)).withColumn("SOURCE", file_prefix())
     return df.groupBy("SOURCE").agg(F.count(F.lit(1)).alias("n"),
                                     F.sum(money("IMP.PRIMA")).cast(SUM_TYPE).alias("premium"))
+
+
+@register("publish_table_roundtrip", O.with_ctes(
+    f"select {', '.join(C.LEDGER.fieldNames())} from ps", {"ps": O.ledger_select()}))
+def q_publish_table_roundtrip(spark, sf):
+    """PS saved as an external catalog table (overwrite), read back by name."""
+    import uuid
+
+    from ledgerly.sinks import publish
+    name = f"ledgerly_ps_{uuid.uuid4().hex[:8]}"
+    publish(fixture_layers(spark, sf).ledger, name, as_table=True,
+            path=scratch_path(spark, "ps_table"))
+    return spark.table(name)

@@ -16,10 +16,14 @@ def full_refresh(df: DataFrame, contract: StructType, path: str) -> str:
 
 
 def publish(df: DataFrame, target: str, mode: str = "overwrite",
-            as_table: bool = False) -> str:
-    """Write ``df`` as a catalog table (``as_table``) or a parquet path."""
+            as_table: bool = False, path: str | None = None) -> str:
+    """Write ``df`` as a catalog table (``as_table``; external when ``path`` is
+    given, so the data lives on shared storage rather than the warehouse
+    folder) or as a parquet path."""
     w = df.write.mode(mode)
     if as_table:
+        if path:
+            w = w.option("path", path)
         w.saveAsTable(target)
     else:
         w.parquet(target)
