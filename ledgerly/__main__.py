@@ -2,11 +2,11 @@
 
     python -m ledgerly --receipts <folder of pipe extracts> --rules <folder of
         rule CSVs> --out <folder> [--posting-date ddMMyyyy] [--export-csv]
-        [--stream] [--master local[8]]
+        [--stream] [--resume] [--master local[8]]
 
 Batch mode writes F0, F1, F2_CONT and PS as parquet under ``--out`` (each
-layer computed from the stored previous one, resumable), plus the reject
-report. ``--stream`` instead ingests the receipt folder as a stream into
+layer computed from the stored previous one), plus the reject report;
+``--resume`` keeps what an unfinished run over the same inputs has written. ``--stream`` instead ingests the receipt folder as a stream into
 signed ledger partials under ``--out/ps_partials`` and writes PS from them.
 ``--export-csv`` also writes PS as a ``;``-separated interface file.
 """
@@ -34,6 +34,8 @@ def parse(argv: list[str] | None = None) -> argparse.Namespace:
     ap.add_argument("--posting-date", default=None, help="ddMMyyyy (default: today)")
     ap.add_argument("--export-csv", action="store_true")
     ap.add_argument("--stream", action="store_true")
+    ap.add_argument("--resume", action="store_true",
+                    help="keep the layers an unfinished run over the same inputs has written")
     ap.add_argument("--max-files", type=int, default=1,
                     help="receipt files per micro-batch in --stream mode")
     ap.add_argument("--master", default=None)
@@ -62,7 +64,7 @@ def run(spark, args: argparse.Namespace) -> str:
     else:
         layers = run_pipeline(read_receipts(spark, args.receipts), rules,
                               tables["product_dim"], args.posting_date)
-        paths = publish_layers(layers, out)
+        paths = publish_layers(layers, out, resume=args.resume)
         ps_path = paths["PS"]
         f1 = spark.read.parquet(paths["F1"])
         unmatched_events(f1, rules).write.mode("overwrite").parquet(f"{out}/rejects")

@@ -20,13 +20,16 @@ from ledgerly.functions import (
 )
 from ledgerly.operators.rules import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
 
+# The used columns of the product table.
 DIM_COLUMNS = ["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo de Negocio"]
 
-# The receipt's natural key, then the matched product row. Hashing only the
-# key keeps the id prunable: postings and ledgers never compute F0 columns
-# they do not use. ``receipt_key_profile`` checks the key really identifies
-# the receipt.
-EVENT_ID_PARTS = ["COD_SOCIEDAD", "COD_RECIBO", "_DIM_RAMO", "_DIM_MODALIDAD",
+# The receipt's natural key, the columns the ledger joins back by
+# id, then the matched product row. Rows that share an id agree in every joined
+# column, so the join-form ledger may keep any one of them, even where two
+# receipts share a number. Leaving out the other F0 columns keeps the id
+# prunable: postings and ledgers never compute columns they do not use.
+EVENT_ID_PARTS = ["COD_SOCIEDAD", "COD_RECIBO", "COD_DIVISA", "CON_LIQUIDACION",
+                  "COD_MEDIADOR", "COD_AGENCIA", "_DIM_RAMO", "_DIM_MODALIDAD",
                   "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO"]
 
 
@@ -80,11 +83,13 @@ def business_events(f0: DataFrame, dim: DataFrame,
                     keep: list[str] = ()) -> DataFrame:
     """F0 -> F1 (59 columns): translations, product enrichment, event id.
 
-    The id hashes the receipt number plus the matched dimension row: reruns,
-    retries after executor loss and streaming all give the same id, and a
-    dimension with a repeated normalised key still yields distinct ids. A
-    re-delivered identical line shares its id (the join-form ledger keeps one
-    event row per id, so it still posts twice, like the fused ledger).
+    The id hashes the receipt number, the event columns that the ledger joins
+    back, and the matched dimension row: reruns, retries after executor loss
+    and streaming all give the same id, and a dimension with a repeated
+    normalised key still yields distinct ids. Rows that share an id (a line
+    delivered twice, or two receipts of one number that differ only in other
+    columns) are alike in all the ledger joins back, so the join-form ledger
+    posts each of them, like the fused ledger.
     ``keep`` passes extra input columns (e.g. a change type) through.
     """
     ev = enrich_product(translate_receipt_codes(f0), dim, max_broadcast_rows)

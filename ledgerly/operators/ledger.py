@@ -18,6 +18,7 @@ from ledgerly import contracts as C
 from ledgerly.operators.postings import postings
 from ledgerly.operators.rules import RuleSet
 
+# Columns, keys and layout of the ledger interface.
 LEDGER_EVENT_COLUMNS = ["COD_SOCIEDAD", "COD_DIVISA", "CON_LIQUIDACION", "COD_MEDIADOR",
                         "TR_COD_AGENCIA"]
 LEDGER_POSTING_COLUMNS = ["TR_ID_EVNEG", "TR_COD_TIP_EVCON", "TR_ID_EVCON", "TR_NAT_EVCON",
@@ -120,8 +121,9 @@ def _layout(agg: DataFrame, posting_date: dt.date | str | None) -> DataFrame:
 def posting_lineage(postings_df: DataFrame, events: DataFrame) -> DataFrame:
     """Postings joined to their event's ledger columns on the event id.
 
-    Ids are content hashes, so only exact duplicate receipt lines share one;
-    their postings are already repeated, so the event side keeps one row per
+    An id hashes every event column joined here (``EVENT_ID_PARTS``; the agency
+    through its code), so rows that share an id are equal in all of them. Their
+    postings are already there once each, so the event side keeps one row per
     id (the dedup and the join use the same hash partitioning on the id).
     """
     p = postings_df.select(*LEDGER_POSTING_COLUMNS)

@@ -5,20 +5,20 @@ against size-checked rule frames (validity gate, entry fan-out, structure
 lines, account rules). No step shuffles the event side, so a business event
 name that holds a third of all rows costs no more than any other.
 
-The account-rule match is one equi-join on the four structure keys with a
-residual predicate "event column named by the rule equals the rule's value",
-instead of one join per attribute followed by a union.
+The account-rule match is one equi-join on six keys: the four structure keys,
+the name of an attribute and its value. It needs one scan of the lines however
+many attributes there are, and one probe per attribute however many rules.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DataType, StringType
 
 from ledgerly import contracts as C
 from ledgerly.functions import (
     check_columns,
-    column_equals,
     entry_type,
     event_key,
     pick_column,
@@ -26,7 +26,7 @@ from ledgerly.functions import (
 )
 from ledgerly.operators.rules import ACCOUNT_FIELDS, MATCH_KEYS, RuleSet
 
-# Event columns every posting needs besides those the rules name.
+# Event columns every posting needs besides those the rules name.
 EVENT_COLUMNS = ["TR_ID_EVNEG", "COD_SOCIEDAD", "COD_RAMO", "TR_COD_TIP_RECIB",
                  "TR_COD_EST_RECIB", "TR_NEGOCIO", "TR_COD_TIP_NEGOCIO",
                  "TR_COD_RAMO_CONT", "TR_COD_MOD_CONT"]
@@ -70,35 +70,66 @@ def expand_lines(entries: DataFrame, rules: RuleSet) -> DataFrame:
     return entries.join(st, ["COD_ASIENTO", "COD_SOCIEDAD"], "inner")
 
 
-def _rule_side(rules: RuleSet) -> DataFrame:
+def _typed_text(value, dtype: DataType):
+    """A value in the attribute's own type, as text: equal values of one type
+    have equal text (``10`` and ``10.00`` on a decimal column)."""
+    return value if isinstance(dtype, StringType) else value.try_cast(dtype).cast("string")
+
+
+def _rule_side(lines: DataFrame, rules: RuleSet, attrs: list[str]) -> DataFrame:
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    value = F.lit(None).cast("string")
+    for n in attrs:
+        value = F.when(F.col("NOM_CAMPO") == n, _typed_text(F.col("VALOR"), types[n])).otherwise(value)
     ra = rules.rule_accounts()
     return rules.small("rule_accounts", ra.select(
         *[F.col(k).alias(f"R_{k}") for k in MATCH_KEYS],
-        F.col("NOM_CAMPO").alias("R_CAMPO"), F.col("VALOR").alias("R_VALOR"),
+        F.col("NOM_CAMPO").alias("R_CAMPO"), value.alias("R_VALOR"),
         "COD_CUENTA", *ACCOUNT_FIELDS))
 
 
-def _match_condition(lines: DataFrame, r: DataFrame, attrs: list[str]):
+def _key_condition(lines: DataFrame, r: DataFrame):
     cond = None
     for k in MATCH_KEYS:
         left = lines[k].try_cast("int") if k == "NATURALEZA" else lines[k]
         c = left == r[f"R_{k}"]
         cond = c if cond is None else cond & c
-    return cond & column_equals(lines, r.R_CAMPO, r.R_VALOR, attrs)
+    return cond
 
 
-def match_rules(lines: DataFrame, rules: RuleSet, join_type: str = "inner") -> DataFrame:
+def match_rules(lines: DataFrame, rules: RuleSet) -> DataFrame:
     """Attach every account rule whose attribute matches the event.
 
+    Each line is paired with its few (attribute name, value) pairs and joined
+    on six keys, so the cost of a line does not depend on the number of rules.
     A line matching two attributes of one rule yields two postings (any-of,
-    with multiplicity). ``join_type='left_anti'`` returns unmatched lines.
+    with multiplicity).
     """
     attrs = check_columns(lines, rules.names()["attributes"], "account rules")
-    r = _rule_side(rules)
-    joined = lines.join(r, _match_condition(lines, r, attrs), join_type)
-    if join_type == "left_anti":
-        return joined
-    return joined.drop(*[f"R_{k}" for k in MATCH_KEYS], "R_CAMPO", "R_VALOR")
+    r = _rule_side(lines, rules, attrs)
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    pairs = [F.struct(F.lit(n).alias("name"), _typed_text(F.col(f"`{n}`"), types[n]).alias("value"))
+             for n in attrs] or [F.struct(F.lit(None).cast("string").alias("name"),
+                                          F.lit(None).cast("string").alias("value"))]
+    pair = F.explode(F.array(*pairs)) if len(pairs) > 1 else pairs[0]
+    paired = lines.withColumn("_PAIR", pair).withColumns(
+        {"_NAME": F.col("_PAIR.name"), "_VALUE": F.col("_PAIR.value")}).drop("_PAIR")
+    cond = (_key_condition(paired, r) & (paired["_NAME"] == r["R_CAMPO"])
+            & (paired["_VALUE"] == r["R_VALOR"]))
+    return paired.join(r, cond, "inner").drop(
+        "_NAME", "_VALUE", *[f"R_{k}" for k in MATCH_KEYS], "R_CAMPO", "R_VALOR")
+
+
+def unmatched_lines(lines: DataFrame, rules: RuleSet) -> DataFrame:
+    """Lines that no account rule matches: one anti join per attribute, each on
+    the structure keys and the value."""
+    attrs = check_columns(lines, rules.names()["attributes"], "account rules")
+    types = {f.name: f.dataType for f in lines.schema.fields}
+    for n in attrs:
+        r = _rule_side(lines, rules, attrs).where(F.col("R_CAMPO") == n)
+        value = _typed_text(lines[n], types[n])
+        lines = lines.join(r, _key_condition(lines, r) & (value == r["R_VALOR"]), "left_anti")
+    return lines
 
 
 def posting_fields(matched: DataFrame, rules: RuleSet) -> dict:

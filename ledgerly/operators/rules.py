@@ -15,7 +15,9 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerly import contracts as C
 
+# The keys of the rule tables.
 STRUCTURE_KEYS = ["COD_SOCIEDAD", "ID_ESTRUCTURA", "COD_ASIENTO", "NOM_IMPORTE"]
 RULE_GROUP_KEYS = ["COD_SOCIEDAD", "ID_CUEN_ASIEN", "ID_ESTRUCTURA", "COD_ASIENTO",
                    "NATURALEZA", "COD_CUENTA"]
@@ -23,9 +25,6 @@ MATCH_KEYS = ["COD_SOCIEDAD", "ID_ESTRUCTURA", "COD_ASIENTO", "NATURALEZA"]
 ACCOUNT_FIELDS = ["DESC_CUENTA", "IND_TIPO", "CAMPO_AUX"]
 
 DEFAULT_MAX_BROADCAST_ROWS = 1_000_000
-# Rules name event columns, so there can be no more distinct names than the
-# widest event frame has columns; the metadata job never collects more.
-MAX_RULE_NAMES = 10_000
 
 
 class RuleError(ValueError):
@@ -101,8 +100,8 @@ class RuleSet:
 
     def _metadata(self) -> None:
         """One job over the base rule tables (global aggregates, no joins):
-        row counts, the column names they refer to (a bounded distinct
-        collect), repeated event names.
+        row counts, the event columns they refer to (at most as many as an
+        event has, and one name that is none), repeated event names.
 
         A derived frame's size is bounded by the product of its inputs'
         counts; only when that bound exceeds ``max_broadcast_rows`` is the
@@ -114,27 +113,36 @@ class RuleSet:
                 F.lit(0).alias("has_null"), F.lit(1).cast("long").alias("max_rep"))
 
         def names_row(df, key, col):
-            # per distinct name its row count; at most MAX_RULE_NAMES + 1 names
-            # reach the collect, and the counts also give the table size and
-            # any repeated name
-            per_name = (df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
-                        .limit(MAX_RULE_NAMES + 1))
+            # per distinct name its row count; the names themselves are kept
+            # only where they are event columns, plus one other to report
+            name = F.col("v")
+            known = name.isin(*C.F1.fieldNames())
+            per_name = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
+            return per_name.agg(
+                F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
+                F.sort_array(F.collect_set(F.when(known, name))).alias("names"),
+                F.min(F.when(~known, name)).alias("unknown"),
+                F.coalesce(F.max(name.isNull().cast("int")), F.lit(0)).alias("has_null"),
+            ).select(F.lit(key).alias("k"), "n", F.when(
+                F.col("unknown").isNull(), F.col("names")).otherwise(
+                F.array_append("names", "unknown")).alias("names"), "has_null",
+                F.lit(1).cast("long").alias("max_rep"))
+
+        def repeats_row(df, key, col):
+            per_name = df.groupBy(F.col(col).alias("v")).agg(F.count(F.lit(1)).alias("c"))
             return per_name.agg(
                 F.coalesce(F.sum("c"), F.lit(0)).cast("long").alias("n"),
-                F.sort_array(F.collect_list("v")).alias("names"),
-                F.coalesce(F.max(F.col("v").isNull().cast("int")), F.lit(0)).alias("has_null"),
                 F.coalesce(F.max("c"), F.lit(0)).cast("long").alias("max_rep"),
-            ).select(F.lit(key).alias("k"), "n", "names", "has_null", "max_rep")
+            ).select(F.lit(key).alias("k"), "n", F.array().cast("array<string>").alias("names"),
+                     F.lit(0).alias("has_null"), "max_rep")
 
         parts = [count_row(self.event_relation, "event_relation"),
                  count_row(self.entry_structure, "entry_structure"),
-                 names_row(self.event_master, "event_master", "EVENT_NEG"),
+                 repeats_row(self.event_master, "event_master", "EVENT_NEG"),
                  names_row(self.entry_amounts, "entry_amounts", "NOM_CAMPO"),
                  names_row(self.account_rules, "account_rules", "NOM_CAMPO"),
                  names_row(self.chart_of_accounts, "chart_of_accounts", "CAMPO_AUX")]
         rows = {r.k: r for r in reduce(DataFrame.unionByName, parts).collect()}
-        if any(len(r.names) + r.has_null > MAX_RULE_NAMES for r in rows.values()):
-            raise RuleError(f"rule tables name more than {MAX_RULE_NAMES} columns")
         n = {k: r.n for k, r in rows.items()}
         self._dups = ["<repeated>"] if rows["event_master"].max_rep > 1 else []
         self._names = {"attributes": list(rows["account_rules"].names),

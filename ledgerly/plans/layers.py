@@ -12,10 +12,11 @@ from dataclasses import dataclass, field
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ledgerly import contracts as C
 from ledgerly.operators.enrich import business_events, product_dimension
-from ledgerly.operators.ledger import ledger, ledger_from_events
+from ledgerly.operators.ledger import ledger, ledger_from_events, posting_date_text
 from ledgerly.operators.normalize import normalize_receipts
 from ledgerly.operators.postings import postings
 from ledgerly.operators.rules import RuleSet
@@ -79,14 +80,42 @@ def _committed(spark: SparkSession, path: str) -> bool:
     return fs.exists(jvm.org.apache.hadoop.fs.Path(f"{path}/_SUCCESS"))
 
 
-def publish_layers(layers: Layers, base: str, resume: bool = True) -> dict[str, str]:
+def run_fingerprint(layers: Layers) -> str:
+    """What a run depends on: every row of the receipts and of the rule and
+    product tables (as multisets), and the posting date. One aggregation per
+    table, combined before the shuffle."""
+    r = layers.rules
+    parts = [posting_date_text(layers.posting_date)]
+    for df in (layers.raw, r.event_master, r.event_relation, r.entry_structure, r.entry_amounts,
+               r.account_rules, r.chart_of_accounts, layers.product_dim_raw):
+        low, high = (F.xxhash64(F.lit(i), *[F.col(f"`{c}`") for c in df.columns])
+                     .cast("decimal(38,0)") for i in (0, 1))
+        parts += map(str, df.agg(F.count(F.lit(1)), F.sum(low), F.sum(high)).first())
+    return "/".join(parts)
+
+
+def _mark(spark: SparkSession, path: str, run: str) -> None:
+    """Note which run the layer at ``path`` belongs to (empty: none that could
+    be resumed)."""
+    spark.createDataFrame([(run,)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path}_run")
+
+
+def _belongs(spark: SparkSession, path: str, run: str) -> bool:
+    return (_committed(spark, path) and _committed(spark, f"{path}_run")
+            and [r.value for r in spark.read.text(f"{path}_run").collect()] == [run])
+
+
+def publish_layers(layers: Layers, base: str, resume: bool = False) -> dict[str, str]:
     """Full refresh of every layer under ``base``, each computed from the
     *stored* previous layer, as separately scheduled jobs would: the lineage
-    is cut at every layer. With ``resume``, a layer whose write already
-    committed is kept, so a rerun after a failure restarts at the first
-    missing layer. The ledger uses the join form (postings x events on the
-    event id) because both layers are read from storage."""
+    is cut at every layer. With ``resume``, the layers that an unfinished run
+    over the same inputs, rules and posting date has committed are kept, so it
+    restarts at the first missing layer; anything else is written anew. The
+    ledger uses the join form (postings x events on the event id) because both
+    layers are read from storage."""
     spark = layers.raw.sparkSession
+    run = run_fingerprint(layers) if resume else ""
     steps = [
         ("F0", C.F0, "f0", lambda prev: layers.f0),
         ("F1", C.F1, "f1", lambda prev: business_events(
@@ -98,8 +127,10 @@ def publish_layers(layers: Layers, base: str, resume: bool = True) -> dict[str,
     stored, paths = {}, {}
     for name, contract, sub, build in steps:
         path = f"{base.rstrip('/')}/{sub}"
-        if not (resume and _committed(spark, path)):
+        if not (resume and _belongs(spark, path, run)):
+            _mark(spark, path, "")
             full_refresh(build(stored), contract, path)
+            _mark(spark, path, run)
         paths[name] = path
         stored[name] = spark.read.parquet(path)
     return paths
@@ -111,12 +142,13 @@ def publish_bucketed_layers(layers: Layers, base: str, buckets: int,
     event id, then build PS from the stored tables: the postings x events join
     reads matching buckets side by side, with no shuffle of either layer.
     Pick ``buckets`` so one bucket of F1 is a comfortable task (~128-512 MB).
+    Rows meet by bucket before the write, so a bucket is one sorted file.
     Returns the table names."""
     spark = layers.raw.sparkSession
     names = {"F1": f"{name_prefix}_f1", "F2_CONT": f"{name_prefix}_f2_cont"}
 
     def save(df, name, sub):
-        (df.write.mode("overwrite").option("path", f"{base.rstrip('/')}/{sub}")
+        (df.repartition(buckets, "TR_ID_EVNEG").write.mode("overwrite").option("path", f"{base.rstrip('/')}/{sub}")
            .bucketBy(buckets, "TR_ID_EVNEG").sortBy("TR_ID_EVNEG").saveAsTable(name))
 
     save(C.conform(layers.f1, C.F1), names["F1"], "f1")

@@ -104,7 +104,8 @@ def _key(*cols: str) -> str:
 
 
 def f1_select(source: str = "f0") -> str:
-    key = _key("s.COD_SOCIEDAD", "s.COD_RECIBO", "d.RAMO_POL", "d.MODALIDAD_POL",
+    key = _key("s.COD_SOCIEDAD", "s.COD_RECIBO", "s.COD_DIVISA", "s.CON_LIQUIDACION",
+               "s.COD_MEDIADOR", "s.COD_AGENCIA", "d.RAMO_POL", "d.MODALIDAD_POL",
                "d.Negocio", "d.Tipo_de_negocio")
     return f"""select {key} as TR_ID_EVNEG,
  {', '.join('s.' + c for c in C.F0_NAMES)},

@@ -125,15 +125,10 @@ def year_label():
 
 def receipt_files(spark, sf) -> str:
     """Receipts of the driver tables as pipe files named by effect year."""
-    return receipt_file_set(spark, sf)[0]
-
-
-def receipt_file_set(spark, sf) -> tuple[str, int]:
-    """Folder and number of receipt files (one per year and writing task)."""
     target = scratch_path(spark, "receipt-files")
-    names = write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
-                                scratch_path(spark, "receipt-staging"), target)
-    return target, len(names)
+    write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
+                        scratch_path(spark, "receipt-staging"), target)
+    return target
 
 
 @register("file_provenance", O.with_ctes(
@@ -154,6 +149,8 @@ def q_publish_table_roundtrip(spark, sf):
 
     from ledgerly.sinks import publish
     name = f"ledgerly_ps_{uuid.uuid4().hex[:8]}"
-    publish(fixture_layers(spark, sf).ledger, name, as_table=True,
-            path=scratch_path(spark, "ps_table"))
-    return spark.table(name)
+    folder = scratch_path(spark, "ps_table")
+    publish(fixture_layers(spark, sf).ledger, name, as_table=True, path=folder)
+    stored = spark.read.schema(spark.table(name).schema).parquet(folder)
+    spark.sql(f"drop table {name}")  # external: the files stay
+    return stored

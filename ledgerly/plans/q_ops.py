@@ -2,24 +2,31 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from ledgerly import contracts as C
 from ledgerly.operators.changes import snapshot_changes, upsert
 from ledgerly.operators.counts import layer_counts, receipt_key_profile
-from ledgerly.operators.filters import LIFE_LINES, NON_LIFE_LINES, line_filter
+from ledgerly.operators.filters import LIFE_LINES, NON_LIFE_LINES, by_event, line_filter
+from ledgerly.operators.ledger import ledger
 from ledgerly.operators.normalize import normalize_receipts
+from ledgerly.operators.postings import matched_lines
 from ledgerly.operators.rejects import REJECT_COLUMNS, unmatched_events
 from ledgerly.operators.sampling import CASE_COLUMN, case_sample
 from ledgerly.plans import oracle as O
-from ledgerly.plans.layers import fixture_layers
+from ledgerly.plans.layers import fixture_layers, publish_layers
 from ledgerly.plans.registry import register
-from ledgerly.sources.tables import _months_before, receipts_as_of
+from ledgerly.session import scratch_path
+from ledgerly.sources import fixtures as FX
+from ledgerly.sources.tables import load_table, receipts_as_of
 
 _NULL = "cast(null as varchar)"
 
 
-def _reject_sql() -> str:
+def _reject_sql(extra: dict[str, str] | None = None) -> str:
     ev_cols = f"TR_ID_EVNEG, EVENT_NEG, {_NULL} as COD_ASIENTO, {_NULL} as ID_ESTRUCTURA, " \
               f"{_NULL} as NOM_IMPORTE, {_NULL} as NATURALEZA"
     line_cols = "TR_ID_EVNEG, EVENT_NEG, COD_ASIENTO, ID_ESTRUCTURA, NOM_IMPORTE, NATURALEZA"
@@ -40,7 +47,7 @@ select {line_cols}, 'no_account_rule' from lines l
                      and m.ID_ESTRUCTURA = l.ID_ESTRUCTURA and m.NOM_IMPORTE = l.NOM_IMPORTE
                      and m.NATURALEZA = l.NATURALEZA)
 union all
-select {line_cols}, 'bad_account_description' from matched where not ({O.DESCRIBABLE})""")
+select {line_cols}, 'bad_account_description' from matched where not ({O.DESCRIBABLE})""", extra)
 
 
 @register("unmatched_events", _reject_sql())
@@ -49,6 +56,116 @@ def q_unmatched_events(spark, sf):
     return unmatched_events(lay.f1, lay.rules.validate()).select(*REJECT_COLUMNS)
 
 
+# Rule tables with a gap of each kind: an event without an entry, an entry
+# without a structure, an account whose kind is no integer.
+_GAPS = {
+    "event_relation": "EVENT_NEG <> 'RSUP_PTE'",
+    "entry_structure": "COD_ASIENTO <> 'DV01'",
+}
+_BAD_ACCOUNT = 7000000002
+
+
+def _gap_rules(rules):
+    chart = rules.chart_of_accounts.withColumn("IND_TIPO", F.when(
+        F.col("NUM_CUENTA") == _BAD_ACCOUNT, "x").otherwise(F.col("IND_TIPO")))
+    return replace(rules, _sizes=None, _names=None, _dups=None, chart_of_accounts=chart,
+                   **{k: getattr(rules, k).where(v) for k, v in _GAPS.items()})
+
+
+def _gap_ctes() -> dict[str, str]:
+    own = O.base_ctes()
+    out = {k: f"select * from ({own[k]}) where {v}" for k, v in _GAPS.items()}
+    out["chart_of_accounts"] = f"""select * replace (case when NUM_CUENTA = {_BAD_ACCOUNT}
+ then 'x' else IND_TIPO end as IND_TIPO) from ({own['chart_of_accounts']})"""
+    return out
+
+
+@register("reject_reasons", _reject_sql(_gap_ctes()))
+def q_reject_reasons(spark, sf):
+    """The reject report under rules with gaps: every reason has rows."""
+    lay = fixture_layers(spark, sf)
+    return unmatched_events(lay.f1, _gap_rules(lay.rules).validate()).select(*REJECT_COLUMNS)
+
+
+# Account rules out of the suppliers: the account of every entry line follows
+# the mediator (text) or the receipt's amount of commission (a decimal, written
+# without its decimals in the rules).
+def _supplier_rules_sql() -> str:
+    entries = " union all ".join(
+        f"select '{e}' as COD_ASIENTO, '{FX.structure_id(e)}' as ID_ESTRUCTURA" for e in FX.ENTRIES)
+    cells = """select 'COD_MEDIADOR' as NOM_CAMPO, cast(s_suppkey as {text}) as VALOR,
+  cast(4000000000 + s_suppkey as decimal(10,0)) as COD_CUENTA from supplier
+ union all select distinct 'IMP_COMISIONES', cast(1 + s_suppkey % 50 as {text}),
+  cast(4100000000 + s_suppkey % 50 as decimal(10,0)) from supplier"""
+    return f"""select '{FX.COMPANY}' as COD_SOCIEDAD, concat_ws('-', NOM_CAMPO, VALOR) as ID_CUEN_ASIEN,
+ ID_ESTRUCTURA, COD_ASIENTO, n as NATURALEZA, NOM_CAMPO, VALOR, cast(null as {{text}}) as PADRE, COD_CUENTA
+from ({cells}) c, ({entries}) e, (select 1 as n union all select 2) n"""
+
+
+_SUPPLIER_CHART_SQL = f"""select concat('K', cast(COD_CUENTA as {{text}})) as ID_MAE_CUENTA,
+ '{FX.COMPANY}' as COD_SOCIEDAD, COD_CUENTA as NUM_CUENTA, concat('Cuenta ', cast(COD_CUENTA as {{text}})) as DESC_CUENTA,
+ cast(null as {{text}}) as PADRE, '0' as IND_TIPO, cast(null as {{text}}) as TABLA_AUX,
+ cast(null as {{text}}) as CAMPO_AUX
+from (select distinct COD_CUENTA from account_rules)"""
+
+
+def _supplier_match_sql() -> str:
+    rules = _supplier_rules_sql().format(text="varchar")
+    return O.with_ctes("""select l.TR_ID_EVNEG, l.COD_ASIENTO, l.NOM_IMPORTE, l.NATURALEZA, r.COD_CUENTA,
+ c.DESC_CUENTA
+from lines l join account_rules r on l.COD_SOCIEDAD = r.COD_SOCIEDAD and l.ID_ESTRUCTURA = r.ID_ESTRUCTURA
+ and l.COD_ASIENTO = r.COD_ASIENTO and try_cast(l.NATURALEZA as integer) = r.NATURALEZA
+ and ((r.NOM_CAMPO = 'COD_MEDIADOR' and l.COD_MEDIADOR = r.VALOR)
+   or (r.NOM_CAMPO = 'IMP_COMISIONES' and l.IMP_COMISIONES = try_cast(r.VALOR as decimal(13,2))))
+join chart_of_accounts c on r.COD_CUENTA = c.NUM_CUENTA""",
+        {"account_rules": rules, "chart_of_accounts": _SUPPLIER_CHART_SQL.format(text="varchar")})
+
+
+@register("supplier_account_rules", _supplier_match_sql())
+def q_supplier_account_rules(spark, sf):
+    """Account-rule match with rules that grow with the suppliers, on a text
+    and on a decimal attribute."""
+    lay = fixture_layers(spark, sf)
+    load_table(spark, sf, "supplier").createOrReplaceTempView("supplier")
+    account_rules = C.conform(spark.sql(_supplier_rules_sql().format(text="string")), C.ACCOUNT_RULES)
+    account_rules.createOrReplaceTempView("account_rules")
+    chart = C.conform(spark.sql(_SUPPLIER_CHART_SQL.format(text="string")), C.CHART_OF_ACCOUNTS)
+    rules = replace(lay.rules, _sizes=None, _names=None, _dups=None, account_rules=account_rules,
+                    chart_of_accounts=chart)
+    return matched_lines(lay.f1, rules).select("TR_ID_EVNEG", "COD_ASIENTO", "NOM_IMPORTE",
+                                               "NATURALEZA", "COD_CUENTA", "DESC_CUENTA")
+
+
+# The lines of one order as receipts of one number: they differ in mediator.
+_REUSED_SQL = 'select * replace ("POLIZA" as "N.RECIBO") from raw_all'
+_REUSED_LEDGER = O.with_ctes(f"select {', '.join(C.LEDGER.fieldNames())} from ps", {
+    "ps": O.ledger_select("wide_postings", "(select null as TR_ID_EVNEG)").replace(
+        "select p.*, e.COD_SOCIEDAD, e.COD_DIVISA, e.CON_LIQUIDACION, e.COD_MEDIADOR, e.TR_COD_AGENCIA",
+        "select p.*").replace("p join (select null as TR_ID_EVNEG) e using (TR_ID_EVNEG)", "p"),
+}, raw=_REUSED_SQL).replace("ps as (", f"""wide_postings as (select {O._posting_cols()},
+ COD_SOCIEDAD, COD_DIVISA, CON_LIQUIDACION, COD_MEDIADOR, TR_COD_AGENCIA
+ from matched where {O.DESCRIBABLE}),
+ps as (""", 1)
+
+
+@register("ledger_reused_numbers", _REUSED_LEDGER)
+def q_ledger_reused_numbers(spark, sf):
+    """The join-form ledger over receipts of which several share a number."""
+    lay = fixture_layers(spark, sf)
+    reused = replace(lay, raw=lay.raw.withColumn("N.RECIBO", F.col("POLIZA")))
+    return ledger(reused.postings, reused.f1, reused.posting_date)
+
+
+@register("event_postings", O.with_ctes(
+    f"""select {', '.join(C.POSTINGS.fieldNames())} from postings
+ where TR_ID_EVNEG in (select min(TR_ID_EVNEG) from postings)"""))
+def q_event_postings(spark, sf):
+    """All postings of one event, found by its id (the smallest one)."""
+    lay = fixture_layers(spark, sf)
+    first = lay.postings.agg(F.min("TR_ID_EVNEG")).first()[0]
+    return by_event(lay.postings, first)
+
+
 @register("layer_counts", O.with_ctes(
     "select 'RAW' as layer, count(*) as n from raw "
     "union all select 'F0', count(*) from f0 "
@@ -56,9 +173,14 @@ def q_unmatched_events(spark, sf):
     "union all select 'F2_CONT', count(*) from postings "
     "union all select 'PS', count(*) from ps", {"ps": O.ledger_select()}))
 def q_layer_counts(spark, sf):
+    """Counts of the stored layers of one run; the receipts are counted while
+    F0 is written, so nothing is computed twice."""
     lay = fixture_layers(spark, sf)
-    return layer_counts({"RAW": lay.raw, "F0": lay.f0, "F1": lay.f1,
-                         "F2_CONT": lay.postings, "PS": lay.ledger})
+    seen = Observation()
+    lay.raw = lay.raw.observe(seen, F.count(F.lit(1)).alias("n"))
+    paths = publish_layers(lay, scratch_path(spark, "counted"))
+    raw = spark.createDataFrame([("RAW", seen.get["n"])], "layer string, n long")
+    return raw.unionByName(layer_counts({k: spark.read.parquet(p) for k, p in paths.items()}))
 
 
 _LINES = NON_LIFE_LINES + LIFE_LINES
@@ -112,29 +234,26 @@ def q_case_sample(spark, sf):
     return case_sample(f0, case_dims(), ROWS_PER_CASE, ["COD_RECIBO"])
 
 
-# Snapshot months of the change-detection queries.
-OLD_CUT, NEW_CUT, ARCHIVE_MONTHS = "1995-06", "1996-06", 12
-RECENT_FROM = "1994-12"
+# Fixed value: month of the old snapshot; the new one is the whole extract.
+OLD_CUT = "1996-06"
 
 
-def _as_of_sql(cut: str, source: str = "raw") -> str:
+def _as_of_sql(cut: str) -> str:
     anu = f"""case when "F.LIQ.ANU." <= '{cut}' then "F.LIQ.ANU." else '0001-01' end"""
     cob = f"""case when "F.LIQ.COB." <= '{cut}' then "F.LIQ.COB." else '0001-01' end"""
-    limit = _months_before(cut, ARCHIVE_MONTHS)
-    return f"""select * replace ({anu} as "F.LIQ.ANU.", {cob} as "F.LIQ.COB.") from {source}
-where "F.LIQ.CAR." <= '{cut}' and not coalesce(({cob}) <> '0001-01' and ({cob}) < '{limit}', false)"""
+    number = """case when "T.MEDIADOR" = 'U' then 'U' || "N.RECIBO" else "N.RECIBO" end"""
+    return f"""select * replace ({anu} as "F.LIQ.ANU.", {cob} as "F.LIQ.COB.", {number} as "N.RECIBO")
+from raw where "F.LIQ.CAR." <= '{cut}'"""
 
 
 def _snapshot_ctes() -> dict[str, str]:
-    return {"raw_old": _as_of_sql(OLD_CUT), "raw_new": _as_of_sql(NEW_CUT),
-            "f0_old": O.f0_select("raw_old"), "f0_new": O.f0_select("raw_new")}
+    return {"raw_old": _as_of_sql(OLD_CUT), "f0_old": O.f0_select("raw_old"),
+            "f0_new": O.f0_select("raw")}
 
 
 def _snapshots(spark, sf):
     raw = fixture_layers(spark, sf).raw
-    old = normalize_receipts(receipts_as_of(raw, OLD_CUT, ARCHIVE_MONTHS))
-    new = normalize_receipts(receipts_as_of(raw, NEW_CUT, ARCHIVE_MONTHS))
-    return old, new
+    return normalize_receipts(receipts_as_of(raw, OLD_CUT)), normalize_receipts(raw)
 
 
 def _changes_sql() -> str:
@@ -162,25 +281,21 @@ def q_snapshot_changes(spark, sf):
 
 
 def _upsert_sql() -> str:
-    ctes = _snapshot_ctes()
-    ctes["upd"] = f"select * from f0_new where FEC_EMI > '{RECENT_FROM}'"
     return O.with_ctes(f"""
 select {O.F0_COLS} from f0_old o
- where not exists (select 1 from upd u where u.COD_RECIBO = o.COD_RECIBO)
+ where not exists (select 1 from f0_new u where u.COD_RECIBO = o.COD_RECIBO)
 union all
-select {O.F0_COLS} from upd""", ctes)
+select {O.F0_COLS} from f0_new""", _snapshot_ctes())
 
 
 @register("upsert_by_key", _upsert_sql())
 def q_upsert_by_key(spark, sf):
     old, new = _snapshots(spark, sf)
-    updates = new.filter(F.col("FEC_EMI") > RECENT_FROM)
-    return upsert(old, updates, ["COD_RECIBO"])
+    return upsert(old, new, ["COD_RECIBO"])
 
 
 @register("ledger_incremental", O.with_ctes(
-    f"select {', '.join(C.LEDGER.fieldNames())} from ps", {"ps": O.ledger_select()},
-    raw=_as_of_sql(NEW_CUT, "raw_all")))
+    f"select {', '.join(C.LEDGER.fieldNames())} from ps", {"ps": O.ledger_select()}))
 def q_ledger_incremental(spark, sf):
     """Ledger of the new snapshot computed incrementally: partial sums of the
     old snapshot plus signed corrections for the receipts that changed."""

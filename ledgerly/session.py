@@ -8,7 +8,6 @@ such setting (local tests) do we create one under the system temp folder.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -23,7 +22,6 @@ SESSION_DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.ui.enabled": "false",
     "spark.ui.showConsoleProgress": "false",
-    "spark.sql.sources.partitionOverwriteMode": "dynamic",
     # Wide receipt projections compile to methods above HotSpot's 8000-byte
     # JIT limit; without this flag they would run interpreted. Only takes
     # effect for JVMs this builder launches.
@@ -61,6 +59,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
     when none is configured (tests and single-machine runs)."""
     d = _configured_dir(spark)
     if d is None:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that all executors share")
         d = tempfile.mkdtemp(prefix="ledgerly-ckpt-")
         spark.conf.set(CHECKPOINT_KEY, d)
     sc = spark.sparkContext
@@ -70,9 +70,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A fresh, never reused folder under the shared checkpoint folder."""
+    """A fresh, never reused folder under the shared checkpoint folder, made
+    through the folder's own file system."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
     path = f"{base}/{label}-{uuid.uuid4().hex[:12]}"
-    if "://" not in base or base.startswith("file:"):
-        os.makedirs(path.replace("file:", "", 1), exist_ok=True)
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).mkdirs(p)
     return path

@@ -2,13 +2,12 @@
 
 from __future__ import annotations
 
-import os
-
 from pyspark.sql import DataFrame, SparkSession
 
 from ledgerly import contracts as C
 from ledgerly.sinks import export_csv
 from ledgerly.sources.csv import read_reference
+from ledgerly.sources.files import _fs
 
 # File name, separator, typed schema (None = all text, names
 # from the header) and text encoding of every rule/reference table.
@@ -32,7 +31,8 @@ def read_rule_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
     out = {}
     for key, (name, sep, schema, encoding) in RULE_FILES.items():
         path = f"{folder.rstrip('/')}/{name}"
-        if "://" not in path and not os.path.exists(path):
+        fs, jvm = _fs(spark, path)
+        if not fs.exists(jvm.org.apache.hadoop.fs.Path(path)):
             continue
         out[key] = read_reference(spark, path, sep=sep, schema=schema, encoding=encoding)
     return out

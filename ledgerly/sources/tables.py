@@ -22,12 +22,8 @@ def spread(df: DataFrame, key: str) -> DataFrame:
     partitions than the cluster runs in parallel (a small file with one row
     group is a single task). Large inputs already split into many scan tasks
     and are left alone, so no shuffle is added at scale."""
-    try:
-        parallelism = df.sparkSession.sparkContext.defaultParallelism
-        partitions = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - sessions without RDD access: leave as is
-        return df
-    if partitions < parallelism:
+    parallelism = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < parallelism:
         return df.repartition(parallelism, key)
     return df
 
@@ -99,25 +95,18 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select([F.expr(e).alias(n) for e, n in zip(_RAW_EXPRS, RAW_NAMES)])
 
 
-def _months_before(month: str, n: int) -> str:
-    y, m = (int(x) for x in month.split("-"))
-    k = y * 12 + (m - 1) - n
-    return f"{k // 12:04d}-{k % 12 + 1:02d}"
-
-
-def receipts_as_of(raw: DataFrame, cut: str, archive_months: int = 12) -> DataFrame:
-    """The extract as it looked at month ``cut`` (``YYYY-MM``).
+def receipts_as_of(raw: DataFrame, cut: str) -> DataFrame:
+    """The extract as it looked at month ``cut`` (``YYYY-MM``), from all of it.
 
     Receipts charged after ``cut`` are not yet there; cancellation and
-    collection dates after ``cut`` have not happened yet (``0001-01``);
-    receipts collected more than ``archive_months`` before ``cut`` have been
-    archived out of the extract.
+    collection dates after ``cut`` have not happened yet (``0001-01``); the
+    receipts of mediator type ``U`` still have the numbers they had before they
+    were renumbered.
     """
     from ledgerly.functions import column
-    never = F.lit("0001-01")
-    masked = raw
+    never, number = F.lit("0001-01"), column("N.RECIBO")
+    masked = raw.filter(column("F.LIQ.CAR.") <= cut)
     for c in ("F.LIQ.ANU.", "F.LIQ.COB."):
         masked = masked.withColumn(c, F.when(column(c) <= cut, column(c)).otherwise(never))
-    cob = column("F.LIQ.COB.")
-    archived = (cob != "0001-01") & (cob < _months_before(cut, archive_months))
-    return masked.filter((column("F.LIQ.CAR.") <= cut) & ~F.coalesce(archived, F.lit(False)))
+    return masked.withColumn("N.RECIBO", F.when(
+        column("T.MEDIADOR") == "U", F.concat(F.lit("U"), number)).otherwise(number))

@@ -77,10 +77,22 @@ def test_publish_layers_and_resume(spark, layers):
     ps = spark.read.parquet(paths["PS"])
     assert ps.exceptAll(layers.ledger).count() == 0
     assert layers.ledger.exceptAll(ps).count() == 0
-    # rerun: every layer is committed, nothing is rewritten
+    # a rerun writes every layer anew, also with other receipts and date
+    from dataclasses import replace
+    fewer = replace(layers, raw=layers.raw.limit(50), posting_date="01012021")
+    publish_layers(fewer, base)
+    ps = spark.read.parquet(paths["PS"])
+    assert {r[0] for r in ps.select("FECHA_CONTAB").distinct().collect()} == {"01012021"}
+    assert spark.read.parquet(paths["F0"]).count() == 50
+    # resuming keeps what the same run has committed, and only that
+    publish_layers(layers, base, resume=True)
+    assert spark.read.parquet(paths["F0"]).count() == layers.f0.count()
     before = spark.read.parquet(paths["F1"]).inputFiles()
-    publish_layers(layers, base)
+    publish_layers(layers, base, resume=True)
     assert spark.read.parquet(paths["F1"]).inputFiles() == before
+    publish_layers(fewer, base)
+    publish_layers(layers, base, resume=True)
+    assert spark.read.parquet(paths["F0"]).count() == layers.f0.count()
 
 
 def test_bucketed_layers_join_without_shuffle(spark, layers):
@@ -123,6 +135,10 @@ def test_duplicate_receipts(spark, layers):
         "n_lines": 6050, "n_distinct_lines": 6000, "n_receipts": 6000}
     changed = one.withColumn("MEDIADOR", F.lit("99999"))
     clash = run_pipeline(raw.unionByName(changed), layers.rules, layers.product_dim_raw,
-                         layers.posting_date).f0
-    assert receipt_key_profile(clash).first().asDict() == {
+                         layers.posting_date)
+    assert receipt_key_profile(clash.f0).first().asDict() == {
         "n_lines": 6050, "n_distinct_lines": 6050, "n_receipts": 6000}
+    # each of them posts to its own mediator, in both ledger forms
+    fused, joined = clash.ledger, ledger(clash.postings, clash.f1, clash.posting_date)
+    assert fused.exceptAll(joined).count() == 0 and joined.exceptAll(fused).count() == 0
+    assert joined.where("TERC = '99999'").count() > 0

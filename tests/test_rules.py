@@ -185,3 +185,30 @@ def test_reject_reasons_no_entry_and_no_structure(spark):
     assert sorted(g for g in got if g[1] == "no_account_rule") == [
         ("e1", "no_account_rule", "CB01", "2"), ("e1", "no_account_rule", "CB01", "2")]
     assert P.postings(ev, rules).count() == 1
+
+
+def test_master_of_any_size(spark):
+    names = spark.range(10_001).selectExpr("concat('E', cast(id as string)) as EVENT_NEG")
+    rules = rules_with(spark, event_master=names)
+    assert rules.validate().sizes()["valid_events"] == 10_001
+    with pytest.raises(RuleError):
+        rules_with(spark, event_master=names.unionAll(names.limit(1))).validate()
+
+
+def test_decimal_attribute_matches_in_its_own_type(spark):
+    rows = [("SSL1", "r", "CB01-E", "CB01", 1, "IMP_PRIM_TARIFA", v, None, Decimal(7000000001))
+            for v in ("100", "100.000", "100.0049", "x", None)]
+    ev = events(spark, [("e1", "04", "CORR", "M")])
+    got = P.match_rules(lines(ev, rules_with(spark, account_rows=rows)), rules_with(spark, account_rows=rows))
+    pivot = match_rules_pivot(lines(ev, rules_with(spark, account_rows=rows)),
+                              rules_with(spark, account_rows=rows))
+    assert got.count() == pivot.count()
+
+
+def test_unmatched_lines_are_those_without_a_rule(spark):
+    rules = rules_with(spark)
+    ln = lines(events(spark, [("e1", "04", "CORR", "M"), ("e2", "99", "NONE", "M"), ("e3", None, None, "M")]),
+               rules)
+    matched = {r.TR_ID_EVNEG for r in P.match_rules(ln, rules).collect()}
+    unmatched = {r.TR_ID_EVNEG for r in P.unmatched_lines(ln, rules).collect()}
+    assert matched == {"e1"} and unmatched == {"e2", "e3"}
