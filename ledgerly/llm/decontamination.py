@@ -157,13 +157,11 @@ def _scan_udf(shared: Broadcast):
     @pandas_udf(HITS)
     def scan(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         for texts in batches:
-            n, spans, items = [], [], []
             for part in chunks(texts):
-                a, s, i = scan_texts(part, shared.value)
-                n += a
-                spans += [[{"start": x, "end": y} for x, y in merge_spans(p)] for p in s]
-                items += [sorted(p) for p in i]
-            yield pd.DataFrame({"n_words": n, "spans": spans, "item_ids": items})
+                n, spans, items = scan_texts(part, shared.value)
+                yield pd.DataFrame({
+                    "n_words": n, "item_ids": [sorted(p) for p in items],
+                    "spans": [[{"start": x, "end": y} for x, y in merge_spans(p)] for p in spans]})
 
     return scan
 

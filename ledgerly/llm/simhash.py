@@ -76,8 +76,8 @@ def fingerprint_documents(docs: DataFrame, *, shingle_words: int = 3, text: str
     @pandas_udf("long")
     def fingerprint(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         for texts in batches:
-            parts = [fingerprints(p, shingle_words) for p in chunks(texts)]
-            yield pd.Series(np.concatenate([np.zeros(0, np.int64), *parts]))
+            for part in chunks(texts):
+                yield pd.Series(fingerprints(part, shingle_words))
 
     return without(docs, *{out} - {text}).withColumn(out, fingerprint(F.col(f"`{text}`")))
 

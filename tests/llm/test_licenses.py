@@ -1,0 +1,48 @@
+from ledgerly.llm import licenses as L
+from ledgerly.llm.queries import op9_license_scan
+from tests.llm.cases import crowded, frame, sample_rows
+from tests.llm.conftest import SF
+
+
+def scan(spark, *texts):
+    rows = L.scan_licenses(frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)])).collect()
+    return [r for r in sorted(rows, key=lambda r: r["doc_id"])]
+
+
+def test_query(spark, sf_docs):
+    got = {r["doc_id"]: r for r in op9_license_scan(spark, SF).collect()}
+    assert len(got) == len(sf_docs)
+    for doc, text in sf_docs:
+        assert ("Apache-2.0" in got[doc]["licenses"]) == ("Licensed under the Apache License" in (text or ""))
+        assert ("MIT" in got[doc]["licenses"]) == ("Released under the MIT License" in (text or ""))
+        assert ("GPL-3.0" in got[doc]["licenses"]) == ("GNU General Public License, version 3" in (text or ""))
+
+
+def test_every_known_sentence_is_found(spark):
+    known = [(i, s) for i, group in L.SENTENCES.items() for s in group]
+    rows = scan(spark, *[f"Some words before.\n{s.upper()}.\nand after" for _, s in known])
+    for (ident, s), r in zip(known, rows, strict=True):
+        # a sentence that holds a point of its own is known by its parts only
+        if "." in s.replace("2.0", "").replace("4.0", "").replace("3.0", "").replace("1.0", ""):
+            continue
+        assert r["sentence_ids"] == [ident], s
+
+
+def test_sequences_and_order(spark):
+    grant, notice = L.SENTENCES["mit-grant"][0], L.SENTENCES["mit-notice"][0]
+    one, two, broken = scan(
+        spark, f"MIT License\n\n{grant}.\n{notice}.",
+        "All rights reserved. Licensed under CC BY 4.0.", f"{grant}.\nsomething else.\n{notice}.")
+    assert one["licenses"] == ["MIT"]
+    assert two["licenses"] == ["Proprietary", "CC-BY-4.0"] and two["categories"] == ["permissive", "restricted"]
+    assert broken["licenses"] == [] and broken["sentence_ids"] == ["mit-grant", "mit-notice"]
+
+
+def test_edge_cases(spark):
+    df = crowded(frame(spark))
+    rows = L.scan_licenses(df).collect()
+    assert len(rows) == len(sample_rows()) and rows[0]["Extra"] == "clash"
+    for r in rows:
+        want = ["Apache-2.0", "MIT"] if (r["text"] or "").startswith("Licensed") else []
+        assert r["licenses"] == want
+    assert L.scan_licenses(df.limit(0)).count() == 0

@@ -1,0 +1,72 @@
+from pyspark.sql import functions as F
+
+from ledgerly.llm import secret_scan as S
+from ledgerly.llm.queries import op4_blob_ledger
+from tests.llm.cases import crowded, frame, sample_rows, secrets
+from tests.llm.conftest import SF
+
+
+def spans(row):
+    return [(s["start"], s["end"], s["kind"]) for s in row["spans"]]
+
+
+def test_query(spark, sf_docs):
+    got = {r["doc_id"]: r for r in op4_blob_ledger(spark, SF).collect()}
+    for doc, text in sf_docs:
+        found = secrets(text)
+        assert got[doc]["spans"] == ",".join(f"{k}:{s}:{e}" for s, e, k in found)
+        assert got[doc]["n_hex"] == sum(k == "hex" for *_, k in found)
+
+
+def test_edge_cases(spark):
+    df = crowded(frame(spark))
+    rows = S.scan_documents(df).collect()
+    assert len(rows) == len(sample_rows())
+    for r in rows:
+        assert spans(r) == secrets(r["text"]) and r["Extra"] == "clash"
+        assert (r["blob_id"] is None) == (r["text"] is None)
+    assert S.scan_documents(df.limit(0)).count() == 0
+
+
+def test_many_matches_keep_their_places(spark):
+    text = "é😀 ".join(f"token={i:08d}x{'0123456789abcdef' * 2}" for i in range(200))
+    row = S.scan_documents(frame(spark, [(1, text, "", "", 0)])).first()
+    assert spans(row) == secrets(text) and len(row["spans"]) == 400
+
+
+def test_ledger_scans_only_what_is_unseen(spark):
+    ledger = S.BlobLedger(spark)
+    df = frame(spark)
+    blobs = len({t for _, t, *_ in sample_rows() if t is not None})
+    assert ledger.scan(df, S.BASE_RULES, "v1") == blobs
+    assert ledger.scan(df, S.BASE_RULES, "v1") == 0
+    more = df.unionByName(frame(spark, [(100, "secret=newvalue123", "", "", 1), (101, "one", "", "", 1)]))
+    assert ledger.scan(more, S.BASE_RULES, "v1") == 1
+    assert ledger.scan(df, S.BASE_RULES[:1], "v2") == blobs
+    kinds = {s["kind"] for r in ledger.findings("v2").collect() for s in r["spans"]}
+    assert kinds == {"assign"}
+
+
+def test_findings_reach_all_paths(spark):
+    versions = spark.createDataFrame(
+        [("a.py", 1, "token=abcdefghij"), ("b.py", 1, "token=abcdefghij"), ("a.py", 2, "clean")],
+        "path string, version int, text string")
+    got = S.scan_documents(versions, doc_id="path").where(F.size("spans") > 0)
+    assert sorted(r["path"] for r in got.collect()) == ["a.py", "b.py"]
+
+
+def test_mask(spark):
+    rows = {r["doc_id"]: r["text"] for r in S.mask_documents(frame(spark)).collect() if r["doc_id"] is not None}
+    for doc, text, *_ in sample_rows():
+        if doc is None:
+            continue
+        found = secrets(text)
+        if not found:
+            assert rows[doc] == text
+            continue
+        out, at = "", 0
+        for s, e, _ in found:
+            if s >= at:
+                out += text[at:s] + "[SECRET]"
+            at = max(at, e)
+        assert rows[doc] == out + text[at:]
