@@ -3,7 +3,7 @@
 Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and materialises the full result with the ``noop``
 sink (every row computed, nothing collected to the driver). Each query runs
-``$BENCH_REPEAT`` times (default 2) after one warm-up of the whole pipeline;
+``$BENCH_REPEAT`` times (default 3) after one warm-up of the whole pipeline;
 the best time counts. Prints one JSON line.
 """
 
@@ -26,6 +26,7 @@ HEADLINE = [
     "ledger_summary",
     "account_rule_match",
     "account_rule_match_pivot",
+    "supplier_account_rules",
     "unmatched_events",
     "case_sample",
     "snapshot_changes",
@@ -38,7 +39,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "2"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
     only = os.environ.get("BENCH_QUERIES")
     names = only.split(",") if only else HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,

@@ -6,8 +6,10 @@
 
 Batch mode writes F0, F1, F2_CONT and PS as parquet under ``--out`` (each
 layer computed from the stored previous one), plus the reject report;
-``--resume`` keeps what an unfinished run over the same inputs has written. ``--stream`` instead ingests the receipt folder as a stream into
-signed ledger partials under ``--out/ps_partials`` and writes PS from them.
+``--resume`` keeps what an unfinished run over the same inputs has written.
+``--stream`` instead ingests the receipt folder as a stream into the same layers,
+batch by batch, with signed ledger partials under ``--out/ps_partials``, and
+writes PS from them.
 ``--export-csv`` also writes PS as a ``;``-separated interface file.
 """
 
@@ -55,10 +57,10 @@ def run(spark, args: argparse.Namespace) -> str:
     if args.stream:
         from ledgerly.operators.enrich import product_dimension
         from ledgerly.streaming import ingest as S
-        partials = f"{out}/ps_partials"
-        S.stream_ledger(S.stream_receipts(spark, args.receipts, max_files=args.max_files),
-                        product_dimension(tables["product_dim"]), rules, partials,
-                        f"{out}/_checkpoints/ps_partials")
+        partials = f"{out}/{S.PARTIALS_FOLDER}"
+        S.stream_layers(S.stream_receipts(spark, args.receipts, max_files=args.max_files),
+                        product_dimension(tables["product_dim"]), rules, out,
+                        f"{out}/_checkpoints/stream")
         ps_path = full_refresh(S.read_ledger(spark, partials, args.posting_date), C.LEDGER,
                                f"{out}/ps")
     else:

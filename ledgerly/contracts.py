@@ -66,7 +66,7 @@ F0_NAMES = [
 ]
 F0 = _struct([(n, MONEY if n in F0_MONEY else StringType()) for n in F0_NAMES])
 
-# F1 business events: event id, the F0 columns, five derived codes.
+# F1 business events: event id, the F0 columns, five derived codes.
 F1_EXTRA = [
     "TR_COD_TIP_RECIB", "TR_COD_EST_RECIB", "TR_COD_AGENCIA", "TR_NEGOCIO",
     "TR_COD_TIP_NEGOCIO",
@@ -77,7 +77,7 @@ F1 = _struct(
     + _strings(F1_EXTRA)
 )
 
-# F2_CONT postings.
+# F2_CONT postings.
 POSTINGS = _struct([
     ("TR_ID_EVNEG", StringType()),
     ("TR_COD_RAMO_CONT", StringType()),
@@ -90,7 +90,7 @@ POSTINGS = _struct([
     ("TR_CC_IMP", MONEY),
 ])
 
-# PS ledger lines for the ERP interface.
+# PS ledger lines for the ERP interface.
 LEDGER = _struct(
     _strings(["COD_SOCIEDAD", "CLASE_DOC", "REFER", "DIV", "TEX_CABECERA",
               "FECHA_CONTAB", "CLAVE_CONTAB", "TERC", "NOM_1", "NOM_2", "POBL", "NIF"])
@@ -99,7 +99,7 @@ LEDGER = _struct(
                 "INDICADOR_CME", "MODALIDAD_CON"])
 )
 
-# Rule and reference tables.
+# Rule and reference tables.
 PRODUCT_DIM_RAW = _struct(_strings(["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo de Negocio"]))
 PRODUCT_DIM = _struct(_strings(["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo_de_negocio"]))
 EVENT_MASTER = _struct(_strings(["EVENT_NEG"]))

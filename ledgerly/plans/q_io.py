@@ -13,7 +13,7 @@ from ledgerly.plans.layers import fixture_layers
 from ledgerly.plans.registry import SUM_TYPE, register
 from ledgerly.session import scratch_path
 from ledgerly.sinks import export_csv, full_refresh
-from ledgerly.sources.csv import read_reference, read_receipts
+from ledgerly.sources.csv import read_reference, read_receipts, receipt_field_counts
 from ledgerly.sources.files import write_receipt_files
 from ledgerly.sources.tables import load_table
 
@@ -38,6 +38,30 @@ def q_full_refresh_roundtrip(spark, sf):
     return spark.read.parquet(path)
 
 
+@register("contract_table_roundtrip",
+          O.with_ctes(f"select {', '.join(C.F1.fieldNames())} from f1"))
+def q_contract_table_roundtrip(spark, sf):
+    """F1 inserted by position into a table made from its contract."""
+    import uuid
+
+    from ledgerly.sinks import create_table
+    name, folder = f"ledgerly_f1_{uuid.uuid4().hex[:8]}", scratch_path(spark, "f1-table")
+    for _ in range(2):  # dropped and made again
+        create_table(spark, name, C.F1, folder)
+    C.conform(fixture_layers(spark, sf).f1, C.F1).write.insertInto(name)
+    stored = spark.read.schema(spark.table(name).schema).parquet(folder)
+    spark.sql(f"drop table {name}")  # external: the files stay
+    return stored
+
+
+@register("receipt_field_counts", O.with_ctes(
+    'select substr("F.EFECTO", 1, 4) as SOURCE, cast(27 as integer) as n_fields, count(*) as n '
+    "from raw group by 1"))
+def q_receipt_field_counts(spark, sf):
+    """Control of the extract's files: lines by number of fields."""
+    return receipt_field_counts(spark, receipt_files(spark, sf))
+
+
 @register("receipts_csv_roundtrip", _F0_SQL)
 def q_receipts_csv_roundtrip(spark, sf):
     path = export_csv(fixture_layers(spark, sf).raw, scratch_path(spark, "raw"), sep="|")
@@ -125,10 +149,15 @@ def year_label():
 
 def receipt_files(spark, sf) -> str:
     """Receipts of the driver tables as pipe files named by effect year."""
-    target = scratch_path(spark, "receipt-files")
-    write_receipt_files(spark, fixture_layers(spark, sf).raw, year_label(),
-                        scratch_path(spark, "receipt-staging"), target)
-    return target
+    return write_extract(spark, fixture_layers(spark, sf).raw)[0]
+
+
+def write_extract(spark, raw, target: str | None = None) -> tuple[str, int]:
+    """An extract as pipe files (one per year and writing task): folder, number."""
+    target = target or scratch_path(spark, "receipt-files")
+    names = write_receipt_files(spark, raw, year_label(), scratch_path(spark, "receipt-staging"),
+                                target)
+    return target, len(names)
 
 
 @register("file_provenance", O.with_ctes(

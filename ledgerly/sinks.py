@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
 
 from ledgerly.contracts import conform
@@ -15,6 +15,17 @@ def full_refresh(df: DataFrame, contract: StructType, path: str) -> str:
     return path
 
 
+def create_table(spark: SparkSession, name: str, contract: StructType,
+                 path: str | None = None) -> str:
+    """Drop the table if it exists and make an empty Parquet table with the
+    contract's columns (external where ``path`` is given)."""
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in contract.fields)
+    place = f" location '{path}'" if path else ""
+    spark.sql(f"drop table if exists {name}")
+    spark.sql(f"create table {name} ({columns}) using parquet{place}")
+    return name
+
+
 def publish(df: DataFrame, target: str, mode: str = "overwrite",
             as_table: bool = False, path: str | None = None) -> str:
     """Write ``df`` as a catalog table (``as_table``; external when ``path`` is

@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ledgerly.contracts import RAW
+from ledgerly.functions import file_prefix
 
 
 def read_receipts(spark: SparkSession, path: str, schema: StructType = RAW) -> DataFrame:
@@ -21,6 +23,17 @@ def read_receipts(spark: SparkSession, path: str, schema: StructType = RAW) -> D
             .csv(path))
 
 
+def receipt_field_counts(spark: SparkSession, path: str) -> DataFrame:
+    """Lines per file prefix (``SOURCE``) and number of fields, header lines left
+    out: ``read_receipts`` pads short lines and cuts long ones without a word, so
+    anything but 27 fields deserves a look. Separators inside quotes are text."""
+    outside = r'\|(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    lines = spark.read.text(path).withColumn("SOURCE", file_prefix())
+    return (lines.where(~F.col("value").startswith(RAW.fieldNames()[0] + "|"))
+            .groupBy("SOURCE", F.size(F.split("value", outside, -1)).alias("n_fields"))
+            .agg(F.count(F.lit(1)).alias("n")))
+
+
 def read_reference(spark: SparkSession, path: str, sep: str = ",",
                    schema: StructType | None = None,
                    encoding: str | None = None) -> DataFrame:

@@ -8,6 +8,8 @@ folder may be on any shared store.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import Column, DataFrame, SparkSession
 
 LABEL_COLUMN = "_FILE_LABEL"
@@ -28,11 +30,11 @@ def write_receipt_files(spark: SparkSession, raw: DataFrame, label: Column,
     fs, jvm = _fs(spark, staging)
     Path = jvm.org.apache.hadoop.fs.Path
     fs.mkdirs(Path(target))
-    names = []
+    names, stamp = [], uuid.uuid4().hex[:8]  # a folder can take several extracts
     statuses = fs.globStatus(Path(f"{staging}/{LABEL_COLUMN}=*/part-*"))
     for i, st in enumerate(sorted(statuses, key=lambda s: s.getPath().toString())):
         lab = st.getPath().getParent().getName().split("=", 1)[1]
-        name = f"{lab}_{i:05d}_recibos.csv"
+        name = f"{lab}_{stamp}-{i:05d}_recibos.csv"
         fs.rename(st.getPath(), Path(f"{target}/{name}"))
         names.append(name)
     return names

@@ -95,18 +95,20 @@ def raw_receipts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return joined.select([F.expr(e).alias(n) for e, n in zip(_RAW_EXPRS, RAW_NAMES)])
 
 
-def receipts_as_of(raw: DataFrame, cut: str) -> DataFrame:
+def receipts_as_of(raw: DataFrame, cut: str, renumbered: bool = True) -> DataFrame:
     """The extract as it looked at month ``cut`` (``YYYY-MM``), from all of it.
 
     Receipts charged after ``cut`` are not yet there; cancellation and
     collection dates after ``cut`` have not happened yet (``0001-01``); the
     receipts of mediator type ``U`` still have the numbers they had before they
-    were renumbered.
+    were renumbered (unless ``renumbered`` is off).
     """
     from ledgerly.functions import column
     never, number = F.lit("0001-01"), column("N.RECIBO")
     masked = raw.filter(column("F.LIQ.CAR.") <= cut)
     for c in ("F.LIQ.ANU.", "F.LIQ.COB."):
         masked = masked.withColumn(c, F.when(column(c) <= cut, column(c)).otherwise(never))
+    if not renumbered:
+        return masked
     return masked.withColumn("N.RECIBO", F.when(
         column("T.MEDIADOR") == "U", F.concat(F.lit("U"), number)).otherwise(number))
