@@ -46,3 +46,19 @@ def test_matches_oracle(spark, sf_small, duck, name):
     idx = [ocols.index(c) for c in order]
     o = sorted((tuple(_norm(r[i]) for i in idx) for r in cur.fetchall()), key=repr)
     assert s == o
+
+
+def test_entry_without_the_training_data_operators(monkeypatch):
+    """The rest registers its queries where the optional subpackage is gone."""
+    import importlib
+    import sys
+    for name in [n for n in sys.modules if n == "corpus_pipeline" or n.startswith("ledgerly.llm")]:
+        monkeypatch.delitem(sys.modules, name)
+    monkeypatch.setitem(sys.modules, "ledgerly.llm", None)
+    try:
+        bare = importlib.reload(E)
+        assert "ledger_summary" in bare.queries() and "pipeline" not in bare.queries()
+        assert set(bare.oracle_sql()) <= set(bare.queries())
+    finally:
+        monkeypatch.undo()
+        importlib.reload(E)
