@@ -27,9 +27,11 @@ from ledgerly.llm.common import flatten, without
 from ledgerly.llm.vocabulary import CACHE_CHARS, ID_BITS, Recent, Vocabulary, load
 
 #: Words and pieces kept in one generation of a worker's cache.
-CACHE_WORDS = 1 << 18
+CACHE_WORDS = 1 << 17
 #: Distinct words inserted into one trie at most; more go into the next one.
 TRIE_WORDS = 1 << 15
+#: Bounds of the tables that fill up with use: automaton steps, known seams.
+MOST_STEPS, MOST_SEAMS = 1 << 19, 1 << 18
 _NEVER = 1 << 60
 
 
@@ -80,7 +82,7 @@ class TrieEncoder:
         while (found := self.step.get(state << 8 | byte)) is None and state:
             state = self.fail[state]
         found = found or 0
-        if len(self.step) < 1 << 21:
+        if len(self.step) < MOST_STEPS:
             self.step[key] = found
         return found
 
@@ -104,60 +106,53 @@ class TrieEncoder:
         key = a << ID_BITS | b
         known = self.known_seams.get(key)
         if known is None:
-            if len(self.known_seams) >= 1 << 20:
+            if len(self.known_seams) >= MOST_SEAMS:
                 self.known_seams.clear()
             known = self.known_seams[key] = self._seam_holds(a, b, _NEVER, _NEVER)
         return known
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
-        """Packed ids of each distinct word, through one trie."""
-        trie: dict = {}
-        out: dict[str, bytes] = {}
+        """Packed ids of each distinct word, through one trie.
+
+        The trie is kept as its words in byte order, which is its depth-first
+        order: a word's path starts with the path that it shares with the word
+        before it, and only the nodes after that are new."""
+        special, out = self.vocab.special, {}
+        trie = sorted([(w.encode(), w) for w in words if w not in special])
         for w in words:
-            if w in self.vocab.special:
-                out[w] = _packed([self.vocab.special[w]])
-                continue
-            node = trie
-            for byte in w.encode():
-                child = node.get(byte)
-                if child is None:
-                    child = node[byte] = {}
-                node = child
-            node[-1] = w
+            if w in special:
+                out[w] = _packed([special[w]])
         step, enders, seams = self.step.get, self.enders, self.known_seams.get
         # Of each prefix on the path: the automaton's state, the last token,
         # and where that token starts.
-        states, last, start = [0], [-1], [0]
-        stack = [(0, b, child) for b, child in trie.items() if b != -1]
-        while stack:
-            depth, byte, node = stack.pop()
-            state = step(states[depth] << 8 | byte)
-            if state is None:
-                state = self._next(states[depth], byte)
-            depth += 1
-            for token, size in enders[state]:
-                at = depth - size
-                if not at:
-                    break
-                holds = seams(last[at] << ID_BITS | token)
-                if holds or holds is None and self.follows(last[at], token):
+        room = max((len(raw) for raw, _ in trie), default=0) + 1
+        states, last, start = [0] * room, [-1] * room, [0] * room
+        before = b""
+        for raw, word in trie:
+            shared = 0
+            for x, y in zip(before, raw):  # noqa: B905 - one is longer
+                if x != y:
                     break
-            if depth == len(last):
-                states.append(state)
-                last.append(token)
-                start.append(at)
-            else:
+                shared += 1
+            before, state, depth = raw, states[shared], shared
+            for byte in raw[shared:]:
+                following = step(state << 8 | byte)
+                state = self._next(state, byte) if following is None else following
+                depth += 1
+                for token, size in enders[state]:
+                    at = depth - size
+                    if not at:
+                        break
+                    holds = seams(last[at] << ID_BITS | token)
+                    if holds or holds is None and self.follows(last[at], token):
+                        break
                 states[depth], last[depth], start[depth] = state, token, at
-            for b, child in node.items():
-                if b != -1:
-                    stack.append((depth, b, child))
-                    continue
-                ids, at = [], depth
-                while at:
-                    ids.append(last[at])
-                    at = start[at]
-                ids.reverse()
-                out[child] = _packed(ids)
+            ids = []
+            while depth:
+                ids.append(last[depth])
+                depth = start[depth]
+            ids.reverse()
+            out[word] = _packed(ids)
         return out
 
     def _encode_piece(self, piece: str) -> bytes:
@@ -189,8 +184,9 @@ def encoder(path: str) -> TrieEncoder:
     return TrieEncoder(load(path))
 
 
-#: Characters of text encoded together at most (a longer text stands alone).
-CHUNK_CHARS = 4 << 20
+#: Characters of text handled together at most (a longer text stands alone),
+#: and texts decoded together.
+CHUNK_CHARS, DECODE_ROWS = 1 << 20, 512
 
 
 def chunks(texts: Iterable[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str | None]]:
@@ -217,8 +213,9 @@ def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> Da
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         e = encoder(vocabulary)
         for texts in batches:
-            ids = [x for part in chunks(texts) for x in e.encode_texts(part)]
-            yield pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "token_ids": ids})
+            for part in chunks(texts):
+                ids = e.encode_texts(part)
+                yield pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "token_ids": ids})
 
     base = without(docs, *{"n_tokens", "token_ids"} - {text})
     return flatten(base.withColumn("__encoded", encode(F.col(f"`{text}`"))), "__encoded")
@@ -234,7 +231,9 @@ def decode_documents(encoded: DataFrame, vocabulary: str, ids: str = "token_ids"
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         token = load(vocabulary).token_bytes.__getitem__
         for packed in batches:
-            yield pd.Series([b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist()))
-                             .decode("utf-8", "replace") for x in packed], dtype="object")
+            for at in range(0, len(packed), DECODE_ROWS):
+                yield pd.Series([b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist()))
+                                 .decode("utf-8", "replace")
+                                 for x in packed.iloc[at:at + DECODE_ROWS]], dtype="object")
 
     return without(encoded, out).withColumn(out, decode(F.col(f"`{ids}`")))
