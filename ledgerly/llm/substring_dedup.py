@@ -41,6 +41,8 @@ ANCHOR, ROWS, BLOCK_BITS = 8, 2, 18
 #: Hash ranges of the second pass per shuffle partition.
 RANGES_PER_PARTITION = 4
 CHUNK = 2 << 20
+#: Settled occurrences that a task gathers before it sends them on.
+GATHERED = 1 << 19
 _U = np.uint64
 _MIX = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))
 _HASHES = Recent(lambda w: xxhash.xxh3_64_intdigest(w), 1 << 18)
@@ -179,8 +181,8 @@ SETTLED = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<u4")])
 
 
 def repeated_windows(docs: DataFrame, width: int, sketch_bits: int) -> DataFrame:
-    """Starts of repeated windows: ``(__id, __key, starts)``, some rows per
-    document. ``docs`` has ``__id`` (long), ``__key`` (long) and ``text``."""
+    """Starts of repeated windows: ``(__id, __key, starts)``, one row per
+    document that has any. ``docs`` has ``__id`` (long), ``__key`` (long) and ``text``."""
     spark = docs.sparkSession
     bitmap = spark.sparkContext.broadcast(merged_sketch(docs.select("text"), width, sketch_bits))
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
@@ -215,45 +217,84 @@ def repeated_windows(docs: DataFrame, width: int, sketch_bits: int) -> DataFrame
         rest = np.zeros(int((~new).sum()), SETTLED)
         for name, x in (("doc", ids), ("key", keys), ("at", at)):
             rest[name] = x[~new]
-        out = []
-        slot = (rows["h"] >> _U(shift)).astype(np.int64)
-        edges = np.flatnonzero(np.diff(slot)) + 1
-        for x in np.split(rows, edges) if len(rows) else []:
-            out.append((int(x["h"][0] >> _U(shift)), x.tobytes(), b""))
-        if len(rest):
-            out.append((int(rest["at"][0]) % ranges, b"", rest.tobytes()))
+        out = [(r, x, b"") for r, x in _split(rows, rows["h"] >> _U(shift))]
+        out += [(r, b"", x) for r, x in _split(rest, _document_hash(rest) >> _U(shift))]
         return pd.DataFrame(out, columns=["range", "open", "settled"])
 
     def group(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        now, held = None, []
+        """Settle every hash range, and send the result on by document range."""
+        now, held, done = None, [], []
+
+        def sent() -> pd.DataFrame:
+            rows = np.concatenate([np.zeros(0, SETTLED), *done])
+            done.clear()
+            by_doc = rows[np.lexsort((rows["at"], rows["key"], rows["doc"]))]
+            parts = _split(by_doc, _document_hash(by_doc) >> _U(shift))
+            return pd.DataFrame(parts, columns=["range", "settled"])
+
         for batch in batches:
             for r, packed, settled in zip(batch["range"], batch["open"], batch["settled"], strict=True):
                 if r != now and held:
-                    yield _starts(_repeated(np.concatenate(held)))
+                    done.append(_repeated(np.concatenate(held)))
                     held = []
                 now = r
                 if packed:
                     held.append(np.frombuffer(packed, OCCURRENCE))
                 if settled:
-                    yield _starts(np.frombuffer(settled, SETTLED))
+                    done.append(np.frombuffer(settled, SETTLED))
+            if sum(map(len, done)) > GATHERED:
+                yield sent()
+        if held:
+            done.append(_repeated(np.concatenate(held)))
+        yield sent()
+
+    def regroup(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        """One row per document."""
+        now, held = None, []
+        for batch in batches:
+            for r, settled in zip(batch["range"], batch["settled"], strict=True):
+                if r != now and held:
+                    yield _starts(np.concatenate(held))
+                    held = []
+                now = r
+                held.append(np.frombuffer(settled, SETTLED))
         if held:
-            yield _starts(_repeated(np.concatenate(held)))
+            yield _starts(np.concatenate(held))
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition("range").sortWithinPartitions("range")
+
+    open_ = docs.mapInPandas(candidates, "range long, open binary, settled binary")
+    settled = dealt(open_).mapInPandas(group, "range long, settled binary")
+    return dealt(settled).mapInPandas(regroup, "__id long, __key long, starts binary")
+
+
+def _document_hash(rows: np.ndarray) -> np.ndarray:
+    return _mixed(rows["doc"].astype(_U) * _MIX[1] + rows["key"].astype(_U), 0)
+
 
-    found = (docs.mapInPandas(candidates, "range long, open binary, settled binary")
-             .repartition("range").sortWithinPartitions("range")
-             .mapInPandas(group, "__id long, __key long, starts binary"))
-    return found
+def _split(rows: np.ndarray, ranges: np.ndarray) -> list[tuple[int, bytes]]:
+    """The rows of each range, packed."""
+    if not len(rows):
+        return []
+    order = np.argsort(ranges, kind="stable")
+    rows, ranges = rows[order], ranges[order].astype(np.int64)
+    edges = [0, *(np.flatnonzero(np.diff(ranges)) + 1), len(rows)]
+    return [(int(ranges[i]), rows[i:j].tobytes()) for i, j in zip(edges, edges[1:], strict=False)]
 
 
 def _repeated(rows: np.ndarray) -> np.ndarray:
-    """The occurrences whose window occurs elsewhere."""
+    """Where the window of an occurrence occurs elsewhere."""
     order = np.lexsort((rows["g"], rows["h"]))
     rows = rows[order]
     same = (rows["h"][1:] == rows["h"][:-1]) & (rows["g"][1:] == rows["g"][:-1])
     hit = rows["again"].astype(bool)
     hit[1:] |= same
     hit[:-1] |= same
-    return rows[hit]
+    out = np.zeros(int(hit.sum()), SETTLED)
+    for name in SETTLED.names:
+        out[name] = rows[name][hit]
+    return out
 
 
 def _starts(rows: np.ndarray) -> pd.DataFrame:
@@ -265,13 +306,12 @@ def _starts(rows: np.ndarray) -> pd.DataFrame:
                          for x in parts], columns=["__id", "__key", "starts"])
 
 
-def _covered(n_words: int, starts: list[bytes], width: int) -> np.ndarray:
+def _covered(n_words: int, starts: bytes, width: int) -> np.ndarray:
     """Which words lie in a window that starts at one of the packed places."""
     step = np.zeros(n_words + width + 1, np.int32)
-    for packed in starts:
-        at = np.frombuffer(packed, "<u4")
-        np.add.at(step, at, 1)
-        np.add.at(step, at + width, -1)
+    at = np.frombuffer(starts, "<u4")
+    np.add.at(step, at, 1)
+    np.add.at(step, at + width, -1)
     return np.cumsum(step)[:n_words] > 0
 
 
@@ -292,7 +332,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 35, text: str = "text",
     keyed = base.withColumns({"__id": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-1)),
                               "__key": F.xxhash64(t)})
     found = repeated_windows(keyed.select("__id", "__key", t.alias("text")), width, sketch_bits)
-    marks = found.groupBy("__id", "__key").agg(F.collect_list("starts").alias("__starts"))
+    marks = found.withColumnRenamed("starts", "__starts")
 
     @pandas_udf("n_words long, n_removed long, kept_text string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.DataFrame]:
@@ -300,7 +340,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 35, text: str = "text",
             out = []
             for s, marks in zip(texts, starts, strict=True):
                 words = (s or "").encode().split()
-                if marks is not None and len(marks):
+                if marks:
                     gone = _covered(len(words), marks, width)
                     kept = [w for w, x in zip(words, gone.tolist(), strict=True) if not x]
                 else:
