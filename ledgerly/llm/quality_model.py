@@ -163,8 +163,8 @@ def fit(measured: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, trees
 
 def score_quality(docs: DataFrame, labels: DataFrame, *, text: str = "text",
                   **options) -> DataFrame:
-    """``docs`` plus ``score`` (0 to 1, higher: label 1 likelier) and
-    ``predicted`` (1 from 0.5 on). ``docs`` needs ``doc_id``.
+    """``docs`` without the texts, plus ``score`` (0 to 1, higher: label 1
+    likelier) and ``predicted`` (1 from 0.5 on). ``docs`` needs ``doc_id``.
 
     Null and empty texts have zero statistics and a score like any other row;
     equal texts have equal scores, whatever their id. An empty table gives an
