@@ -31,13 +31,15 @@ PROBE_BITS = 11
 
 @dataclass
 class _Interval:
-    """Keys [low, high) around one splitter; ``below`` bytes lie under ``low``."""
+    """Keys [low, high) around one splitter; ``below`` bytes lie under ``low``
+    and ``inside`` bytes of ``rows`` rows in it."""
 
     target: float
     low: int
     high: int
     below: int
     inside: int
+    rows: int
 
 
 def _signed(x: int) -> int:
@@ -70,15 +72,15 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float = 0.001) -> tu
     """128-bit splitter keys (shard i ends before splitter i) and the number of
     rounds, for a frame with ``__h``, ``__g`` and ``size``. ``tolerance`` is a
     share of a shard's bytes."""
-    total = keys.agg(F.sum("size")).first()[0] or 0
+    total, rows = keys.agg(F.coalesce(F.sum("size"), F.lit(0)), F.count("*")).first()
     whole = 1 << 2 * HALF
-    open_ = [_Interval(total * (i + 1) / shards, 0, whole, 0, total) for i in range(shards - 1)]
+    open_ = [_Interval(total * (i + 1) / shards, 0, whole, 0, total, rows) for i in range(shards - 1)]
     allowed, rounds, done = tolerance * total / shards, 0, {}
     names = list(range(shards - 1))
     while open_:
         left_names, left = [], []
         for i, x in zip(names, open_, strict=True):
-            if x.high - x.low > 1 and x.inside > allowed:
+            if x.high - x.low > 1 and x.rows > 1 and x.inside > allowed:
                 left_names.append(i)
                 left.append(x)
             else:  # the nearer end
@@ -97,19 +99,25 @@ def find_splitters(keys: DataFrame, shards: int, tolerance: float = 0.001) -> tu
             probe, step = _probe(left[members[0]])
             which, cell = F.when(inside, j).otherwise(which), F.when(inside, probe).otherwise(cell)
             widths.append(step)
-        counted = (keys.select(which.alias("w"), cell.alias("c"), "size").where("w is not null")
-                   .groupBy("w", "c").agg(F.sum("size").alias("b")).collect())
-        cells: dict[int, list[tuple[int, int]]] = {}
+        counted = (keys.select(which.alias("w"), cell.alias("c"), "size", "__h").where("w is not null")
+                   .groupBy("w", "c").agg(F.sum("size").alias("b"), F.count("*").alias("n"),
+                                          F.min("__h").alias("h0"), F.max("__h").alias("h1"))
+                   .collect())
+        cells: dict[int, list] = {}
         for r in counted:
-            cells.setdefault(r["w"], []).append((r["c"], r["b"]))
+            cells.setdefault(r["w"], []).append(r)
         for j, ((low, _), members) in enumerate(ranges.items()):
             for k in members:
                 x, below, width = left[k], left[k].below, 1 << widths[j]
-                for c, b in sorted(cells[j]):
-                    if below + b >= x.target:
-                        x.low, x.high, x.below, x.inside = low + c * width, low + (c + 1) * width, below, b
+                for r in sorted(cells[j], key=lambda r: r["c"]):
+                    if below + r["b"] >= x.target:
+                        x.low, x.high = low + r["c"] * width, low + (r["c"] + 1) * width
+                        x.below, x.inside, x.rows = below, r["b"], r["n"]
+                        if r["h0"] == r["h1"] and width > 1 << HALF:  # one group: go to its rows
+                            x.low = (r["h0"] + (1 << 63)) << HALF
+                            x.high = x.low + (1 << HALF)
                         break
-                    below += b
+                    below += r["b"]
         names, open_ = left_names, left
     return [done[i] for i in range(shards - 1)], rounds
 
