@@ -16,6 +16,11 @@ import regex
 WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                 r"|\s+(?!\S)|\s+")
 
+#: White space other than space and newline, to ``str`` or to the pattern.
+OTHER_SPACE = "".join(c for c in map(chr, range(0x110000))
+                      if c not in " \n" and (c.isspace() or regex.match(r"\s", c)))
+_ASCII_SPACE = "".join(filter(str.isascii, OTHER_SPACE))
+
 #: Room for one id where a pair of ids is one integer.
 ID_BITS = 24
 
@@ -93,8 +98,11 @@ class Vocabulary:
         Where white space always stands alone and is a space or a newline, a
         space opens the next pre-token and a newline is one, so the text is cut
         before every space and around every newline; any other text is cut
-        into its pre-tokens."""
+        into its pre-tokens. With no other white space in the text, as many
+        words as cuts and one mean that no two cuts touch and none is at an end."""
+        other = _ASCII_SPACE if text.isascii() else OTHER_SPACE
         alone = (len(text.split()) == text.count(" ") + text.count("\n") + 1
+                 and not any(map(text.__contains__, other))
                  and "\0" not in text and not any(map(text.__contains__, self.special)))
         if not alone:
             return self.words(text)

@@ -8,6 +8,7 @@ from tokenizers import Tokenizer
 
 from ledgerly.llm import bpe_trie, token_counts
 from ledgerly.llm.queries import VOCABULARY, op2_heap_token_counts, op3_trie_bpe
+from ledgerly.llm.vocabulary import OTHER_SPACE
 from tests.llm.cases import crowded, frame, sample_rows
 from tests.llm.conftest import SF
 
@@ -72,6 +73,25 @@ def test_any_text(text):
     assert np.frombuffer(bpe_trie.encoder(VOCABULARY).encode_texts([text])[0], "<u4").tolist() == ids
 
 
+def test_white_space_that_offsets_an_empty_run(spark):
+    texts = ["a\tb\n", "a\n\nb\u00a0c", "a b\tc\td", "a  b\tc", "\na\rb", "a \u3000b\x1cc", "a\x85\nb c"]
+    df = frame(spark, [(i, t, "", "", 0) for i, t in enumerate(texts)])
+    counted = token_counts.count_tokens(df, VOCABULARY).collect()
+    encoded = bpe_trie.decode_documents(bpe_trie.encode_documents(df, VOCABULARY), VOCABULARY).collect()
+    assert [r["n_tokens"] for r in sorted(counted)] == [len(ids_of(t)) for t in texts]
+    for r in encoded:
+        assert np.frombuffer(r["token_ids"], "<u4").tolist() == ids_of(r["text"])
+        assert r["decoded_text"] == r["text"]
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.sampled_from("ab'. \n" + OTHER_SPACE), max_size=12))
+def test_any_white_space(text):
+    ids = ids_of(text)
+    assert token_counts.counter(VOCABULARY).text(text) == len(ids)
+    assert np.frombuffer(bpe_trie.encoder(VOCABULARY).encode_texts([text])[0], "<u4").tolist() == ids
+
+
 def test_long_words_and_small_caches():
     rnd = random.Random(3)
     texts = ["".join(rnd.choice("abcdeinorst") for _ in range(n)) for n in (70, 500, 20_000)]
