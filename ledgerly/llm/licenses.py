@@ -1,11 +1,15 @@
 """License scans by sentence rules.
 
-A text is cut into sentences (at line ends and at sentence points), and each is
-normalised: lower case, every run of other characters than letters and digits
-one space. Known license sentences are looked up whole and become identifiers;
-the identifiers of a text, in order, are matched against license rules, which
-are ordered sequences of identifiers. The first rule that matches at a place
-wins, and the scan goes on after it. All of it is DataFrame expressions.
+A text is normalised (lower case, every run of other characters than letters
+and digits one space) and cut at line ends, colons, sentence points and blank
+lines. Known license sentences stand from one cut to another; line ends (with
+the comment marks of the next line) and colons may lie inside them, so wrapped
+and commented texts are found as well as titles on lines of their own. The
+longest one at a place becomes an identifier; lines that hold only a URL are
+left out. The identifiers of a text, in order, are matched against license
+rules, which are ordered sequences of identifiers. The first rule that matches
+at a place wins, and the scan goes on after it. All of it is DataFrame
+expressions.
 """
 
 from __future__ import annotations
@@ -25,7 +29,9 @@ SENTENCES = {
                    "This project is licensed under the Apache License 2.0",
                    "SPDX-License-Identifier: Apache-2.0"],
     "apache-comply": ["you may not use this file except in compliance with the License"],
-    "apache-copy": ["You may obtain a copy of the License at"],
+    "apache-copy": ["You may obtain a copy of the License at",
+                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0",
+                    "You may obtain a copy of the License at https://www.apache.org/licenses/LICENSE-2.0"],
     "apache-basis": ["Unless required by applicable law or agreed to in writing, software "
                      "distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT "
                      "WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied"],
@@ -34,7 +40,13 @@ SENTENCES = {
                 "SPDX-License-Identifier: MIT"],
     "mit-grant": ["Permission is hereby granted, free of charge, to any person obtaining a copy of "
                   "this software and associated documentation files (the \"Software\"), to deal in "
-                  "the Software without restriction"],
+                  "the Software without restriction",
+                  "Permission is hereby granted, free of charge, to any person obtaining a copy of "
+                  "this software and associated documentation files (the \"Software\"), to deal in "
+                  "the Software without restriction, including without limitation the rights to use, "
+                  "copy, modify, merge, publish, distribute, sublicense, and/or sell copies of the "
+                  "Software, and to permit persons to whom the Software is furnished to do so, subject "
+                  "to the following conditions:"],
     "mit-notice": ["The above copyright notice and this permission notice shall be included in all "
                    "copies or substantial portions of the Software"],
     "gpl3-ref": ["This work is licensed under the GNU General Public License, version 3",
@@ -104,30 +116,53 @@ RULES = [
     LicenseRule("Proprietary", ("reserved",), "restricted"),
 ]
 
-#: A sentence ends at a line end, or at a point that white space or the end follows.
+#: A sentence on one line ends at the line end, or at a point that white space
+#: or the end follows.
 SENTENCE_END = r"[\n\r]+|[.;!?]+[ \t\n\r]+|[.;!?]+$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# What ``cut_text`` does to a lower-case text, in order. Between
+# words it leaves a space, a newline (line end or colon: a sentence may end here
+# or go on) or a P (point or blank line: every sentence ends here).
+CUTS = [
+    ("\r\n?", "\n"),
+    (r"(?md)^[^a-z0-9\n]*+(?:https?|ftp)://\S++[^a-z0-9\n]*+$", ""),     # lines of a URL only
+    (r"(\A|\n)[^a-z0-9\n]*+(?:(?:dnl|rem)[ \t]++)?", "$1"),            # comment marks
+    (r"[.;!?](?=[ \t\n])", "P"),
+    (r":(?=[ \t]++[^\n])", "\n"),
+    (r"[^a-z0-9\nP]+", " "),
+    (" ?\n ?", "\n"),
+    ("\n{2,}", "P"),
+    ("[\n ]?P[\nP ]*", "P"),
+]
+
 
 def normalise(sentence: str) -> str:
-    """What ``normalised`` makes of a known sentence, for the tables."""
+    """A known sentence as ``cut_text`` leaves it on one line, for the tables."""
     kept = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower())
     return " ".join(kept.split())
 
 
-def normalised(sentence: Column) -> Column:
-    return F.trim(F.regexp_replace(F.translate(sentence, UPPER, LOWER), "[^a-z0-9]+", " "))
+def cut_text(text: Column) -> Column:
+    """The normalised text, with its cuts."""
+    out = F.translate(text, UPPER, LOWER)
+    for pattern, to in CUTS:
+        out = F.regexp_replace(out, pattern, to)
+    return out
 
 
 def sentence_ids(text: Column, sentences: dict[str, list[str]]) -> Column:
     """Identifiers of the known sentences of a text, in order; an unknown
     sentence between two known ones breaks the sequence (an empty entry)."""
     known = {normalise(s): i for i, group in sentences.items() for s in group}
-    # The lookup is by whole sentence; the first word of a known sentence
-    # narrows the texts that are cut into sentences at all.
     table = F.create_map(*[F.lit(x) for kv in sorted(known.items()) for x in kv])
-    parts = F.transform(F.split(text, SENTENCE_END, -1), normalised)
-    full = F.filter(parts, lambda s: s != "")
+    # At each cut the longest known sentence that ends at a cut, or else all up
+    # to the next cut.
+    longest = sorted(known, key=lambda s: (-len(s), s))
+    whole = "|".join(s.replace(" ", r"[ \n]") for s in longest)
+    parts = F.regexp_extract_all(cut_text(text), F.lit(
+        rf"(?<![^\nP])(?:(?:{whole})(?![^\nP])|[^\nP]+)"), F.lit(0))
+    full = F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\n", " "))), lambda s: s != "")
     return F.transform(full, lambda s: F.coalesce(F.try_element_at(table, s), F.lit("")))
 
 

@@ -46,3 +46,80 @@ def test_edge_cases(spark):
         want = ["Apache-2.0", "MIT"] if (r["text"] or "").startswith("Licensed") else []
         assert r["licenses"] == want
     assert L.scan_licenses(df.limit(0)).count() == 0
+
+
+MIT = """MIT License
+
+Copyright (c) 2020 Some One
+
+Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell
+copies of the Software, and to permit persons to whom the Software is
+furnished to do so, subject to the following conditions:
+
+The above copyright notice and this permission notice shall be included in all
+copies or substantial portions of the Software.
+
+THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY OF ANY KIND."""
+BSD = """Copyright (c) 2020, Some One.
+All rights reserved.
+
+Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions are met:
+
+1. Redistributions of source code must retain the above copyright notice."""
+GPL = """This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful."""
+APACHE = """Copyright 2020 Some One
+
+Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0
+
+Unless required by applicable law or agreed to in writing, software
+distributed under the License is distributed on an "AS IS" BASIS,
+WITHOUT WARRANTIES OR CONDITIONS OF ANY KIND, either express or implied.
+See the License for the specific language governing permissions and
+limitations under the License."""
+WRAPPED = {
+    MIT: ["mit-ref", "mit-grant", "mit-notice"], BSD: ["reserved", "bsd-grant"], GPL: ["gpl-free"],
+    APACHE: ["apache-ref", "apache-comply", "apache-copy", "apache-basis"]}
+
+
+def test_wrapped_and_commented_texts(spark):
+    def marked(text, first, mark, last):
+        return first + "\n".join(mark + line for line in text.split("\n")) + last
+
+    def rewrapped(text):  # one paragraph a line
+        return "\n\n".join(" ".join(p.split()) for p in text.split("\n\n"))
+
+    forms = [lambda t: t, rewrapped, lambda t: t.replace("\n", "\r\n"), lambda t: t.replace("\n", "\r"),
+             lambda t: marked(t, "", "# ", "\nimport x"), lambda t: marked(t, "/*\n", " * ", "\n */\nint x;"),
+             lambda t: marked(t, "", "// ", ""), lambda t: marked(t, "", ";; ", "\n(x)"),
+             lambda t: marked(t, "<!--\n", "  ", "\n-->"), lambda t: marked(t, "", "dnl ", "\n"),
+             lambda t: marked(t, "code()\n", "    ", "\n")]
+    cases = [(f(t), ids) for t, ids in WRAPPED.items() for f in forms]
+    for (text, ids), r in zip(cases, scan(spark, *[t for t, _ in cases]), strict=True):
+        assert r["sentence_ids"] == ids, text
+    whole = scan(spark, *WRAPPED)
+    assert [r["licenses"] for r in whole] == [["MIT", "MIT"], ["Proprietary", "BSD"], ["GPL-3.0-or-later"],
+                                              ["Apache-2.0"]]
+    assert scan(spark, MIT.split("\n", 4)[4])[0]["licenses"] == ["MIT"]
+
+
+def test_where_a_sentence_may_be_cut(spark):
+    rows = scan(
+        spark, "Licensed under the\nMIT License", "Licensed under the\n\nMIT License",
+        "Licensed under the. MIT License", "MIT License\nsome code", "License: MIT License",
+        "SPDX-License-Identifier: MIT\nint x;", "This program is free software:\nyou can" + GPL.split("you can")[1],
+        "some MIT License text", "APACHE https://x.org\n" + "." * 100_000 + "x license")
+    assert [r["sentence_ids"] for r in rows] == [
+        ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["gpl-free"], [], []]
