@@ -134,6 +134,7 @@ CUTS = [
     (" ?\n ?", "\n"),
     ("\n{2,}", "P"),
     ("[\n ]?P[\nP ]*", "P"),
+    (r"\A | \z", ""),
 ]
 
 
@@ -166,16 +167,19 @@ def sentence_ids(text: Column, sentences: dict[str, list[str]]) -> Column:
     return F.transform(full, lambda s: F.coalesce(F.try_element_at(table, s), F.lit("")))
 
 
+# Fixed value: rarer words of the known sentences, normalised.
+CLUES = ["license", "licence", "spdx", "permission", "copyright", "redistribution", "public domain",
+         "rights reserved", "gnu general"]
+#: What may stand between two words of a sentence, comment marks included.
+GAP = r"[^a-z0-9]+(?:(?:dnl|rem)[^a-z0-9]+)?"
+
+
 def _clue(sentences: dict[str, list[str]]) -> str:
-    """A pattern that every known sentence matches: a few of its rarer words."""
-    clues = ["licen[sc]e", "spdx", "permission", "copyright", "redistribution", "public domain",
-             "rights reserved", "gnu general"]
-    for group in sentences.values():
-        for s in group:
-            low = s.lower()
-            if not any(c.replace("[sc]", "s") in low for c in clues):
-                clues.append("(?:" + r"[^a-z0-9]+".join(normalise(s).split()) + ")")
-    return "(?i)" + "|".join(clues)
+    """A pattern that every known sentence matches, however ``cut_text`` came to
+    it: a few of its rarer words."""
+    known = [normalise(s) for group in sentences.values() for s in group]
+    clues = CLUES + [s for s in known if not any(c in s for c in CLUES)]
+    return "(?i)" + "|".join(GAP.join(c.split()) for c in clues)
 
 
 def scan_licenses(docs: DataFrame, *, text: str = "text",

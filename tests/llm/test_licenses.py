@@ -120,6 +120,17 @@ def test_where_a_sentence_may_be_cut(spark):
         spark, "Licensed under the\nMIT License", "Licensed under the\n\nMIT License",
         "Licensed under the. MIT License", "MIT License\nsome code", "License: MIT License",
         "SPDX-License-Identifier: MIT\nint x;", "This program is free software:\nyou can" + GPL.split("you can")[1],
-        "some MIT License text", "APACHE https://x.org\n" + "." * 100_000 + "x license")
+        "Redistribution and use in source and binary forms, with or without modification, are permitted\n"
+        " * provided that the following conditions are met: */", "some MIT License text", "APACHE https://x.org\n" + "." * 100_000 + "x license")
     assert [r["sentence_ids"] for r in rows] == [
-        ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["gpl-free"], [], []]
+        ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["mit-ref"], ["gpl-free"], ["bsd-grant"], [], []]
+
+
+def test_clues_hold_on_raw_texts(spark):
+    texts = ["All rights  reserved.", "All rights reserved.", "All **rights** reserved", "All rights\n# reserved",
+             "dnl All rights\ndnl reserved", "This work is dedicated to the public-domain",
+             "This is free and unencumbered software released into the public\n * domain."]
+    assert [r["sentence_ids"] for r in scan(spark, *texts)] == [["reserved"]] * 5 + [["cc0-ref"], ["unlicense-ref"]]
+    known = [(i, s) for i, group in L.SENTENCES.items() for s in group]
+    spread = scan(spark, *[L.normalise(s).replace(" ", gap) for _, s in known for gap in (" ", "_-\n## ")])
+    assert [r["sentence_ids"] for r in spread] == [[i] for i, _ in known for _ in range(2)]
