@@ -51,8 +51,11 @@ BASE_RULES = [
 def _pattern_to_look_for(rule: SecretRule) -> str:
     """A run of one class that is long enough holds exactly the matches of the
     unbounded rule that are kept, and is far rarer."""
-    return {"([0-9a-f]+)": "([0-9a-f]{32,})", "(AKIA[A-Z0-9]+)": "(AKIA[A-Z0-9]{12,})"}.get(
-        rule.pattern, rule.pattern)
+    if rule.pattern == "([0-9a-f]+)":
+        return f"([0-9a-f]{{{max(1, rule.least)},}})"
+    if rule.pattern == "(AKIA[A-Z0-9]+)":
+        return f"(AKIA[A-Z0-9]{{{max(1, rule.least - 4)},}})"
+    return rule.pattern
 
 
 def rule_spans(text: Column, rule: SecretRule) -> Column:
