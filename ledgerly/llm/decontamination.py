@@ -7,9 +7,10 @@ vocabulary, hashes the windows in which every word is known, and verifies each
 hash hit word by word. A document word inside any verified window is hit.
 
 The set is broadcast in blocks: windows are dealt to as many blocks as keep
-each under ``block_bytes``, and every document passes the blocks one after
-another. A benchmark of any size is therefore handled whole, and one broadcast
-never exceeds the bound.
+each under ``block_bytes``. With more than one, the documents are stored with a
+row number and scanned once per block; a block's hits are stored and its
+broadcast is released before the next one starts, so no process holds two. A
+benchmark of any size is therefore handled whole.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerly.llm.bpe_trie import chunks
-from ledgerly.llm.common import flatten, without
+from ledgerly.llm.common import flatten, stored, without
 
 #: Upper-case ASCII to lower case; every other ASCII byte that is neither a
 #: digit nor a letter to a space; bytes from 0x80 on stay.
@@ -138,17 +139,11 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = 10
     windows = benchmark_windows(benchmark, width, benchmark_text, item_id)
     total = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item_id") + 64)).first()[0]
     blocks = max(1, -(-2 * (total or 0) // block_bytes))  # dealt by hash: leave room for chance
-    dealt = windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks)))
-    out = base
-    for b in range(blocks):
-        rows = [(r["window"], r["item_id"]) for r in
-                dealt.where(F.col("block") == b).orderBy("window", "item_id").collect()]
-        scan = _scan_udf(spark.sparkContext.broadcast(WindowSet(rows)))
-        out = out.withColumn(f"__hits{b}", scan(F.col(f"`{text}`")))
-    if blocks > 1:
-        out = _joined_blocks(out, blocks)
+    if blocks == 1:
+        scan = _scan_udf(spark.sparkContext.broadcast(_window_set(windows)))
+        out = flatten(base.withColumn("__hits", scan(F.col(f"`{text}`"))), "__hits")
     else:
-        out = flatten(out, "__hits0")
+        out = _scanned_by_block(base, windows, blocks, text)
     return out.withColumn("n_hit", F.aggregate(
         "spans", F.lit(0).cast("long"), lambda n, s: n + s["end"] - s["start"]))
 
@@ -166,9 +161,27 @@ def _scan_udf(shared: Broadcast):
     return scan
 
 
-def _joined_blocks(df: DataFrame, blocks: int) -> DataFrame:
-    """One result out of the results of the blocks."""
-    hits = [f"__hits{b}" for b in range(blocks)]
+def _window_set(windows: DataFrame) -> WindowSet:
+    return WindowSet([(r["window"], r["item_id"]) for r in
+                      windows.select("window", "item_id").orderBy("window", "item_id").collect()])
+
+
+def _scanned_by_block(docs: DataFrame, windows: DataFrame, blocks: int, text: str) -> DataFrame:
+    """The documents with the joined hits of all blocks, one block at a time."""
+    spark = docs.sparkSession
+    numbered = stored(docs.withColumn("__row", F.monotonically_increasing_id()), "decontamination-docs")
+    dealt = stored(windows.withColumn("block", F.pmod(F.xxhash64("window"), F.lit(blocks))),
+                   "decontamination-windows")
+    hits = None
+    for b in range(blocks):
+        shared = spark.sparkContext.broadcast(_window_set(dealt.where(F.col("block") == b)))
+        scan = _scan_udf(shared)
+        found = flatten(numbered.select("__row", scan(F.col(f"`{text}`")).alias("__hits")), "__hits")
+        if b:  # the first block's rows bring every document's n_words
+            found = found.where(F.size("spans") > 0)
+        part = stored(found, f"decontamination-hits-{b}")
+        shared.destroy()
+        hits = part if hits is None else hits.unionByName(part)
 
     @pandas_udf("array<struct<start:int,end:int>>")
     def join_spans(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -176,10 +189,11 @@ def _joined_blocks(df: DataFrame, blocks: int) -> DataFrame:
             yield pd.Series([[{"start": s, "end": e} for s, e in merge_spans(
                 [(x["start"], x["end"]) for x in r])] for r in rows], dtype="object")
 
-    spans = F.concat(*[F.col(h)["spans"] for h in hits])
-    items = F.array_sort(F.array_distinct(F.concat(*[F.col(h)["item_ids"] for h in hits])))
-    return (df.withColumn("n_words", F.col(hits[0])["n_words"]).withColumn("spans", join_spans(spans))
-            .withColumn("item_ids", items).drop(*hits))
+    joined = hits.groupBy("__row").agg(
+        F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
+    joined = joined.select("__row", "n_words", join_spans("spans").alias("spans"), "item_ids")
+    return numbered.join(joined.hint("shuffle_hash"), "__row").drop("__row")
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, mode: str = "document",

@@ -38,6 +38,24 @@ def test_edge_cases_in_one_block_and_in_many(spark):
     assert {r["n_hit"] for r in none} == {0}
 
 
+def test_blocks_are_held_one_at_a_time(spark, monkeypatch):
+    live, most, made = set(), [], D._scan_udf
+
+    def scan_udf(shared):
+        live.add(shared)
+        most.append(len(live))
+        destroy = shared.destroy
+        shared.destroy = lambda *a: (live.discard(shared), destroy(*a))
+        return made(shared)
+
+    monkeypatch.setattr(D, "_scan_udf", scan_udf)
+    found = D.find_contamination(frame(spark), bench(spark), block_bytes=800)
+    assert len(most) > 1 and max(most) == 1 and not live
+    rows = found.collect()
+    assert [(r["n_words"], r["n_hit"], r["item_ids"]) for r in rows] == expected(
+        [(r["doc_id"], r["text"]) for r in rows])
+
+
 def test_removal(spark):
     df = frame(spark)
     hit = {(r["doc_id"], r["text"]) for r in D.find_contamination(df, bench(spark)).collect() if r["n_hit"]}
