@@ -110,6 +110,41 @@ select d.doc_id, coalesce(n, 0) as n_licenses, coalesce(l.sentence_ids, '') as s
 from documents d left join lines l using (doc_id) left join named using (doc_id)"""
 
 
+def _nearest(book: str) -> str:
+    """Nearest entry of every part; ties go to the lower index."""
+    return f"""select vec_id, label, part, x, min(struct_pack(d := d, e := entry)) as near from (
+  select p.*, b.entry, cast(list_sum(list_transform(list_zip(p.x, b.x),
+    lambda z: (z[1] - z[2]) * (z[1] - z[2]))) as bigint) as d
+  from parts p join {book} b using (part)) group by all"""
+
+
+def _op13(parts: int = 4, entries: int = 256, rounds: int = 4) -> str:
+    steps = [f"""kept as materialized (select vec_id, label, list_transform(embedding,
+   lambda v: cast(floor(1024 * cast(v as double)) as bigint)) as v from embeddings
+  where embedding is not null and len(list_filter(embedding, lambda v: v is null or not isfinite(v))) = 0),
+parts as materialized (select vec_id, label, part, v[part * w + 1:(part + 1) * w] as x from (
+  select *, len(v) // {parts} as w from kept), range({parts}) t(part)),
+book0 as materialized (select part, entry, x from (select part, x,
+  row_number() over (partition by part order by vec_id) - 1 as entry from parts) where entry < {entries})"""]
+    for r in range(rounds):
+        steps.append(f"""near{r} as materialized ({_nearest(f'book{r}')}),
+sums{r} as (select part, entry, i, sum(c) as s, count(*) as n from (select part, near.e as entry,
+  unnest(x) as c, unnest(range(len(x))) as i from near{r}) group by all),
+moved{r} as (select part, entry, list(cast((s - ((s % n) + n) % n) // n as bigint) order by i) as x
+  from sums{r} group by all),
+book{r + 1} as materialized (select part, entry, coalesce(m.x, b.x) as x
+  from book{r} b left join moved{r} m using (part, entry))""")
+    return "with " + ",\n".join(steps) + f""",
+final as materialized ({_nearest(f'book{rounds}')}),
+coded as (select vec_id, label, string_agg(printf('%02x', near.e), '' order by part) as code,
+  cast(sum(near.d) as bigint) as error from final group by all),
+digest as (select sha256(string_agg(cast(c as varchar), ',' order by part, entry, i)) as h from (
+  select part, entry, unnest(x) as c, unnest(range(len(x))) as i from book{rounds}))
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+ h as codebooks_sha256 from coded, digest"""
+
+
 def oracles() -> dict[str, str]:
     return {"op4_blob_ledger": _op4(), "op5_ngram_decontamination": _op5(),
-            "op7_count_min_substrings": _OP7, "op9_license_scan": _op9()}
+            "op7_count_min_substrings": _OP7, "op9_license_scan": _op9(),
+            "op13_equal_average_codes": _op13()}

@@ -12,8 +12,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ledgerly.llm import (bpe_trie, decontamination, licenses, quality_model, quality_rules,
-                          secret_scan, sharding, simhash, substring_dedup, token_counts)
+from ledgerly.llm import (bpe_trie, conversations, decontamination, licenses, pages, quality_model,
+                          quality_rules, secret_scan, sharding, simhash, substring_dedup,
+                          token_counts, vector_codes)
 from ledgerly.llm import oracle
 from ledgerly.llm.common import documents
 
@@ -110,9 +111,29 @@ def op10_simhash_bk_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", F.lower(F.lpad(F.hex("simhash"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op11_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    return conversations.repair_conversations(conversations.damaged(rows)).select(
+        "conv_id", "gaps", "blank", "duplicate", "truncated", "illegal", "cost", "audit",
+        "repaired_sha256")
+
+
+def op12_page_wrappers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return pages.extract_main_text(rows).select(
+        "page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
+def op13_equal_average_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    return vector_codes.compress_vectors(rows).select(
+        "vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 _ALL = (op1_histogram_sort, op2_heap_token_counts, op3_trie_bpe, op4_blob_ledger,
         op5_ngram_decontamination, op6_rule_ensemble, op7_count_min_substrings,
-        op8_weak_supervision, op9_license_scan, op10_simhash_bk_trees)
+        op8_weak_supervision, op9_license_scan, op10_simhash_bk_trees, op11_conversation_repair,
+        op12_page_wrappers, op13_equal_average_codes)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
