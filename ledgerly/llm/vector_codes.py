@@ -6,10 +6,11 @@ every part, replace every entry by the mean of its parts", all in integers, so
 the result does not depend on how the rows are spread over tasks.
 
 The nearest entry is found by equal-average search: a codebook is sorted by
-component sum, and the search walks outward from the part's own sum, the nearer
-side first. Two points of dimension k whose sums differ by g are at least g*g/k
-apart (squared), so the walk ends once that strictly exceeds the best distance:
-strictly, because an entry at the same distance with a lower index still wins.
+component sum, and the search walks outward from the part's own sum, a few entries
+on either side in turn. Two points of dimension k whose sums differ by g are at
+least g*g/k apart (squared), so the walk ends on a side once that strictly exceeds
+the best distance: strictly, because an entry at the same distance with a lower
+index still wins.
 
 A task sends at most one partial sum per codebook component; the driver gets the
 sums of the codebooks (entries x dimension figures) and never a vector beyond
@@ -35,6 +36,8 @@ from ledgerly.llm.common import flatten, stored, without
 SCALE = 1024
 #: Bits of one summand of a large sum; sums of such limbs fit a long over 2^23 tasks.
 LIMB = 40
+#: Parts of like sums that walk together, and entries looked at in one step.
+WALK_ROWS, WALK_ENTRIES = 256, 16
 #: Labels whose error sums are broadcast at most; beyond, they are joined by shuffle.
 MOST_LABELS = 1_000_000
 
@@ -61,6 +64,12 @@ def _long_is_enough(*arrays: np.ndarray) -> bool:
     return all(not a.size or int(np.abs(a).max()) * width < 1 << 30 for a in arrays)
 
 
+def _double_is_exact(*arrays: np.ndarray) -> bool:
+    """Squares and their sums stay below 2^53."""
+    most = max((int(np.abs(a).max()) for a in arrays if a.size), default=0)
+    return 4 * arrays[0].shape[1] * most * most < 1 << 53
+
+
 class Codebook:
     """One part's entries, sorted by component sum for the search."""
 
@@ -80,35 +89,53 @@ class Codebook:
                 np.array([d for _, d in found], dtype=object))
 
     def _nearest_long(self, parts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """All rows walk outward in step; rows whose walk has ended leave."""
-        n, most = len(self.entries), np.iinfo(np.int64).max
-        width = parts.shape[1]
-        sums, ordered = parts.sum(axis=1), self.entries[self.order]
-        # A sentinel at either end: a gap that no walk goes across.
-        far = np.int64(1) << 31
-        edge = np.concatenate([[self.sums[0] - 2 * far], self.sums, [self.sums[-1] + 2 * far]])
-        best = np.full(len(parts), most)
-        index = np.full(len(parts), n)
-        row = np.arange(len(parts))
-        right = np.searchsorted(self.sums, sums, side="left") + 1
-        left = right - 1
-        while len(row):
-            own = sums[row]
-            gap_left, gap_right = own - edge[left], edge[right] - own
-            go_right = gap_right <= gap_left
-            gap = np.where(go_right, gap_right, gap_left)
-            # nothing left on the nearer side: nothing left at all
-            going = gap < far
-            going[going] = gap[going] ** 2 <= np.minimum(best[row[going]], most // width) * width
-            if not going.all():
-                row, left, right, go_right = row[going], left[going], right[going], go_right[going]
-            at = np.where(go_right, right, left) - 1
-            distance = ((parts[row] - ordered[at]) ** 2).sum(axis=1)
-            entry = self.order[at]
-            wins = (distance < best[row]) | (distance == best[row]) & (entry < index[row])
-            best[row[wins]], index[row[wins]] = distance[wins], entry[wins]
-            right = right + go_right
-            left = left - ~go_right
+        """Rows of like sums walk outward together, a few entries at a time; rows
+        whose own walk has ended on a side are not compared there any more."""
+        index = np.full(len(parts), len(self.entries))
+        best = np.full(len(parts), np.iinfo(np.int64).max)
+        sums = parts.sum(axis=1)
+        by_sum = np.argsort(sums, kind="stable")
+        ordered = self.entries[self.order]
+        if _double_is_exact(parts, ordered):    # the same integers, multiplied faster
+            parts, ordered = parts.astype(np.float64), ordered.astype(np.float64)
+        squares = (ordered * ordered).sum(axis=1)
+        for at in range(0, len(parts), WALK_ROWS):
+            rows = by_sum[at:at + WALK_ROWS]
+            index[rows], best[rows] = self._walk(parts[rows], sums[rows], ordered, squares)
+        return index, best
+
+    def _walk(self, x: np.ndarray, own: np.ndarray, ordered: np.ndarray,
+              squares: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        n, width, most = len(ordered), x.shape[1], np.iinfo(np.int64).max
+        index, best = np.full(len(x), n), np.full(len(x), most)
+        own_squares = (x * x).sum(axis=1)
+        left = right = int(np.searchsorted(self.sums, own[len(own) // 2]))
+        going_left, going_right = left > 0, right < n
+        while going_left or going_right:
+            for side in ("left", "right"):
+                if side == "left" and going_left:
+                    gap = np.maximum(own - self.sums[left - 1], 0)
+                    looked = slice(max(left - WALK_ENTRIES, 0), left)
+                elif side == "right" and going_right:
+                    gap = np.maximum(self.sums[right] - own, 0)
+                    looked = slice(right, min(right + WALK_ENTRIES, n))
+                else:
+                    continue
+                # gap * gap / width > best ends a row's walk on this side
+                rows = np.flatnonzero(gap * gap <= np.minimum(best, most // width) * width)
+                if not len(rows):
+                    going_left, going_right = going_left and side != "left", going_right and side != "right"
+                    continue
+                distance = (own_squares[rows, None] + squares[looked]
+                            - 2 * (x[rows] @ ordered[looked].T)).astype(np.int64)
+                near = distance.min(axis=1)
+                entry = np.where(distance == near[:, None], self.order[looked], n).min(axis=1)
+                wins = (near < best[rows]) | (near == best[rows]) & (entry < index[rows])
+                best[rows[wins]], index[rows[wins]] = near[wins], entry[wins]
+                if side == "left":
+                    left, going_left = looked.start, looked.start > 0
+                else:
+                    right, going_right = looked.stop, looked.stop < n
         return index, best
 
     def _nearest_one(self, part: list[int]) -> tuple[int, int]:

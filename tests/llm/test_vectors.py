@@ -63,8 +63,9 @@ def vectors(n, dim=8, seed=0, spread=0.3):
 
 def test_search_finds_the_nearest():
     rnd = np.random.default_rng(3)
-    for dim, spread in ((1, 20), (3, 4), (16, 400)):
+    for dim, spread in ((1, 20), (3, 4), (16, 400), (2, 1 << 27)):
         book = rnd.integers(-spread, spread, (200, dim))
+        assert V._double_is_exact(book) == (spread < 1 << 20)
         part = np.concatenate([rnd.integers(-spread, spread, (500, dim)), book[:50]])
         distance = ((part[:, None, :] - book[None]) ** 2).sum(axis=2)
         index, best = V.Codebook(book).nearest(part)
@@ -73,11 +74,24 @@ def test_search_finds_the_nearest():
         assert (index == distance[:60].argmin(axis=1)).all() and (best == distance[:60].min(axis=1)).all()
 
 
-def test_search_ends_early():
-    # far entries are not compared: their distances would overflow
-    book = np.array([[0], [10], [1 << 29]])
-    index, best = V.Codebook(book).nearest(np.array([[4], [6], [5]]))
-    assert index.tolist() == [0, 1, 0] and best.tolist() == [16, 16, 25]
+def test_search_ends_early(monkeypatch):
+    monkeypatch.setattr(V, "WALK_ENTRIES", 1)
+    book = V.Codebook(np.array([[1 << 29], [0], [10], [-300]]))
+    seen = []
+    walk = book._walk
+
+    def watched(x, own, ordered, squares):
+        class Looked(np.ndarray):
+            def __getitem__(self, key):
+                seen.append(key)
+                return np.asarray(self)[key]
+        return walk(x, own, ordered.view(Looked), squares)
+
+    book._walk = watched
+    index, best = book.nearest(np.array([[4], [6], [5]]))
+    assert index.tolist() == [1, 2, 1] and best.tolist() == [16, 16, 25]
+    # by sum: -300, 0, 10, 2^29; the ends are never looked at
+    assert {(s.start, s.stop) for s in seen} == {(1, 2), (2, 3)}
 
 
 def test_query(spark):
