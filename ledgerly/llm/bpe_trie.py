@@ -26,11 +26,11 @@ from pyspark.sql.functions import pandas_udf
 from ledgerly.llm.common import flatten, without
 from ledgerly.llm.vocabulary import CACHE_CHARS, ID_BITS, Recent, Vocabulary, load
 
-#: Words and pieces kept in one generation of a worker's cache.
-CACHE_WORDS = 1 << 17
+#: Words kept in one generation of a worker's cache.
+CACHE_WORDS = 1 << 18
 #: Distinct words inserted into one trie at most; more go into the next one.
 TRIE_WORDS = 1 << 15
-#: Bounds of the tables that fill up with use: automaton steps, known seams.
+#: Bounds of the tables that fill up with use: added automaton steps, known seams.
 MOST_STEPS, MOST_SEAMS = 1 << 19, 1 << 18
 _NEVER = 1 << 60
 
@@ -45,31 +45,35 @@ class TrieEncoder:
         if any(self.made.get(p, -1) >= r for t, r in self.made.items()
                for p in (self.left[t], self.right[t])):
             raise ValueError("a merge uses a token that a later merge makes")
-        self.known_seams: dict[int, bool] = {}
+        #: right token -> {left token: whether the seam holds}
+        self.known_seams: dict[int, dict[int, bool]] = {}
+        self.seams = 0
         self._build_automaton([*vocab.byte_id, *(
             t for t, r in self.made.items() if self._seam_holds(self.left[t], self.right[t], r, r))])
-        self.packed = Recent(self._encode_piece, CACHE_WORDS)
+        self.packed = Recent(self._encode_word, CACHE_WORDS)
 
     def _build_automaton(self, tokens: list[int]) -> None:
         """Suffix automaton (Aho-Corasick) over the tokens that BPE can make at
         all: a state stands for the longest token prefix that ends here, and
         ``enders`` has the tokens that end here with their lengths, longest
-        first. ``step`` grows as missing transitions are met."""
-        self.step: dict[int, int] = {}
+        first. ``step`` (by state, then byte) grows as missing transitions are met."""
+        self.step: list[dict[int, int]] = [{}]
+        self.steps = 0
         self.enders: list[list[tuple[int, int]]] = [[]]
         self.fail = [0]
         layers: list[list[tuple[int, int, int]]] = [[]]
         for t in tokens:
             s = 0
             for depth, byte in enumerate(self.vocab.token_bytes[t]):
-                if (key := s << 8 | byte) not in self.step:
-                    self.step[key] = len(self.enders)
+                if byte not in self.step[s]:
+                    self.step[s][byte] = len(self.enders)
+                    self.step.append({})
                     self.enders.append([])
                     self.fail.append(0)
                     while len(layers) <= depth:
                         layers.append([])
-                    layers[depth].append((s, byte, self.step[key]))
-                s = self.step[key]
+                    layers[depth].append((s, byte, self.step[s][byte]))
+                s = self.step[s][byte]
             self.enders[s].append((t, depth + 1))
         for layer in layers:
             for parent, byte, s in layer:
@@ -78,12 +82,13 @@ class TrieEncoder:
                     self.enders[s] = self.enders[s] + self.enders[self.fail[s]]
 
     def _next(self, state: int, byte: int) -> int:
-        key, found = state << 8 | byte, None
-        while (found := self.step.get(state << 8 | byte)) is None and state:
+        first = state
+        while (found := self.step[state].get(byte)) is None and state:
             state = self.fail[state]
         found = found or 0
-        if len(self.step) < MOST_STEPS:
-            self.step[key] = found
+        if self.steps < MOST_STEPS and byte not in self.step[first]:
+            self.step[first][byte] = found
+            self.steps += 1
         return found
 
     def _seam_holds(self, a: int, b: int, use_a: int, use_b: int) -> bool:
@@ -103,12 +108,14 @@ class TrieEncoder:
                 use_b, b = made_b, self.left[b]
 
     def follows(self, a: int, b: int) -> bool:
-        key = a << ID_BITS | b
-        known = self.known_seams.get(key)
+        known = self.known_seams.setdefault(b, {}).get(a)
         if known is None:
-            if len(self.known_seams) >= MOST_SEAMS:
+            if self.seams >= MOST_SEAMS:
                 self.known_seams.clear()
-            known = self.known_seams[key] = self._seam_holds(a, b, _NEVER, _NEVER)
+                self.seams = 0
+            known = self._seam_holds(a, b, _NEVER, _NEVER)
+            self.known_seams.setdefault(b, {})[a] = known
+            self.seams += 1
         return known
 
     def encode_words(self, words: Iterable[str]) -> dict[str, bytes]:
@@ -122,7 +129,7 @@ class TrieEncoder:
         for w in words:
             if w in special:
                 out[w] = _packed([special[w]])
-        step, enders, seams = self.step.get, self.enders, self.known_seams.get
+        step, enders, seams, none = self.step, self.enders, self.known_seams.get, {}
         # Of each prefix on the path: the automaton's state, the last token,
         # and where that token starts.
         room = max((len(raw) for raw, _ in trie), default=0) + 1
@@ -136,14 +143,14 @@ class TrieEncoder:
                 shared += 1
             before, state, depth = raw, states[shared], shared
             for byte in raw[shared:]:
-                following = step(state << 8 | byte)
+                following = step[state].get(byte)
                 state = self._next(state, byte) if following is None else following
                 depth += 1
                 for token, size in enders[state]:
                     at = depth - size
                     if not at:
                         break
-                    holds = seams(last[at] << ID_BITS | token)
+                    holds = seams(token, none).get(last[at])
                     if holds or holds is None and self.follows(last[at], token):
                         break
                 states[depth], last[depth], start[depth] = state, token, at
@@ -155,24 +162,24 @@ class TrieEncoder:
             out[word] = _packed(ids)
         return out
 
-    def _encode_piece(self, piece: str) -> bytes:
-        words = [piece] if piece in self.vocab.special else self.vocab.words_of_piece(piece)
-        if len(words) > 1:
-            return b"".join(map(self.packed.__getitem__, words))
-        return self.encode_words(words)[piece]
+    def _encode_word(self, word: str) -> bytes:
+        return self.encode_words([word])[word]
 
     def encode_texts(self, texts: list[str | None]) -> list[bytes]:
         """Packed ids of whole texts: the words not yet known go through tries
-        together, and then every text is put together from its pieces."""
-        known, old, words_of = self.packed, self.packed.old, self.vocab.words_of_piece
-        split = [self.vocab.pieces(t) if t else [] for t in texts]
-        fresh = {p for p in set().union(*split) if p not in known and p not in old}
-        words = {w for p in fresh for w in words_of(p)}
-        new = sorted(w for w in words if len(w) <= CACHE_CHARS and w not in known and w not in old)
+        together, and then every text is put together from its words. The ids
+        of all words of these texts are held beside the cache, so a word is
+        encoded once here however small the cache is."""
+        known, words_of = self.packed, self.vocab.words
+        split = [words_of(t) if t else [] for t in texts]
+        ids = {w: known.peek(w) for w in set().union(*split)}
+        new = sorted(w for w, packed in ids.items() if packed is None)
         for i in range(0, len(new), TRIE_WORDS):
-            for w, ids in self.encode_words(new[i:i + TRIE_WORDS]).items():
-                known.put(w, ids)
-        return [b"".join(map(known.__getitem__, parts)) for parts in split]
+            for w, packed in self.encode_words(new[i:i + TRIE_WORDS]).items():
+                ids[w] = packed
+                if len(w) <= CACHE_CHARS:
+                    known.put(w, packed)
+        return [b"".join(map(ids.__getitem__, words)) for words in split]
 
 
 def _packed(ids: list[int]) -> bytes:
@@ -186,7 +193,7 @@ def encoder(path: str) -> TrieEncoder:
 
 #: Characters of text handled together at most (a longer text stands alone),
 #: and texts decoded together.
-CHUNK_CHARS, DECODE_ROWS = 1 << 20, 512
+CHUNK_CHARS, DECODE_ROWS = 1 << 21, 512
 
 
 def chunks(texts: Iterable[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str | None]]:

@@ -5,8 +5,8 @@ and place of every adjacent pair that some merge names; the lowest rank (ties:
 leftmost) is popped and merged until none is left. Each merge removes exactly
 one symbol, so the count is initial symbols minus merges, and no identifier is
 ever emitted. A word of n bytes costs O(n log n), so a text without a single
-space is safe. Words repeat: each Python worker keeps bounded caches of the
-counts of short words and pieces.
+space is safe. Words repeat: each Python worker keeps a bounded cache of the
+counts of short words.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ from pyspark.sql.functions import pandas_udf
 from ledgerly.llm.common import without
 from ledgerly.llm.vocabulary import ID_BITS, Recent, Vocabulary, load
 
-#: Words and pieces kept in one generation of a worker's cache.
+#: Words kept in one generation of a worker's cache.
 CACHE_WORDS = 1 << 18
 PLACE_BITS = 40
 
@@ -63,23 +63,20 @@ def merges_of(word: bytes, vocab: Vocabulary) -> int:
 
 
 class Counter:
-    """Counts the tokens of texts, with a bounded cache of words and pieces."""
+    """Counts the tokens of texts, with a bounded cache of words."""
 
     def __init__(self, vocab: Vocabulary):
         self.vocab = vocab
         self.count = Recent(self._count, CACHE_WORDS)
 
-    def _count(self, piece: str) -> int:
-        if piece in self.vocab.special:
+    def _count(self, word: str) -> int:
+        if word in self.vocab.special:
             return 1
-        words = self.vocab.words_of_piece(piece)
-        if len(words) > 1:
-            return sum(map(self.count.__getitem__, words))
-        raw = piece.encode()
+        raw = word.encode()
         return len(raw) - merges_of(raw, self.vocab)
 
     def text(self, text: str | None) -> int:
-        return sum(map(self.count.__getitem__, self.vocab.pieces(text))) if text else 0
+        return sum(map(self.count.__getitem__, self.vocab.words(text))) if text else 0
 
 
 @lru_cache(maxsize=4)

@@ -16,11 +16,6 @@ import regex
 WORD_PATTERN = (r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+"
                 r"|\s+(?!\S)|\s+")
 
-#: White space other than space and newline, to ``str`` or to the pattern.
-OTHER_SPACE = "".join(c for c in map(chr, range(0x110000))
-                      if c not in " \n" and (c.isspace() or regex.match(r"\s", c)))
-_ASCII_SPACE = "".join(filter(str.isascii, OTHER_SPACE))
-
 #: Room for one id where a pair of ids is one integer.
 ID_BITS = 24
 
@@ -85,30 +80,6 @@ class Vocabulary:
         return out
 
 
-    def words_of_piece(self, piece: str) -> list[str]:
-        """As ``words``; a piece of letters only, or with one space before
-        them, is one pre-token."""
-        if piece.isalpha() or piece[0] == " " and piece[1:].isalpha():
-            return [piece]
-        return self.words(piece)
-
-    def pieces(self, text: str) -> list[str]:
-        """The text cut into parts that can be encoded one by one.
-
-        Where white space always stands alone and is a space or a newline, a
-        space opens the next pre-token and a newline is one, so the text is cut
-        before every space and around every newline; any other text is cut
-        into its pre-tokens. With no other white space in the text, as many
-        words as cuts and one mean that no two cuts touch and none is at an end."""
-        other = _ASCII_SPACE if text.isascii() else OTHER_SPACE
-        alone = (len(text.split()) == text.count(" ") + text.count("\n") + 1
-                 and not any(map(text.__contains__, other))
-                 and "\0" not in text and not any(map(text.__contains__, self.special)))
-        if not alone:
-            return self.words(text)
-        return text.replace("\n", "\0\n\0").replace(" ", "\0 ").split("\0")
-
-
 class Recent(dict):
     """A cache bounded by two generations: when the young one is full it becomes
     the old one, so what is used often stays. A missing key is computed."""
@@ -126,6 +97,13 @@ class Recent(dict):
         self.put(key, value)
         return value
 
+    def peek(self, key):
+        """The kept value, or None."""
+        value = self.get(key)
+        if value is None and (value := self.old.get(key)) is not None:
+            self.put(key, value)
+        return value
+
     def put(self, key, value) -> None:
         if len(self) >= self.most:
             self.old = dict(self)
@@ -133,7 +111,7 @@ class Recent(dict):
         self[key] = value
 
 
-#: Longest word or piece (characters) that a cache keeps.
+#: Longest word (characters) that a cache keeps.
 CACHE_CHARS = 64
 
 

@@ -8,11 +8,12 @@ from tokenizers import Tokenizer
 
 from ledgerly.llm import bpe_trie, token_counts
 from ledgerly.llm.queries import VOCABULARY, op2_heap_token_counts, op3_trie_bpe
-from ledgerly.llm.vocabulary import OTHER_SPACE
 from tests.llm.cases import crowded, frame, sample_rows
 from tests.llm.conftest import SF
 
 LIBRARY = Tokenizer.from_file(VOCABULARY)
+#: White space other than space and newline.
+OTHER_SPACE = "".join(c for c in map(chr, range(0x110000)) if c not in " \n" and c.isspace())
 
 
 def ids_of(text):
