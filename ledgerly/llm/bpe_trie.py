@@ -31,7 +31,7 @@ CACHE_WORDS = 1 << 18
 #: Distinct words inserted into one trie at most; more go into the next one.
 TRIE_WORDS = 1 << 15
 #: Bounds of the tables that fill up with use: added automaton steps, known seams.
-MOST_STEPS, MOST_SEAMS = 1 << 19, 1 << 18
+MOST_STEPS, MOST_SEAMS = 1 << 18, 1 << 18
 _NEVER = 1 << 60
 
 
@@ -193,7 +193,7 @@ def encoder(path: str) -> TrieEncoder:
 
 #: Characters of text handled together at most (a longer text stands alone),
 #: and texts decoded together.
-CHUNK_CHARS, DECODE_ROWS = 1 << 21, 512
+CHUNK_CHARS, DECODE_ROWS = 1 << 20, 512
 
 
 def chunks(texts: Iterable[str | None], most: int = CHUNK_CHARS) -> Iterator[list[str | None]]:
@@ -208,26 +208,39 @@ def chunks(texts: Iterable[str | None], most: int = CHUNK_CHARS) -> Iterator[lis
         yield part
 
 
-def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text") -> DataFrame:
+def encode_documents(docs: DataFrame, vocabulary: str, text: str = "text",
+                     decoded: str | None = None) -> DataFrame:
     """``docs`` plus ``n_tokens`` and ``token_ids`` (binary: the ids as
-    little-endian unsigned 32-bit integers, the layout of training shards).
+    little-endian unsigned 32-bit integers, the layout of training shards), and
+    the text decoded from these ids if ``decoded`` names a column for it (the
+    same as ``decode_documents``, without a second trip through Python).
 
     Added tokens' strings inside a text become their ids; nothing is added,
     cut or padded. Null and empty texts have no ids (empty binary). Every row
     is encoded on its own, so ties and repeated rows change nothing. Map-only."""
+    back = f"`{decoded}` string" if decoded else ""
 
-    @pandas_udf("n_tokens long, token_ids binary")
+    @pandas_udf("n_tokens long, token_ids binary" + (f", {back}" if back else ""))
     def encode(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         e = encoder(vocabulary)
         for texts in batches:
             for part in chunks(texts):
                 ids = e.encode_texts(part)
-                yield pd.DataFrame({"n_tokens": [len(x) // 4 for x in ids], "token_ids": ids})
+                out = {"n_tokens": [len(x) // 4 for x in ids], "token_ids": ids}
+                if decoded:
+                    out[decoded] = [decode_ids(x, e.vocab) for x in ids]
+                yield pd.DataFrame(out)
 
-    base = without(docs, *{"n_tokens", "token_ids"} - {text})
+    names = {"n_tokens", "token_ids", *([decoded] if decoded else [])}
+    base = without(docs, *names - {text})
     return flatten(base.withColumn("__encoded", encode(F.col(f"`{text}`"))), "__encoded")
 
 
+def decode_ids(packed: bytes | None, vocab: Vocabulary) -> str:
+    ids = np.frombuffer(packed or b"", "<u4").tolist()
+    return b"".join(map(vocab.token_bytes.__getitem__, ids)).decode("utf-8", "replace")
+
+
 def decode_documents(encoded: DataFrame, vocabulary: str, ids: str = "token_ids",
                      out: str = "decoded_text") -> DataFrame:
     """``encoded`` plus the text of the packed ids; added tokens give their
@@ -236,11 +249,10 @@ def decode_documents(encoded: DataFrame, vocabulary: str, ids: str = "token_ids"
 
     @pandas_udf("string")
     def decode(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        token = load(vocabulary).token_bytes.__getitem__
+        vocab = load(vocabulary)
         for packed in batches:
             for at in range(0, len(packed), DECODE_ROWS):
-                yield pd.Series([b"".join(map(token, np.frombuffer(x or b"", "<u4").tolist()))
-                                 .decode("utf-8", "replace")
-                                 for x in packed.iloc[at:at + DECODE_ROWS]], dtype="object")
+                yield pd.Series([decode_ids(x, vocab) for x in packed.iloc[at:at + DECODE_ROWS]],
+                                dtype="object")
 
     return without(encoded, out).withColumn(out, decode(F.col(f"`{ids}`")))

@@ -41,8 +41,7 @@ def op2_heap_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    encoded = bpe_trie.encode_documents(docs, VOCABULARY).drop("text")
-    return bpe_trie.decode_documents(encoded, VOCABULARY).select(
+    return bpe_trie.encode_documents(docs, VOCABULARY, decoded="decoded_text").select(
         "doc_id", "n_tokens", F.sha2("token_ids", 256).alias("ids_sha256"),
         hex_sha256("decoded_text").alias("decoded_sha256"))
 

@@ -50,6 +50,9 @@ def test_edge_cases(spark):
     for r in encoded:
         assert np.frombuffer(r["token_ids"], "<u4").tolist() == ids_of(r["text"])
         assert r["decoded_text"] == (r["text"] or "")
+    at_once = bpe_trie.encode_documents(df, VOCABULARY, decoded="kept_text")
+    assert sorted((r["token_ids"], r["kept_text"]) for r in at_once.collect()) == sorted(
+        (r["token_ids"], r["decoded_text"]) for r in encoded)
     none = df.limit(0)
     assert token_counts.count_tokens(none, VOCABULARY).count() == 0
     assert bpe_trie.encode_documents(none, VOCABULARY).count() == 0
