@@ -44,6 +44,26 @@ def test_hot_group_is_split(spark):
     rows += [(None, None, None, None, None)] * 3
     got = sharding.shard_documents(frame(spark, rows), 8).collect()
     check(got, len(rows), 8, 0.03)
+    assert len({r["shard"] for r in got if r["text"] and r["text"].startswith("copy")}) > 1
+
+
+def test_repeated_rows_are_cut_by_count(spark):
+    rows = [(7, "the same row in full", "en", "s", 1)] * 600
+    rows += [(1000 + i, f"text {i} " + "x" * (i % 60), "en", "s", 1) for i in range(398)]
+    rows += [(8, "another one", "en", "s", 1)] * 300 + [(None, None, None, None, None)] * 500
+    for shards in (8, 3):
+        got = sharding.shard_documents(frame(spark, rows).repartition(5), shards).collect()
+        check(got, len(rows), shards, 0.02)
+    same = sharding.shard_documents(frame(spark, [(1, "x", "", "", 1)] * 4000), 8).collect()
+    check(same, 4000, 8, 0.0)
+
+
+def test_splitters_by_brute_force(spark):
+    """Each splitter leaves the bytes below it nearer to its target than the
+    tolerance, or is as near as whole rows allow."""
+    rows = [(i % 50, f"text {i % 70} " + "y" * (i % 90), "en", "s", 1) for i in range(2500)]
+    got = sharding.shard_documents(frame(spark, rows), 8, tolerance=0.001).collect()
+    check(got, 2500, 8, 0.001)
 
 
 def test_edge_cases(spark):
