@@ -11,12 +11,13 @@ Conventions that hold for every operator of this subpackage:
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerly.session import ensure_checkpoint_dir, scratch_path
 
-__all__ = ["documents", "ensure_checkpoint_dir", "flatten", "scratch_path", "stored", "without"]
+__all__ = ["aside", "documents", "ensure_checkpoint_dir", "flatten", "put_back", "scratch_path",
+           "stored", "without"]
 
 
 def documents(spark: SparkSession, sf_dir: str, table: str = "documents") -> DataFrame:
@@ -37,6 +38,19 @@ def flatten(df: DataFrame, struct: str) -> DataFrame:
     return df.select(*kept, *[F.col(f"`{struct}`").getField(f).alias(f) for f in fields])
 
 
+def aside(docs: DataFrame, *needed: str) -> DataFrame:
+    """The ``needed`` columns alone, and the whole row as one column: an operator
+    may then write any column name without replacing one of the input's."""
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("__row_in"),
+                       *[F.col(f"`{c}`") for c in needed])
+
+
+def put_back(found: DataFrame, docs: DataFrame, **replaced: Column) -> DataFrame:
+    """The columns of ``docs`` as they came, but for the ``replaced`` ones."""
+    return found.select(*[replaced[c].alias(c) if c in replaced else F.col("__row_in").getField(c).alias(c)
+                          for c in docs.columns])
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write a frame to the shared scratch folder and read it back: cuts the
     lineage, survives lost executors and is computed once."""

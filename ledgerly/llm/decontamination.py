@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerly.llm.bpe_trie import chunks
-from ledgerly.llm.common import flatten, stored, without
+from ledgerly.llm.common import aside, flatten, put_back, stored, without
 
 #: Upper-case ASCII to lower case; every other ASCII byte that is neither a
 #: digit nor a letter to a space; bytes from 0x80 on stay.
@@ -42,7 +42,7 @@ def normalised_words(text: str | None) -> list[bytes]:
 
 def benchmark_windows(benchmark: DataFrame, width: int, text: str, item_id: str) -> DataFrame:
     """Distinct ``(window, item_id)``: words joined by one space. Items without
-    words, or without an id, have no windows."""
+    words have no windows; the windows of items without an id have a null one."""
 
     @pandas_udf("array<string>")
     def windows(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
@@ -54,18 +54,16 @@ def benchmark_windows(benchmark: DataFrame, width: int, text: str, item_id: str)
                             for i in range(max(1, len(w) - width + 1))] if w else [])
             yield pd.Series(out, dtype="object")
 
-    return (benchmark.where(F.col(f"`{item_id}`").isNotNull())
-            .select(F.col(f"`{item_id}`").cast("string").alias("item_id"),
-                    F.explode(windows(F.col(f"`{text}`"))).alias("window"))
-            .distinct())
+    return benchmark.select(F.col(f"`{item_id}`").cast("string").alias("item_id"),
+                            F.explode(windows(F.col(f"`{text}`"))).alias("window")).distinct()
 
 
 class WindowSet:
     """Hash set of windows over its own word vocabulary."""
 
-    def __init__(self, rows: list[tuple[str, str]]):
+    def __init__(self, rows: list[tuple[str, str | None]]):
         self.word_id: dict[bytes, int] = {}
-        self.items: dict[tuple[int, ...], list[str]] = {}
+        self.items: dict[tuple[int, ...], list[str | None]] = {}
         for window, item in rows:
             ids = tuple(self.word_id.setdefault(w, len(self.word_id) + 1)
                         for w in window.encode().split())
@@ -80,7 +78,7 @@ class WindowSet:
     def _hash(self, windows: np.ndarray, n: int) -> np.ndarray:
         return (windows * self.weights[:n]).sum(axis=1, dtype=np.uint64)
 
-    def find(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[str]]]:
+    def find(self, ids: np.ndarray) -> Iterator[tuple[int, int, list[str | None]]]:
         """Start, width and items of every occurrence in a run of word ids
         (0: a word of no window)."""
         known = np.concatenate([[0], np.cumsum(ids > 0)])
@@ -121,7 +119,7 @@ def scan_texts(texts: list[str | None], windows: WindowSet) -> tuple[list, list,
     for i, n, found in windows.find(np.array(ids, np.int64)):
         k = bisect_right(bounds, i) - 1
         spans[k].append((i - bounds[k], i - bounds[k] + n))
-        items[k].update(found)
+        items[k].update(x for x in found if x is not None)
     return [bounds[k + 1] - bounds[k] - 1 for k in range(len(texts))], spans, items
 
 
@@ -132,12 +130,13 @@ def find_contamination(docs: DataFrame, benchmark: DataFrame, *, width: int = 10
     ``item_ids`` (sorted as strings) and ``n_hit``.
 
     Null and empty texts have no words and no hits; an empty benchmark hits
-    nothing; items with equal texts are all named. Documents are never
+    nothing; items with equal texts are all named. The words of an item without
+    an id hit like any other's, but it adds nothing to ``item_ids``. Documents are never
     shuffled: ties and repeated rows are scanned where they are."""
     spark = docs.sparkSession
     base = without(docs, *{"n_words", "spans", "item_ids", "n_hit"} - {text})
     windows = benchmark_windows(benchmark, width, benchmark_text, item_id)
-    total = windows.agg(F.sum(F.octet_length("window") + F.octet_length("item_id") + 64)).first()[0]
+    total = windows.agg(F.sum(F.octet_length("window") + F.coalesce(F.octet_length("item_id"), F.lit(0)) + 64)).first()[0]
     blocks = max(1, -(-2 * (total or 0) // block_bytes))  # dealt by hash: leave room for chance
     if blocks == 1:
         scan = _scan_udf(spark.sparkContext.broadcast(_window_set(windows)))
@@ -193,7 +192,7 @@ def _scanned_by_block(docs: DataFrame, windows: DataFrame, blocks: int, text: st
         F.max("n_words").alias("n_words"), F.flatten(F.collect_list("spans")).alias("spans"),
         F.array_sort(F.array_distinct(F.flatten(F.collect_list("item_ids")))).alias("item_ids"))
     joined = joined.select("__row", "n_words", join_spans("spans").alias("spans"), "item_ids")
-    return numbered.join(joined.hint("shuffle_hash"), "__row").drop("__row")
+    return numbered.join(joined, "__row").drop("__row")
 
 
 def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, mode: str = "document",
@@ -202,9 +201,9 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, mode: str = "
     (``mode="document"``) or only the hit word spans (``mode="span"``; the text
     between two words goes with the words on both sides of it). Clean documents
     come back unchanged."""
-    found = find_contamination(docs, benchmark, text=text, **options)
+    found = find_contamination(aside(docs, text), benchmark, text=text, **options)
     if mode == "document":
-        return found.where(F.col("n_hit") == 0).select(*[F.col(f"`{c}`") for c in docs.columns])
+        return put_back(found.where(F.col("n_hit") == 0), docs)
     if mode != "span":
         raise ValueError(f"unknown mode {mode!r}")
 
@@ -215,7 +214,7 @@ def remove_contamination(docs: DataFrame, benchmark: DataFrame, *, mode: str = "
                              for t, s in zip(texts, spans, strict=True)], dtype="object")
 
     clean = F.when(F.col("n_hit") > 0, cut(F.col(f"`{text}`"), F.col("spans"))).otherwise(F.col(f"`{text}`"))
-    return found.withColumn(text, clean).select(*[F.col(f"`{c}`") for c in docs.columns])
+    return put_back(found, docs, **{text: clean})
 
 
 def cut_words(text: str | None, spans: list[tuple[int, int]]) -> str | None:

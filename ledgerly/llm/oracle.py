@@ -49,7 +49,7 @@ _WORDS = r"regexp_extract_all({t}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 def _op5() -> str:
     words = _WORDS.format(t=_FOLD.format(t="coalesce(text, '')"))
     return f"""with d as (select doc_id, {words} as w from documents),
-b as (select cast(item_id as varchar) as item_id, {words} as w from benchmark where item_id is not null),
+b as (select cast(item_id as varchar) as item_id, {words} as w from benchmark),
 win as (select distinct item_id, least(10, len(w)) as n, unnest(list_transform(
    range(1, greatest(len(w) - 9, 1) + 1), lambda i: array_to_string(w[i:i+9], ' '))) as win
   from b where len(w) > 0),
@@ -60,7 +60,7 @@ hit as (select o.doc_id, o.i, o.n, win.item_id from (select doc_id, n, i,
 covered as (select doc_id, count(distinct p) as n_hit from (
    select doc_id, unnest(range(i, i + n)) as p from hit) group by doc_id),
 items as (select doc_id, count(*) as n_items, string_agg(item_id, ',' order by item_id) as ids
-  from (select distinct doc_id, item_id from hit) group by doc_id)
+  from (select distinct doc_id, item_id from hit where item_id is not null) group by doc_id)
 select d.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit,
  coalesce(n_items, 0) as n_items, sha256(coalesce(ids, '')) as items_sha256,
  coalesce(n_hit, 0) > 0 as contaminated

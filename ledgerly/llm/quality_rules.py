@@ -24,7 +24,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
-from ledgerly.llm.common import flatten, stored, without
+from ledgerly.llm.common import aside, put_back, flatten, stored, without
 
 SPACE = b" \t\n\x0b\x0c\r"
 SYMBOLS = b"#*$%&|<>"
@@ -221,3 +221,11 @@ def judge_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5,
     text (the counts are cheaper to take again than to shuffle texts)."""
     stats = rule_statistics(docs, text)
     return judge(stats, fit_label_model(stats, rules), threshold)
+
+
+def keep_documents(docs: DataFrame, text: str = "text", threshold: float = 0.5,
+                   rules: list[Rule] | None = None) -> DataFrame:
+    """The rows of ``docs`` that the rules keep, unchanged, whatever their columns
+    are called. Texts are counted once: the rows are stored with their counts."""
+    stats = stored(rule_statistics(aside(docs, text), text).drop(text), "quality-rows")
+    return put_back(judge(stats, fit_label_model(stats, rules), threshold).where("kept"), docs)

@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ledgerly.llm.common import scratch_path
+from ledgerly.llm.common import aside, put_back, scratch_path
 
 SPAN = T.StructType([T.StructField("start", T.LongType()), T.StructField("end", T.LongType()),
                      T.StructField("kind", T.StringType())])
@@ -171,8 +171,8 @@ def mask(text: Column, spans: Column, sign: str = "[SECRET]") -> Column:
 
 
 def mask_documents(docs: DataFrame, **options) -> DataFrame:
-    """``docs`` with every secret in the text masked; clean rows unchanged."""
-    text = options.get("text", "text")
-    found = scan_documents(docs, **options)
-    return found.withColumn(text, mask(F.col(f"`{text}`"), F.col("spans"))).select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    """``docs`` with every secret in the text masked; clean rows and all other
+    columns, whatever they are called, come back unchanged."""
+    text, doc_id = options.get("text", "text"), options.get("doc_id", "doc_id")
+    found = scan_documents(aside(docs, doc_id, text), **options)
+    return put_back(found, docs, **{text: mask(F.col(f"`{text}`"), F.col("spans"))})

@@ -77,7 +77,7 @@ def contamination(docs, items, width=10):
     for item, text in items:
         w = folded_words(text)
         for i in range(max(1, len(w) - width + 1)) if w else []:
-            windows[tuple(w[i:i + width])].add(str(item))
+            windows[tuple(w[i:i + width])].add(item)
     sizes = {len(w) for w in windows}
     out = []
     for _, text in docs:
@@ -88,7 +88,7 @@ def contamination(docs, items, width=10):
                 if (k := tuple(w[i:i + n])) in windows:
                     hit |= set(range(i, i + n))
                     found |= windows[k]
-        out.append((len(w), len(hit), sorted(found)))
+        out.append((len(w), len(hit), sorted(str(x) for x in found if x is not None)))
     return out
 
 

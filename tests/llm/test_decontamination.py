@@ -23,7 +23,7 @@ def bench(spark, items=None):
 
 
 def expected(rows):
-    return contamination([(d, t) for d, t in rows], [x for x in ITEMS if x[0] is not None])
+    return contamination(rows, ITEMS)
 
 
 def test_edge_cases_in_one_block_and_in_many(spark):
@@ -56,6 +56,21 @@ def test_blocks_are_held_one_at_a_time(spark, monkeypatch):
         [(r["doc_id"], r["text"]) for r in rows])
 
 
+def test_items_without_an_id_hit(spark):
+    df = frame(spark, [(1, "all of this hits", "", "", 0), (2, "this does not", "", "", 0)])
+    items = bench(spark, [(None, "All of THIS hits"), (7, "of this")])
+    got = {r["doc_id"]: (r["n_hit"], r["item_ids"]) for r in D.find_contamination(df, items).collect()}
+    assert got == {1: (4, ["7"]), 2: (0, [])}
+
+
+def test_clashing_columns_come_back(spark):
+    df = crowded(frame(spark))
+    for mode in ("document", "span"):
+        kept = D.remove_contamination(df, bench(spark), mode=mode)
+        assert kept.columns == df.columns
+        assert {(r["spans"], r["n_words"], r["Extra"]) for r in kept.collect()} == {("clash",) * 3}
+
+
 def test_removal(spark):
     df = frame(spark)
     hit = {(r["doc_id"], r["text"]) for r in D.find_contamination(df, bench(spark)).collect() if r["n_hit"]}

@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as P
 from ledgerly.llm import quality_rules as Q
 from ledgerly.llm.queries import VOCABULARY, oracle_sql, queries
-from tests.llm.cases import contamination, frame, groups, rule_counts, secrets
+from tests.llm.cases import contamination, crowded, frame, groups, rule_counts, secrets
 from tests.llm.conftest import SF
 
 
@@ -50,8 +50,18 @@ def test_every_stage_takes_hard_cases(spark):
                 assert out.columns == docs.columns
 
 
+def test_every_stage_leaves_clashing_columns_alone(spark):
+    docs = crowded(frame(spark))
+    for name, stage in P.STAGES[:-1]:
+        out = stage(spark, docs, SF)
+        assert out.columns == docs.columns, name
+        for r in out.collect():
+            assert {v for c, v in r.asDict().items()
+                    if c not in ("doc_id", "text", "lang", "source", "n_chars")} == {"clash"}, name
+
+
 def test_stages_are_as_ordered():
     assert [n for n, _ in P.STAGES] == ["quality_rules", "simhash_near_dedup", "benchmark_decontamination",
                                         "secret_scan", "bpe_encoding"]
     assert set(oracle_sql()) <= set(queries())
-    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries()) == list(range(1, 14))

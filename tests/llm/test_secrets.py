@@ -82,3 +82,10 @@ def test_mask(spark):
                 out += text[at:s] + "[SECRET]"
             at = max(at, e)
         assert rows[doc] == out + text[at:]
+
+
+def test_clashing_columns_come_back(spark):
+    df = crowded(frame(spark))
+    kept = S.mask_documents(df)
+    assert kept.columns == df.columns and kept.count() == df.count()
+    assert {(r["spans"], r["blob_id"], r["Extra"]) for r in kept.collect()} == {("clash",) * 3}
