@@ -18,7 +18,7 @@ from ledgerly.llm.queries import VOCABULARY
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the weakly supervised quality rules reject go."""
-    return quality_rules.judge_documents(docs).where("kept").select(*docs.columns)
+    return quality_rules.keep_documents(docs)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,8 +38,7 @@ def mask_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids of every text, and the check that they decode to it."""
-    encoded = bpe_trie.encode_documents(docs, VOCABULARY)
-    decoded = bpe_trie.decode_documents(encoded, VOCABULARY)
+    decoded = bpe_trie.encode_documents(docs, VOCABULARY, decoded="decoded_text")
     return decoded.withColumn("round_trip", F.col("decoded_text") == F.coalesce("text", F.lit(""))
                               ).drop("decoded_text")
 
