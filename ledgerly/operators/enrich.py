@@ -2,7 +2,8 @@
 
 Code translations are projections; the product dimension is a left join on
 integer-normalised keys (``'01'`` equals ``'1'``) against a size-checked
-broadcast, so the event side is never shuffled.
+broadcast, so the event side is never shuffled; a dimension beyond the bounds is
+joined by a salted shuffle.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from ledgerly.functions import (
     event_id,
     translate_codes,
 )
-from ledgerly.operators.rules import DEFAULT_MAX_BROADCAST_ROWS, bounded_broadcast
+from ledgerly.operators.rules import DEFAULT_MAX_BROADCAST_ROWS, is_small
+from ledgerly.operators.skew import salted_join
 
 # The used columns of the product table.
 DIM_COLUMNS = ["RAMO_POL", "MODALIDAD_POL", "Negocio", "Tipo de Negocio"]
@@ -72,10 +74,18 @@ def enrich_product(events: DataFrame, dim: DataFrame,
         F.col("Negocio").alias("TR_NEGOCIO"),
         F.col("Tipo_de_negocio").alias("TR_COD_TIP_NEGOCIO"),
     )
-    d = bounded_broadcast(d, max_broadcast_rows)
-    cond = ((events.COD_RAMO.try_cast("int") == d._DIM_RAMO.try_cast("int"))
-            & (events.COD_MODALIDAD.try_cast("int") == d._DIM_MODALIDAD.try_cast("int")))
-    return events.join(d, cond, "left")
+    keyed = events.withColumns({"_RAMO": events.COD_RAMO.try_cast("int"),
+                                "_MODALIDAD": events.COD_MODALIDAD.try_cast("int")})
+    d = d.withColumns({"_RAMO": F.col("_DIM_RAMO").try_cast("int"),
+                       "_MODALIDAD": F.col("_DIM_MODALIDAD").try_cast("int")})
+    keys = ["_RAMO", "_MODALIDAD"]
+    if is_small(d, max_broadcast_rows):
+        joined = keyed.join(F.broadcast(d), keys, "left")
+    elif events.isStreaming:  # keys of a stream cannot be counted beforehand
+        joined = keyed.join(d, keys, "left")
+    else:
+        joined = salted_join(keyed, d, keys, ["COD_RECIBO"], "left")
+    return joined.drop(*keys)
 
 
 def business_events(f0: DataFrame, dim: DataFrame,

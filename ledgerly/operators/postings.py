@@ -54,47 +54,46 @@ def with_event_key(events: DataFrame) -> DataFrame:
 
 def valid_events(events: DataFrame, rules: RuleSet) -> DataFrame:
     """Events whose business event name is in the master (semi join)."""
-    master = rules.small("valid_events", rules.valid_event_names())
-    return with_event_key(events).join(master, "EVENT_NEG", "left_semi")
+    return rules.lookup(with_event_key(events), rules.valid_event_names(), "valid_events",
+                        ["EVENT_NEG"], "left_semi")
 
 
 def expand_entries(valid: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per (event, accounting entry) pair; events without an entry drop."""
-    rel = rules.small("relation", rules.relation())
-    return valid.join(rel, "EVENT_NEG", "inner")
+    return rules.lookup(valid, rules.relation(), "relation", ["EVENT_NEG"])
 
 
 def expand_lines(entries: DataFrame, rules: RuleSet) -> DataFrame:
     """One row per structure line of each entry, with the amount's column name."""
-    st = rules.small("amount_structure", rules.amount_structure())
-    return entries.join(st, ["COD_ASIENTO", "COD_SOCIEDAD"], "inner")
+    return rules.lookup(entries, rules.amount_structure(), "amount_structure",
+                        ["COD_ASIENTO", "COD_SOCIEDAD"])
 
 
-def _typed_text(value, dtype: DataType):
+def typed_text(value, dtype: DataType):
     """A value in the attribute's own type, as text: equal values of one type
     have equal text (``10`` and ``10.00`` on a decimal column)."""
     return value if isinstance(dtype, StringType) else value.try_cast(dtype).cast("string")
 
 
-def _rule_side(lines: DataFrame, rules: RuleSet, attrs: list[str]) -> DataFrame:
+#: What a line looks its account rules up with.
+RULE_KEYS = [f"R_{k}" for k in MATCH_KEYS] + ["R_CAMPO", "R_VALOR"]
+
+
+def rule_side(lines: DataFrame, rules: RuleSet, attrs: list[str]) -> DataFrame:
+    """Account rules by their lookup keys; values in the attribute's type."""
     types = {f.name: f.dataType for f in lines.schema.fields}
     value = F.lit(None).cast("string")
     for n in attrs:
-        value = F.when(F.col("NOM_CAMPO") == n, _typed_text(F.col("VALOR"), types[n])).otherwise(value)
-    ra = rules.rule_accounts()
-    return rules.small("rule_accounts", ra.select(
+        value = F.when(F.col("NOM_CAMPO") == n, typed_text(F.col("VALOR"), types[n])).otherwise(value)
+    return rules.rule_accounts().select(
         *[F.col(k).alias(f"R_{k}") for k in MATCH_KEYS],
         F.col("NOM_CAMPO").alias("R_CAMPO"), value.alias("R_VALOR"),
-        "COD_CUENTA", *ACCOUNT_FIELDS))
+        "COD_CUENTA", *ACCOUNT_FIELDS)
 
 
-def _key_condition(lines: DataFrame, r: DataFrame):
-    cond = None
-    for k in MATCH_KEYS:
-        left = lines[k].try_cast("int") if k == "NATURALEZA" else lines[k]
-        c = left == r[f"R_{k}"]
-        cond = c if cond is None else cond & c
-    return cond
+def match_key_columns(lines: DataFrame) -> dict:
+    """A line's side of the structure keys."""
+    return {f"R_{k}": lines[k].try_cast("int") if k == "NATURALEZA" else lines[k] for k in MATCH_KEYS}
 
 
 def match_rules(lines: DataFrame, rules: RuleSet) -> DataFrame:
@@ -106,30 +105,15 @@ def match_rules(lines: DataFrame, rules: RuleSet) -> DataFrame:
     with multiplicity).
     """
     attrs = check_columns(lines, rules.names()["attributes"], "account rules")
-    r = _rule_side(lines, rules, attrs)
     types = {f.name: f.dataType for f in lines.schema.fields}
-    pairs = [F.struct(F.lit(n).alias("name"), _typed_text(F.col(f"`{n}`"), types[n]).alias("value"))
+    pairs = [F.struct(F.lit(n).alias("name"), typed_text(F.col(f"`{n}`"), types[n]).alias("value"))
              for n in attrs] or [F.struct(F.lit(None).cast("string").alias("name"),
                                           F.lit(None).cast("string").alias("value"))]
     pair = F.explode(F.array(*pairs)) if len(pairs) > 1 else pairs[0]
     paired = lines.withColumn("_PAIR", pair).withColumns(
-        {"_NAME": F.col("_PAIR.name"), "_VALUE": F.col("_PAIR.value")}).drop("_PAIR")
-    cond = (_key_condition(paired, r) & (paired["_NAME"] == r["R_CAMPO"])
-            & (paired["_VALUE"] == r["R_VALOR"]))
-    return paired.join(r, cond, "inner").drop(
-        "_NAME", "_VALUE", *[f"R_{k}" for k in MATCH_KEYS], "R_CAMPO", "R_VALOR")
-
-
-def unmatched_lines(lines: DataFrame, rules: RuleSet) -> DataFrame:
-    """Lines that no account rule matches: one anti join per attribute, each on
-    the structure keys and the value."""
-    attrs = check_columns(lines, rules.names()["attributes"], "account rules")
-    types = {f.name: f.dataType for f in lines.schema.fields}
-    for n in attrs:
-        r = _rule_side(lines, rules, attrs).where(F.col("R_CAMPO") == n)
-        value = _typed_text(lines[n], types[n])
-        lines = lines.join(r, _key_condition(lines, r) & (value == r["R_VALOR"]), "left_anti")
-    return lines
+        {"R_CAMPO": F.col("_PAIR.name"), "R_VALOR": F.col("_PAIR.value"),
+         **match_key_columns(lines)}).drop("_PAIR")
+    return rules.lookup(paired, rule_side(lines, rules, attrs), "rule_accounts", RULE_KEYS).drop(*RULE_KEYS)
 
 
 def posting_fields(matched: DataFrame, rules: RuleSet) -> dict:
@@ -145,13 +129,17 @@ def posting_fields(matched: DataFrame, rules: RuleSet) -> dict:
     }
 
 
-def describable():
-    """Rows whose description can be built: an integer account kind, and an
-    auxiliary column name whenever the kind asks for one; an amount column."""
+def describable_account():
+    """Accounts with an integer kind, and an auxiliary column name whenever the
+    kind asks for one."""
     kind = F.col("IND_TIPO").try_cast("int")
-    return (kind.isNotNull()
-            & ((kind != 1) | F.col("CAMPO_AUX").isNotNull())
-            & F.col("NOM_CAMPO").isNotNull())
+    return kind.isNotNull() & ((kind != 1) | F.col("CAMPO_AUX").isNotNull())
+
+
+def describable():
+    """Rows whose description can be built: a describable account and an amount
+    column."""
+    return describable_account() & F.col("NOM_CAMPO").isNotNull()
 
 
 def matched_lines(f1: DataFrame, rules: RuleSet, carry: list[str] = ()) -> DataFrame:

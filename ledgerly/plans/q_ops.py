@@ -13,7 +13,7 @@ from ledgerly.operators.counts import layer_counts, receipt_key_profile
 from ledgerly.operators.filters import LIFE_LINES, NON_LIFE_LINES, by_event, line_filter
 from ledgerly.operators.ledger import ledger
 from ledgerly.operators.normalize import normalize_receipts
-from ledgerly.operators.postings import matched_lines
+from ledgerly.operators.postings import matched_lines, postings
 from ledgerly.operators.rejects import REJECT_COLUMNS, unmatched_events
 from ledgerly.operators.sampling import CASE_COLUMN, case_sample
 from ledgerly.plans import oracle as O
@@ -22,35 +22,44 @@ from ledgerly.plans.registry import register
 from ledgerly.session import scratch_path
 from ledgerly.sources import fixtures as FX
 from ledgerly.sources.tables import load_table, receipts_as_of
+from ledgerly.versions import KeyedTable
 
 _NULL = "cast(null as varchar)"
 
 
-def _reject_sql(extra: dict[str, str] | None = None) -> str:
+def reject_select() -> str:
+    """The reject report as one select over the layers' CTEs."""
     ev_cols = f"TR_ID_EVNEG, EVENT_NEG, {_NULL} as COD_ASIENTO, {_NULL} as ID_ESTRUCTURA, " \
               f"{_NULL} as NOM_IMPORTE, {_NULL} as NATURALEZA"
     line_cols = "TR_ID_EVNEG, EVENT_NEG, COD_ASIENTO, ID_ESTRUCTURA, NOM_IMPORTE, NATURALEZA"
-    return O.with_ctes(f"""
-select {ev_cols}, 'invalid_event' as REASON from ev
- where EVENT_NEG not in (select EVENT_NEG from event_master)
+    line_keys = ["TR_ID_EVNEG", "COD_ASIENTO", "ID_ESTRUCTURA", "NOM_IMPORTE", "NATURALEZA"]
+    same_line = " and ".join(f"m.{k} = l.{k}" for k in line_keys)
+    of = lambda alias, cols: ", ".join(f"{alias}.{c}" for c in cols.split(", "))
+    ev_of = lambda alias: ev_cols.replace("TR_ID_EVNEG, EVENT_NEG", of(alias, "TR_ID_EVNEG, EVENT_NEG"))
+    return f"""
+select {ev_of('e')}, 'invalid_event' as REASON from ev e
+ left join event_master m on m.EVENT_NEG = e.EVENT_NEG where m.EVENT_NEG is null
 union all
-select {ev_cols}, 'no_entry' from valid v
- where not exists (select 1 from event_relation r where r.EVENT_NEG = v.EVENT_NEG)
+select {ev_of('v')}, 'no_entry' from valid v
+ left join (select distinct EVENT_NEG from event_relation) r on r.EVENT_NEG = v.EVENT_NEG
+ where r.EVENT_NEG is null
 union all
-select TR_ID_EVNEG, EVENT_NEG, COD_ASIENTO, {_NULL}, {_NULL}, {_NULL}, 'no_structure' from entries e
- where not exists (select 1 from amount_structure s
-                   where s.COD_ASIENTO = e.COD_ASIENTO and s.COD_SOCIEDAD = e.COD_SOCIEDAD)
+select e.TR_ID_EVNEG, e.EVENT_NEG, e.COD_ASIENTO, {_NULL}, {_NULL}, {_NULL}, 'no_structure' from entries e
+ left join (select distinct COD_ASIENTO, COD_SOCIEDAD from amount_structure) s
+  on s.COD_ASIENTO = e.COD_ASIENTO and s.COD_SOCIEDAD = e.COD_SOCIEDAD where s.COD_ASIENTO is null
 union all
-select {line_cols}, 'no_account_rule' from lines l
- where not exists (select 1 from matched m
-                   where m.TR_ID_EVNEG = l.TR_ID_EVNEG and m.COD_ASIENTO = l.COD_ASIENTO
-                     and m.ID_ESTRUCTURA = l.ID_ESTRUCTURA and m.NOM_IMPORTE = l.NOM_IMPORTE
-                     and m.NATURALEZA = l.NATURALEZA)
+select {of('l', line_cols)}, 'no_account_rule' from lines l
+ left join (select distinct {', '.join(line_keys)} from matched) m on {same_line}
+ where m.TR_ID_EVNEG is null
 union all
-select {line_cols}, 'bad_account_description' from matched where not ({O.DESCRIBABLE})""", extra)
+select {line_cols}, 'bad_account_description' from matched where not ({O.DESCRIBABLE})"""
+
 
+def reject_sql(extra: dict[str, str] | None = None) -> str:
+    return O.with_ctes(reject_select(), extra)
 
-@register("unmatched_events", _reject_sql())
+
+@register("unmatched_events", reject_sql())
 def q_unmatched_events(spark, sf):
     lay = fixture_layers(spark, sf)
     return unmatched_events(lay.f1, lay.rules.validate()).select(*REJECT_COLUMNS)
@@ -80,7 +89,7 @@ def _gap_ctes() -> dict[str, str]:
     return out
 
 
-@register("reject_reasons", _reject_sql(_gap_ctes()))
+@register("reject_reasons", reject_sql(_gap_ctes()))
 def q_reject_reasons(spark, sf):
     """The reject report under rules with gaps: every reason has rows."""
     lay = fixture_layers(spark, sf)
@@ -156,6 +165,16 @@ def q_ledger_reused_numbers(spark, sf):
     return ledger(reused.postings, reused.f1, reused.posting_date)
 
 
+@register("postings_beyond_broadcast", O.with_ctes(
+    f"select {', '.join(C.POSTINGS.fieldNames())} from postings"))
+def q_postings_beyond_broadcast(spark, sf):
+    """Postings under rules that count as too large to broadcast: every lookup is
+    a salted shuffle join, with event names that hold a third of all rows."""
+    lay = fixture_layers(spark, sf)
+    rules = replace(lay.rules, _sizes=None, _widths=None, _names=None, _dups=None, max_broadcast_rows=0)
+    return postings(lay.f1, rules.validate())
+
+
 @register("event_postings", O.with_ctes(
     f"""select {', '.join(C.POSTINGS.fieldNames())} from postings
  where TR_ID_EVNEG in (select min(TR_ID_EVNEG) from postings)"""))
@@ -280,6 +299,63 @@ def q_snapshot_changes(spark, sf):
     return snapshot_changes(old, new, ["COD_RECIBO"])
 
 
+# Months of the snapshots between the first and the whole extract.
+CUTS = (OLD_CUT, "1997-01", "1997-09", None)
+
+
+def _receipt_versions(spark, sf):
+    """The receipt table with one version per snapshot; receipts that a later
+    snapshot no longer has (renumbered ones) are removed."""
+    raw = fixture_layers(spark, sf).raw
+    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=32)
+    for cut in CUTS:
+        now = normalize_receipts(raw if cut is None else receipts_as_of(raw, cut))
+        gone = table.read().select("COD_RECIBO").join(now.select("COD_RECIBO"), "COD_RECIBO", "left_anti")
+        table.upsert(now, removed=gone, unique=False)
+    return table
+
+
+def _version_ctes() -> dict[str, str]:
+    out = {}
+    for i, cut in enumerate(CUTS, 1):
+        if cut is not None:
+            out[f"raw_{i}"] = _as_of_sql(cut)
+        out[f"f0_{i}"] = O.f0_select("raw" if cut is None else f"raw_{i}")
+    return out
+
+
+def _diff_sql(old: str, new: str, version: int | None = None) -> str:
+    extra = "" if version is None else f", {version} as version"
+    o_cols = ", ".join(f"o.{c}" for c in C.F0_NAMES)
+    n_cols = ", ".join(f"n.{c}" for c in C.F0_NAMES)
+    differs = " or ".join(f"o.{c} is distinct from n.{c}" for c in C.F0_NAMES)
+    both = f"from {old} o join {new} n on o.COD_RECIBO = n.COD_RECIBO where {differs}"
+    return f"""
+select {o_cols}, 'delete' as _change_type{extra} from {old} o
+ left join {new} n on n.COD_RECIBO = o.COD_RECIBO where n.COD_RECIBO is null
+union all
+select {n_cols}, 'insert'{extra} from {new} n
+ left join {old} o on n.COD_RECIBO = o.COD_RECIBO where o.COD_RECIBO is null
+union all select {o_cols}, 'update_preimage'{extra} {both}
+union all select {n_cols}, 'update_postimage'{extra} {both}"""
+
+
+@register("changes_between_versions", O.with_ctes(
+    _diff_sql("f0_1", f"f0_{len(CUTS)}"), _version_ctes()))
+def q_changes_between_versions(spark, sf):
+    """Net changes from the first to the last of four stored versions, composed
+    from the versions' change sets: the direct diff of the two."""
+    return _receipt_versions(spark, sf).changes_between(1)
+
+
+@register("changes_by_version", O.with_ctes(
+    " union all ".join(_diff_sql(f"f0_{i}", f"f0_{i + 1}", i + 1) for i in range(1, len(CUTS))),
+    _version_ctes()))
+def q_changes_by_version(spark, sf):
+    """The changes of every version after the first, step by step."""
+    return _receipt_versions(spark, sf).steps(1)
+
+
 def _upsert_sql() -> str:
     return O.with_ctes(f"""
 select {O.F0_COLS} from f0_old o
@@ -294,6 +370,17 @@ def q_upsert_by_key(spark, sf):
     return upsert(old, new, ["COD_RECIBO"])
 
 
+@register("stored_upsert", _upsert_sql())
+def q_stored_upsert(spark, sf):
+    """The old snapshot stored, then the new one merged into it by key: two
+    stored upserts, read back from the last version."""
+    old, new = _snapshots(spark, sf)
+    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=32)
+    table.upsert(old, unique=False)
+    table.upsert(new, unique=False)
+    return table.read()
+
+
 @register("ledger_incremental", O.with_ctes(
     f"select {', '.join(C.LEDGER.fieldNames())} from ps", {"ps": O.ledger_select()}))
 def q_ledger_incremental(spark, sf):
@@ -306,7 +393,6 @@ def q_ledger_incremental(spark, sf):
         ledger_from_partials,
         signed_partials,
     )
-    from ledgerly.operators.postings import postings
     lay = fixture_layers(spark, sf)
     rules = lay.rules.validate()
     old, new = _snapshots(spark, sf)
