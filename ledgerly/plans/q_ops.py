@@ -20,6 +20,7 @@ from ledgerly.plans import oracle as O
 from ledgerly.plans.layers import fixture_layers, publish_layers
 from ledgerly.plans.registry import register
 from ledgerly.session import scratch_path
+from ledgerly.sinks import full_refresh
 from ledgerly.sources import fixtures as FX
 from ledgerly.sources.tables import load_table, receipts_as_of
 from ledgerly.versions import KeyedTable
@@ -299,6 +300,14 @@ def q_snapshot_changes(spark, sf):
     return snapshot_changes(old, new, ["COD_RECIBO"])
 
 
+@register("stored_snapshot_changes", _changes_sql())
+def q_stored_snapshot_changes(spark, sf):
+    """The same between two stored snapshots, by key and digest."""
+    paths = [full_refresh(df, C.F0, scratch_path(spark, "snapshot")) for df in _snapshots(spark, sf)]
+    old, new = (spark.read.schema(C.F0).parquet(p) for p in paths)
+    return snapshot_changes(old, new, ["COD_RECIBO"], stored=True)
+
+
 # Months of the snapshots between the first and the whole extract.
 CUTS = (OLD_CUT, "1997-01", "1997-09", None)
 
@@ -307,7 +316,7 @@ def _receipt_versions(spark, sf):
     """The receipt table with one version per snapshot; receipts that a later
     snapshot no longer has (renumbered ones) are removed."""
     raw = fixture_layers(spark, sf).raw
-    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=32)
+    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=8)
     for cut in CUTS:
         now = normalize_receipts(raw if cut is None else receipts_as_of(raw, cut))
         gone = table.read().select("COD_RECIBO").join(now.select("COD_RECIBO"), "COD_RECIBO", "left_anti")
@@ -375,7 +384,7 @@ def q_stored_upsert(spark, sf):
     """The old snapshot stored, then the new one merged into it by key: two
     stored upserts, read back from the last version."""
     old, new = _snapshots(spark, sf)
-    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=32)
+    table = KeyedTable(spark, scratch_path(spark, "receipts"), C.F0, ["COD_RECIBO"], buckets=8)
     table.upsert(old, unique=False)
     table.upsert(new, unique=False)
     return table.read()

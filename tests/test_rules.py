@@ -11,7 +11,7 @@ from ledgerly import contracts as C
 from ledgerly.functions import UnknownColumnError
 from ledgerly.operators import postings as P
 from ledgerly.operators.enrich import business_events, product_dimension
-from ledgerly.operators.rejects import unmatched_events
+from ledgerly.operators.rejects import unmatched_events, with_rule_counts
 from ledgerly.operators.rules import RuleError, RuleSet
 from ledgerly.operators.rules_pivot import match_rules_pivot
 from ledgerly.sources import fixtures as FX
@@ -210,5 +210,39 @@ def test_unmatched_lines_are_those_without_a_rule(spark):
     ln = lines(events(spark, [("e1", "04", "CORR", "M"), ("e2", "99", "NONE", "M"), ("e3", None, None, "M")]),
                rules)
     matched = {r.TR_ID_EVNEG for r in P.match_rules(ln, rules).collect()}
-    unmatched = {r.TR_ID_EVNEG for r in P.unmatched_lines(ln, rules).collect()}
+    unmatched = {r.TR_ID_EVNEG for r in with_rule_counts(ln, rules).where("_RULES = 0").collect()}
     assert matched == {"e1"} and unmatched == {"e2", "e3"}
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_reject_report_is_one_pass(spark):
+    rules = rules_with(spark).validate()
+    ev = events(spark, [("e1", "04", "CORR", "M"), ("e2", "99", "NONE", "M")]).repartition(3)
+    plan = plan_of(unmatched_events(ev, rules))
+    events_side = [line for line in plan.splitlines() if "BroadcastHashJoin" in line or "SortMergeJoin" in line]
+    assert "Union" not in plan
+    # master, relation, structure (with its own inner join), one per attribute, and the chart
+    assert len(events_side) <= 4 + 2 * len(rules.names()["attributes"])
+
+
+def test_lines_that_match_twice_and_bad_accounts(spark):
+    rows = [("SSL1", "r1", "CB01-E", "CB01", 1, "COD_RAMO", "04", None, Decimal(7000000001)),
+            ("SSL1", "r2", "CB01-E", "CB01", 1, "TR_COD_AGENCIA", "CORR", None, Decimal(7000000009))]
+    rules = rules_with(spark, account_rows=rows)
+    ln = lines(events(spark, [("e1", "04", "CORR", "M")]), rules)
+    matched = P.match_rules(ln, rules)
+    counted = with_rule_counts(ln, rules).agg(F.sum("_RULES"), F.sum("_BAD")).first()
+    assert counted[0] == matched.count()
+    assert counted[1] == matched.where(~P.describable_account()).count()
+
+
+def test_broadcast_bound_in_bytes(spark):
+    wide = spark.createDataFrame([("E" * 5000,), ("F" * 5000,)], "EVENT_NEG string")
+    rules = rules_with(spark, event_master=wide).validate()
+    assert rules.is_small("valid_events")
+    rules = rules_with(spark, event_master=wide)
+    rules.max_broadcast_bytes = 9000
+    assert not rules.validate().is_small("valid_events")
