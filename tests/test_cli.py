@@ -24,7 +24,7 @@ def test_rule_files_roundtrip(spark, layers):
 def test_cli_batch_and_stream(spark, sf_small, layers):
     rules = write_rule_tables(fixture_tables(spark), scratch_path(spark, "rules"))
     receipts = receipt_files(spark, sf_small)
-    for mode in ([], ["--stream"]):
+    for mode in ([], ["--stream", "--max-files", "8"]):
         out = scratch_path(spark, "cli")
         ps = run(spark, parse(["--receipts", receipts, "--rules", rules, "--out", out,
                                "--posting-date", layers.posting_date, "--export-csv", *mode]))
