@@ -8,21 +8,27 @@ costs one fingerprint, however large it is.
 Links between different fingerprints are found in BK-trees: a node's children
 are keyed by their integer Hamming distance to it, and a search follows only
 the edges whose key is within the radius of the distance to the node. The
-trees are sharded by agreement: the 64 bits are cut into ``max_bits + 4``
-blocks, and two fingerprints within ``max_bits`` agree in at least four whole
-blocks. Each choice of four blocks is a table, and each value of the four
-blocks is a shard with its own tree; a fingerprint searches exactly the shards
-that can hold a neighbour. A shard holds fingerprints that differ only in the
-other ``max_bits`` blocks (about 22 bits for two).
-
-The trees grow with the corpus, so they are not broadcast whole: shards and
-the fingerprints that search them meet in one shuffle of 8-byte fingerprints.
-A task answers with a spanning forest of what it linked, never with all pairs.
+trees are sharded by agreement: with the 64 bits cut into ``max_bits + k``
+blocks, two fingerprints within ``max_bits`` agree in at least ``k`` whole
+blocks. Each choice of ``k`` blocks is a table, each value of these blocks (or
+of some of their bits) is a shard with its own tree, and a fingerprint searches
+exactly the shards that can hold a neighbour. The bits of a shard's key follow
+the counted number of fingerprints, so that a tree holds about ``tree_size`` of
+them whatever the size of the corpus. Shards that hold over ``max_tree`` go on:
+their members are dealt again by the tables of more blocks, and at the last
+level a shard holds at most 2^13 (for two bits).
+
+The trees grow with the corpus, and a Spark broadcast goes through the driver,
+so they are not broadcast: a tree and the fingerprints that search it meet in
+one shuffle of 8-byte fingerprints. A task answers with a spanning forest of
+what it linked, never with all pairs.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
+from functools import reduce
 from itertools import combinations
 
 import numpy as np
@@ -35,6 +41,7 @@ from pyspark.sql.functions import pandas_udf
 from ledgerly.llm.bpe_trie import chunks
 from ledgerly.llm.common import stored, without
 from ledgerly.llm.components import connected_components
+from ledgerly.operators.skew import salted_join
 
 SEED = 42
 LOWER = bytes(b + 32 if 0x41 <= b <= 0x5A else b for b in range(256))
@@ -141,25 +148,65 @@ def linked_in_shard(values: list[int], radius: int) -> list[tuple[int, int]]:
     return [(v, tree.values[r]) for i, v in enumerate(tree.values) if (r := root(i)) != i]
 
 
-def shard_masks(radius: int) -> list[int]:
-    """One mask per choice of four whole blocks; the masks' blocks are as equal
-    in width as 64 bits allow."""
-    n = radius + 4
+def shard_masks(radius: int, agree: int = 4, width: int = 64) -> list[int]:
+    """One mask per choice of ``agree`` whole blocks of ``radius + agree``; the
+    blocks are as equal in width as 64 bits allow. A mask of more than ``width``
+    bits keeps ``width`` of them: what agrees in all agrees in some."""
+    n = radius + agree
     edges = [round(64 * i / n) for i in range(n + 1)]
-    block = [((1 << (edges[i + 1] - edges[i])) - 1) << edges[i] for i in range(n)]
-    return [sum(block[i] for i in pick) for pick in combinations(range(n), 4)]
+    masks = []
+    for pick in combinations(range(n), agree):
+        bits = [b for i in pick for b in range(edges[i], edges[i + 1])]
+        masks.append(sum(1 << b for b in bits[:width]))
+    return masks
 
 
-def fingerprint_links(distinct: DataFrame, *, max_bits: int = 2) -> DataFrame:
+def signed(mask: int) -> int:
+    return mask - (1 << 64) if mask >> 63 else mask
+
+
+def deal(rows: DataFrame, masks: list[int]) -> DataFrame:
+    """``rows`` (``simhash``, and ``table`` and ``shard`` of the level before)
+    once per mask. A shard's value holds the bits of all masks that led to it."""
+    shard = F.explode(F.array(*[
+        F.struct((F.col("table") * len(masks) + i).alias("table"),
+                 F.col("shard").bitwiseOR(F.col("simhash").bitwiseAND(F.lit(signed(m)))).alias("shard"))
+        for i, m in enumerate(masks)]))
+    return rows.select("simhash", shard.alias("s")).select("simhash", "s.*")
+
+
+def sharded(distinct: DataFrame, *, max_bits: int = 2, tree_size: int = 64,
+            max_tree: int = 4096) -> DataFrame:
+    """``(simhash, table, shard)``: every two fingerprints within ``max_bits``
+    meet in some shard. Only the numbers of rows and of oversized shards come to
+    the driver; the shards of a level are counted by a sum before the shuffle."""
+    count = distinct.count()
+    width = max(0, math.ceil(math.log2(max(1, count / tree_size))))
+    agree = next((k for k in (1, 2) if 64 * k // (max_bits + k) >= width), 2)
+    levels = [shard_masks(max_bits, agree, width), shard_masks(max_bits), shard_masks(max_bits, 8)]
+    rows = distinct.select("simhash", F.lit(0).cast("long").alias("table"),
+                           F.lit(0).cast("long").alias("shard"))
+    done = []
+    for level, masks in enumerate(levels):
+        rows = deal(rows, masks)
+        if level + 1 == len(levels):
+            break
+        large = stored(rows.groupBy("table", "shard").agg(F.count("*").alias("n"))
+                       .where(F.col("n") > max_tree).select("table", "shard"), "large-shards")
+        if not large.count():
+            break
+        done.append(rows.join(large, ["table", "shard"], "left_anti").select("simhash", "table", "shard"))
+        rows = rows.join(large, ["table", "shard"], "left_semi").select("simhash", "table", "shard")
+        # tables of the next level follow all of this one's, so no two levels share a table
+        rows = rows.withColumn("table", F.col("table") + F.lit(len(masks)))
+    return reduce(DataFrame.unionByName, [*done, rows])
+
+
+def fingerprint_links(distinct: DataFrame, *, max_bits: int = 2, tree_size: int = 64,
+                      max_tree: int = 4096) -> DataFrame:
     """Links ``(a, b)`` whose components are those of all pairs of distinct
     fingerprints (column ``simhash``) within ``max_bits`` bits."""
-    masks = shard_masks(max_bits)
-    signed = [m - (1 << 64) if m >> 63 else m for m in masks]
-    shard = F.explode(F.array(*[
-        F.struct(F.lit(i).cast("byte").alias("table"),
-                 F.col("simhash").bitwiseAND(F.lit(m)).alias("shard"))
-        for i, m in enumerate(signed)]))
-    dealt = (distinct.select("simhash", shard.alias("s")).select("simhash", "s.*")
+    dealt = (sharded(distinct, max_bits=max_bits, tree_size=tree_size, max_tree=max_tree)
              .repartition("table", "shard").sortWithinPartitions("table", "shard", "simhash"))
 
     def search(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -210,7 +257,8 @@ def near_duplicates(docs: DataFrame, *, shingle_words: int = 3, max_bits: int =
         docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("__text")),
         shingle_words=shingle_words, text="__text")
         .select("doc_id", F.xxhash64("__text").alias("text_key"), "simhash"), "fingerprints")
-    return marked.join(fingerprint_groups(marked, max_bits=max_bits), "simhash").select(
+    groups = fingerprint_groups(marked, max_bits=max_bits)
+    return salted_join(marked, groups, ["simhash"], ["doc_id", "text_key"]).select(
         "doc_id", "text_key", "simhash", "group", "component_id")
 
 

@@ -9,6 +9,8 @@ from ledgerly.llm.queries import op10_simhash_bk_trees
 from tests.llm.cases import crowded, frame, groups, sample_rows, simhash
 from tests.llm.conftest import SF
 
+SF01 = "/root/testdata/sf0.01"
+
 
 def check(rows, got):
     """rows: (doc_id, text); got: doc_id -> (fingerprint, component_id)."""
@@ -69,14 +71,65 @@ def test_bk_tree_finds_all_in_radius(seed, radius):
 
 def test_masks_leave_no_pair_out():
     rnd = random.Random(1)
-    for radius in (1, 2, 3):
-        masks = S.shard_masks(radius)
+    for radius, agree, width in [(1, 4, 64), (2, 4, 64), (3, 4, 64), (2, 1, 12), (2, 1, 64), (2, 2, 27),
+                                 (2, 8, 64), (2, 1, 0)]:
+        masks = S.shard_masks(radius, agree, width)
+        assert all(m.bit_count() <= width for m in masks)
         for _ in range(500):
             a = rnd.getrandbits(64)
             b = a ^ sum(1 << x for x in rnd.sample(range(64), radius))
             assert any(a & m == b & m for m in masks)
 
 
+def test_trees_hold_the_given_documents(spark):
+    marked = S.fingerprint_documents(spark.read.parquet(f"{SF01}/documents.parquet").select("doc_id", "text"))
+    values = [r[0] for r in marked.select("simhash").distinct().collect()]
+    values = sorted({*values, *(v ^ 5 << i % 60 for i, v in enumerate(values[::7]))})  # and neighbours
+    df = spark.createDataFrame([(v,) for v in values], "simhash long")
+    sizes = [r["count"] for r in S.sharded(df).groupBy("table", "shard").count().collect()]
+    assert sum(sizes) == 3 * len(values) and 32 <= sum(sizes) / len(sizes) <= 128
+    want = all_pairs(values)
+    assert want != {v: v for v in values}
+    assert components(spark, S.fingerprint_links(df), values) == want
+
+
+def test_oversized_shards_go_on(spark):
+    rnd = random.Random(9)
+    base = rnd.getrandbits(64)  # two thirds of all differ from one value in a few places only
+    values = {base ^ sum(1 << x for x in rnd.sample(range(64), rnd.randrange(7))) for _ in range(400)}
+    values |= {rnd.getrandbits(64) for _ in range(200)}
+    values = [v - (1 << 64) if v >> 63 else v for v in values]
+    df = spark.createDataFrame([(v,) for v in values], "simhash long")
+    want = all_pairs(values)
+    for size, largest in ((8, 4096), (8, 40), (64, 5), (1000, 10)):
+        dealt = S.sharded(df, tree_size=size, max_tree=largest)
+        tables = dealt.select("table").distinct().count()
+        assert tables == 3 if largest == 4096 else tables > 3
+        links = S.fingerprint_links(df, tree_size=size, max_tree=largest)
+        assert components(spark, links, values) == want, (size, largest)
+
+
+def all_pairs(values):
+    parent = {v: v for v in values}
+
+    def root(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+
+    for i, a in enumerate(values):
+        for b in values[:i]:
+            if ((a ^ b) & (1 << 64) - 1).bit_count() <= 2:
+                lo, hi = sorted((root(a), root(b)))
+                parent[hi] = lo
+    return {v: root(v) for v in values}
+
+
+def components(spark, links, values):
+    roots = {r["a"]: r["root"] for r in connected_components(links).collect()}
+    return {v: roots.get(v, v) for v in values}
+
+
 def test_links_of_planted_neighbours(spark):
     rnd = random.Random(5)
     values = set()
