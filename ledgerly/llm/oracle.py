@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from ledgerly.llm import licenses as L
+from ledgerly.llm import secret_scan as S
 
 
 def _text(s: str) -> str:
@@ -30,14 +31,16 @@ def _kind(kind: str, rank: int, pattern: str, group: int, least: int) -> str:
 def _op4() -> str:
     kinds = [_kind("assign", 0, _ASSIGN, 2, 8), _kind("access", 1, "(AKIA[A-Z0-9]+)", 1, 16),
              _kind("hex", 2, "([0-9a-f]+)", 1, 32)]
+    kinds += [_kind(r.kind, 3 + i, r.pattern, r.group, r.least) for i, r in enumerate(S.ADDED_RULES)]
     return f"""with found as (
  select doc_id, kind, rank, cast(x.s as bigint) as s, cast(x.s + x.n as bigint) as e
  from ({' union all '.join(kinds)}) where x.k >= least),
 lines as (select doc_id, count(*) filter (kind = 'assign') as n_assign,
   count(*) filter (kind = 'access') as n_access, count(*) filter (kind = 'hex') as n_hex,
+  string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) filter (rank < 3) as base,
   string_agg(kind || ':' || s || ':' || e, ',' order by s, rank) as spans from found group by doc_id)
 select d.doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access,
- coalesce(n_hex, 0) as n_hex, sha256(coalesce(spans, '')) as base_sha256,
+ coalesce(n_hex, 0) as n_hex, sha256(coalesce(base, '')) as base_sha256,
  coalesce(spans, '') as spans
 from documents d left join lines l using (doc_id)"""
 

@@ -48,15 +48,18 @@ def op3_trie_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op4_blob_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("doc_id", "text")
-    found = secret_scan.scan_documents(docs)
-    line = F.array_join(F.transform("spans", lambda s: F.concat_ws(
-        ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
+    found = secret_scan.scan_documents(docs, rule_versions=secret_scan.RULE_VERSIONS)
+    base = F.filter("spans", lambda s: s["kind"].isin([r.kind for r in secret_scan.BASE_RULES]))
+
+    def line(spans):
+        return F.array_join(F.transform(spans, lambda s: F.concat_ws(
+            ":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))), ",")
 
     def count(kind: str):
         return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
 
     return found.select("doc_id", count("assign"), count("access"), count("hex"),
-                        hex_sha256(line).alias("base_sha256"), line.alias("spans"))
+                        hex_sha256(line(base)).alias("base_sha256"), line("spans").alias("spans"))
 
 
 def op5_ngram_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
