@@ -166,7 +166,8 @@ class BlobLedger:
                   .withColumn("lacks", F.array_except(names, F.coalesce(
                       "seen", F.array().cast("array<string>"))))
                   .where(F.size("lacks") > 0).drop("seen"))
-        texts = hashed.join(unseen, ["blob_id", "holder"]).dropDuplicates(["blob_id"])
+        # Repeated rows of a holder meet where the join put them: no second move.
+        texts = hashed.join(unseen, ["blob_id", "holder"]).dropDuplicates(["blob_id", "holder"])
         results = F.array(*[
             F.struct(F.lit(v).alias("rule_version"), F.when(
                 F.array_contains("lacks", v), all_spans(F.col("text"), rules)).alias("spans"))
