@@ -15,8 +15,11 @@ more than once, anywhere, are found in two passes:
    Occurrences inside one task are settled there, so a window that a third of
    all documents share reaches its group once per task.
 
-The sketch has a fixed size (``2^sketch_bits`` cells a row). On a corpus that
-fills it, it lets more windows through; the second pass stays exact.
+The sketch is sized from the counted anchors, so that at most ``LOAD`` of its
+cells are taken whatever the input. A corpus that needs more than
+``max_sketch_bits`` allows is handled in several ranges of anchor hashes, each
+with a sketch and an exact pass of its own: equal windows have equal anchors, so
+a range holds all occurrences of its windows.
 
 What comes back are word ranges per document, which join the texts by document.
 """
@@ -33,19 +36,24 @@ from pyspark.sql import functions as F
 from pyspark.sql.functions import pandas_udf
 
 from ledgerly.llm.bpe_trie import chunks
-from ledgerly.llm.common import flatten, without
-from ledgerly.llm.vocabulary import Recent
+from ledgerly.llm.common import flatten, stored, without
 
 #: Words of an anchor, rows of the sketch, cells of one block of a row (log2).
 ANCHOR, ROWS, BLOCK_BITS = 8, 2, 18
-#: Hash ranges of the second pass per shuffle partition.
-RANGES_PER_PARTITION = 4
+#: Anchors per cell that a sketch is sized for (at most).
+LOAD = 0.25
+#: Hash ranges of the second pass per shuffle partition, and the windows that
+#: one range (held whole by a task) may have on average.
+RANGES_PER_PARTITION, RANGE_WINDOWS = 4, 1 << 20
 CHUNK = 2 << 20
 #: Settled occurrences that a task gathers before it sends them on.
 GATHERED = 1 << 19
 _U = np.uint64
 _MIX = (_U(0x9E3779B97F4A7C15), _U(0xC2B2AE3D27D4EB4F), _U(0x165667B19E3779F9))
-_HASHES = Recent(lambda w: xxhash.xxh3_64_intdigest(w), 1 << 18)
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Bytes hashed at a time, and the longest word that is hashed there.
+SPAN, LONG = 1 << 16, 64
 
 
 def _mixed(x: np.ndarray, lane: int) -> np.ndarray:
@@ -53,6 +61,38 @@ def _mixed(x: np.ndarray, lane: int) -> np.ndarray:
     return x ^ (x >> _U(32))
 
 
+def _powers(base: int) -> np.ndarray:
+    return np.multiply.accumulate(np.append(_U(1), np.full(SPAN + LONG, base, _U)))
+
+
+#: A value for each byte, powers of an odd base, and of its inverse modulo 2^64.
+_BYTE = _mixed(_mixed(np.arange(1, 257, dtype=_U) * _MIX[1], 2), 0)
+_POWER, _INVERSE = _powers(int(_MIX[0])), _powers(pow(int(_MIX[0]), -1, 1 << 64))
+
+
+def word_hashes(data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and 64-bit hash of every word of some bytes. Prefix sums of byte
+    values times powers give all words of a span at once; long words, which
+    such sums hash less well, are hashed one by one."""
+    space = np.concatenate([[True], _SPACE[data], [True]])
+    edges = np.flatnonzero(space[1:] != space[:-1])
+    start, end = edges[::2], edges[1::2]
+    out = np.empty(len(start), _U)
+    i = 0
+    while i < len(start):
+        low = int(start[i])
+        j = int(np.searchsorted(start, low + SPAN))
+        span = _BYTE[data[low:low + SPAN + LONG]]
+        sums = np.concatenate([np.zeros(1, _U), np.cumsum(span * _POWER[:len(span)], dtype=_U)])
+        a, b = start[i:j] - low, np.minimum(end[i:j] - low, len(span))
+        out[i:j] = (sums[b] - sums[a]) * _INVERSE[a]
+        i = j
+    out = _mixed(out, 1)
+    for k in np.flatnonzero(end - start > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]:end[k]].tobytes())
+    return start, out
+
+
 def _rolled(h: np.ndarray, width: int, lane: int) -> np.ndarray:
     """Hash of every run of ``width`` word hashes, by doubling."""
     power, done, out, span = _MIX[lane], 0, None, h
@@ -77,12 +117,11 @@ class Windows:
     """The windows of some texts: places, anchors and hashes."""
 
     def __init__(self, texts: list[str | None], width: int):
-        words = [(t or "").encode().split() for t in texts]
-        self.counts = np.array([len(w) for w in words], np.int64)
-        self.first = np.concatenate([[0], np.cumsum(self.counts)])
-        self.words, self.width = words, width
-        n = int(self.first[-1])
-        self.hashes = np.fromiter((h for w in words for h in map(_HASHES.__getitem__, w)), _U, n)
+        data = [(t or "").encode() for t in texts]
+        starts, self.hashes = word_hashes(np.frombuffer(b"\n".join(data), np.uint8))
+        offsets = np.concatenate([[0], np.cumsum([len(d) + 1 for d in data])])
+        self.first = np.searchsorted(starts, offsets)
+        self.counts, self.width = np.diff(self.first), width
         # Starts of whole windows, and the document of each.
         per_doc = np.maximum(self.counts - width + 1, 0)
         self.doc = np.repeat(np.arange(len(texts)), per_doc)
@@ -112,13 +151,39 @@ class Windows:
                 (_rolled(self.hashes, self.width, 2)[at] >> _U(32)).astype(np.uint32))
 
 
+def _range_of(gram: np.ndarray, ranges: int) -> np.ndarray:
+    """Anchor range, by other bits than the cells'."""
+    return (_mixed(gram ^ _MIX[2], 0) >> _U(32)) % _U(ranges)
+
+
+def count_anchors(texts: DataFrame, width: int) -> tuple[int, int]:
+    """Places that are anchors, and windows. ``texts`` has the one column ``text``."""
+    def count(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        places = windows = 0
+        for batch in batches:
+            for part in chunks(batch["text"], CHUNK):
+                _, place = Windows(part, width).anchors()
+                places, windows = places + len(np.unique(place)), windows + len(place)
+        yield pd.DataFrame({"places": [places], "windows": [windows]})
+
+    r = texts.mapInPandas(count, "places long, windows long").agg(F.sum("places"), F.sum("windows")).first()
+    return r[0] or 0, r[1] or 0
+
+
+def sketch_shape(anchors: int, max_bits: int) -> tuple[int, int]:
+    """Bits of a sketch for so many anchors, and the ranges that need one each."""
+    cells = max(1 << 10, int(anchors / LOAD))
+    bits = min((cells - 1).bit_length(), max_bits)
+    return bits, -(-cells // (1 << bits))
+
+
 def _cells(gram: np.ndarray, row: int, bits: int) -> np.ndarray:
     return _mixed(gram, row + 1) >> _U(64 - bits)
 
 
-def merged_sketch(texts: DataFrame, width: int, bits: int) -> bytes:
+def merged_sketch(texts: DataFrame, width: int, bits: int, ranges: int = 1, chosen: int = 0) -> bytes:
     """Bitmaps (one per row, end to end) of the cells whose merged count is two
-    or more. ``texts`` has the one column ``text``."""
+    or more, over the anchors of one range. ``texts`` has the one column ``text``."""
     block = min(bits, BLOCK_BITS)
 
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -129,8 +194,11 @@ def merged_sketch(texts: DataFrame, width: int, bits: int) -> bytes:
             for part in chunks(batch["text"], CHUNK):
                 gram, place = Windows(part, width).anchors()
                 _, fresh = np.unique(place, return_index=True)  # an anchor's place counts once
+                gram = gram[fresh]
+                if ranges > 1:
+                    gram = gram[_range_of(gram, ranges) == chosen]
                 for r in range(ROWS):
-                    cell, n = np.unique(_cells(gram[fresh], r, bits), return_counts=True)
+                    cell, n = np.unique(_cells(gram, r, bits), return_counts=True)
                     byte, bit = (cell >> _U(3)).astype(np.int64), np.uint8(1) << (cell & _U(7)).astype(np.uint8)
                     again = (once[r][byte] & bit > 0) | (n > 1)
                     np.bitwise_or.at(more[r], byte[again], bit[again])
@@ -180,16 +248,19 @@ OCCURRENCE = np.dtype([("h", "<u8"), ("g", "<u4"), ("again", "u1"), ("doc", "<i8
 SETTLED = np.dtype([("doc", "<i8"), ("key", "<i8"), ("at", "<u4")])
 
 
-def repeated_windows(docs: DataFrame, width: int, sketch_bits: int) -> DataFrame:
+def repeated_windows(docs: DataFrame, width: int, sketch_bits: int | None,
+                     max_sketch_bits: int) -> DataFrame:
     """Starts of repeated windows: ``(__id, __key, starts)``, one row per
     document that has any. ``docs`` has ``__id`` (long), ``__key`` (long) and ``text``."""
     spark = docs.sparkSession
-    bitmap = spark.sparkContext.broadcast(merged_sketch(docs.select("text"), width, sketch_bits))
+    anchors, windows = count_anchors(docs.select("text"), width)
+    bits, passes = (sketch_bits, 1) if sketch_bits else sketch_shape(anchors, max_sketch_bits)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranges = 1 << (RANGES_PER_PARTITION * parts - 1).bit_length()
+    ranges = 1 << (max(RANGES_PER_PARTITION * parts, windows // RANGE_WINDOWS) - 1).bit_length()
+    parts = max(parts, ranges // (2 * RANGES_PER_PARTITION))
     shift = 64 - (ranges.bit_length() - 1)
 
-    def candidates(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    def candidates(batches: Iterator[pd.DataFrame], bitmap, chosen: int) -> Iterator[pd.DataFrame]:
         table = np.frombuffer(bitmap.value, np.uint8)
         for batch in batches:
             at = 0
@@ -199,7 +270,10 @@ def repeated_windows(docs: DataFrame, width: int, sketch_bits: int) -> DataFrame
                 at += len(part)
                 w = Windows(part, width)
                 gram, _ = w.anchors()
-                keep = np.flatnonzero(_estimated_repeated(gram, table, sketch_bits))
+                maybe = _estimated_repeated(gram, table, bits)
+                if passes > 1:
+                    maybe &= _range_of(gram, passes) == chosen
+                keep = np.flatnonzero(maybe)
                 h, g = w.exact(keep)
                 yield _packed(h, g, ids[w.doc[keep]], keys[w.doc[keep]],
                               w.start[keep] - w.first[w.doc[keep]])
@@ -262,10 +336,22 @@ def repeated_windows(docs: DataFrame, width: int, sketch_bits: int) -> DataFrame
             yield _starts(np.concatenate(held))
 
     def dealt(df: DataFrame) -> DataFrame:
-        return df.repartition("range").sortWithinPartitions("range")
-
-    open_ = docs.mapInPandas(candidates, "range long, open binary, settled binary")
-    settled = dealt(open_).mapInPandas(group, "range long, settled binary")
+        return df.repartition(parts, "range").sortWithinPartitions("range")
+
+    def settled_in(chosen: int) -> DataFrame:
+        bitmap = spark.sparkContext.broadcast(
+            merged_sketch(docs.select("text"), width, bits, passes, chosen))
+        open_ = docs.mapInPandas(lambda b: candidates(b, bitmap, chosen),
+                                 "range long, open binary, settled binary")
+        settled = dealt(open_).mapInPandas(group, "range long, settled binary")
+        if passes > 1:  # one bitmap alive at a time
+            settled = stored(settled, "repeated-windows")
+            bitmap.unpersist()
+        return settled
+
+    settled = settled_in(0)
+    for chosen in range(1, passes):
+        settled = settled.unionByName(settled_in(chosen))
     return dealt(settled).mapInPandas(regroup, "__id long, __key long, starts binary")
 
 
@@ -316,7 +402,8 @@ def _covered(n_words: int, starts: bytes, width: int) -> np.ndarray:
 
 
 def remove_repeats(docs: DataFrame, *, width: int = 35, text: str = "text",
-                   doc_id: str = "doc_id", sketch_bits: int = 26) -> DataFrame:
+                   doc_id: str = "doc_id", sketch_bits: int | None = None,
+                   max_sketch_bits: int = 28) -> DataFrame:
     """``docs`` plus ``n_words``, ``n_removed`` and ``kept_text``: the words
     outside every repeated window, joined by one space.
 
@@ -325,13 +412,18 @@ def remove_repeats(docs: DataFrame, *, width: int = 35, text: str = "text",
     are separated by ASCII white space. Null and empty texts and texts shorter
     than a window lose nothing. Repeated rows repeat each other's windows; rows
     that agree in ``doc_id`` and text share one result. Rows without a doc_id
-    count like any other."""
+    count like any other. A doc_id must be a long or a text that casts to one.
+
+    The sketch takes as many cells as the counted anchors need, at most
+    ``2^max_sketch_bits`` a row (28: a broadcast of 64 MB); beyond that, ranges
+    of anchors are taken one after another. ``sketch_bits`` fixes its size."""
     base = without(docs, *{"n_words", "n_removed", "kept_text"} - {text, doc_id})
     t = F.col(f"`{text}`")
     # A row is known by its id and the hash of its text; null ids share -1.
     keyed = base.withColumns({"__id": F.coalesce(F.col(f"`{doc_id}`").cast("long"), F.lit(-1)),
                               "__key": F.xxhash64(t)})
-    found = repeated_windows(keyed.select("__id", "__key", t.alias("text")), width, sketch_bits)
+    found = repeated_windows(keyed.select("__id", "__key", t.alias("text")), width, sketch_bits,
+                             max_sketch_bits)
     marks = found.withColumnRenamed("starts", "__starts")
 
     @pandas_udf("n_words long, n_removed long, kept_text string")
@@ -348,7 +440,7 @@ def remove_repeats(docs: DataFrame, *, width: int = 35, text: str = "text",
                 out.append((len(words), len(words) - len(kept), b" ".join(kept).decode()))
             yield pd.DataFrame(out, columns=["n_words", "n_removed", "kept_text"])
 
-    joined = keyed.join(marks.hint("shuffle_hash"), ["__id", "__key"], "left")
+    joined = keyed.join(marks, ["__id", "__key"], "left")
     out = flatten(joined.withColumn("__cut", cut(t, F.col("__starts"))), "__cut")
     return out.drop("__id", "__key", "__starts")
 

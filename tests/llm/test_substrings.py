@@ -55,6 +55,38 @@ def test_equal_windows_have_anchors_at_distinct_places(docs, width):
         assert len(set(found)) == 1 and len(places[found[0]]) >= len(found)
 
 
+def test_anchor_ranges_beyond_the_bound(spark, sf_docs):
+    """A small bound takes the anchors in three ranges; the result is the same."""
+    docs = sf_docs[:120]
+    df = frame(spark, [(i, t, "", "", 0) for i, t in docs])
+    anchors, windows = S.count_anchors(df.select("text"), 35)
+    assert 0 < anchors < windows
+    bits = next(b for b in range(6, 30) if S.sketch_shape(anchors, b)[1] <= 3)
+    assert S.sketch_shape(anchors, bits)[1] in (2, 3) and S.sketch_shape(anchors, 28)[1] == 1
+    got = {r["doc_id"]: r["kept_text"] for r in S.remove_repeats(df, max_sketch_bits=bits).collect()}
+    want = kept_words([t for _, t in docs])
+    assert got == {i: " ".join(k) for (i, _), k in zip(docs, want, strict=True)}
+    assert S.sketch_shape(0, 28) == (10, 1)
+
+
+@settings(max_examples=200, deadline=None)
+@given(st.lists(st.text(st.sampled_from("ab \t\n\x0b\x1c\u00a0\u2003é"), max_size=300), max_size=5))
+def test_word_hashes_tell_words_apart(texts):
+    w = S.Windows(texts, 1)
+    flat = [x for t in texts for x in t.encode().split()]
+    assert w.counts.tolist() == [len(t.encode().split()) for t in texts] and len(w.hashes) == len(flat)
+    assert len(set(w.hashes.tolist())) == len(set(flat))
+    assert len(set(zip(flat, w.hashes.tolist(), strict=True))) == len(set(flat))
+
+
+def test_word_hashes_over_spans():
+    """Words at span edges, and words longer than a span, hash as anywhere."""
+    texts = ["x" * S.SPAN + " aa " + "y" * (S.SPAN - 3) + " bb aa " + "cc " * S.SPAN, "aa bb cc", "z" * 200]
+    w = S.Windows(texts, 1)
+    flat = [x for t in texts for x in t.encode().split()]
+    assert len(set(zip(flat, w.hashes.tolist(), strict=True))) == len(set(flat)) == len(set(w.hashes.tolist()))
+
+
 def test_rolled_hashes_depend_on_the_words_alone():
     h = np.arange(100, dtype=np.uint64) * np.uint64(7919)
     twice = np.concatenate([h, h])
