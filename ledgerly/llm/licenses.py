@@ -5,8 +5,9 @@ and digits one space) and cut at line ends, colons, sentence points and blank
 lines. Known license sentences stand from one cut to another; line ends (with
 the comment marks of the next line) and colons may lie inside them, so wrapped
 and commented texts are found as well as titles on lines of their own. The
-longest one at a place becomes an identifier; lines that hold only a URL are
-left out. The identifiers of a text, in order, are matched against license
+longest one at a place becomes an identifier; an SPDX expression becomes one per
+license it names. Lines that hold only a URL, copyright lines and item numbers are
+left out, so they break no sequence. The identifiers of a text, in order, are matched against license
 rules, which are ordered sequences of identifiers. The first rule that matches
 at a place wins, and the scan goes on after it. All of it is DataFrame
 expressions.
@@ -51,21 +52,71 @@ SENTENCES = {
                    "copies or substantial portions of the Software"],
     "gpl3-ref": ["This work is licensed under the GNU General Public License, version 3",
                  "Licensed under the GNU General Public License, version 3",
-                 "GNU General Public License version 3", "SPDX-License-Identifier: GPL-3.0-only"],
+                 "GNU General Public License version 3", "SPDX-License-Identifier: GPL-3.0-only",
+                 "SPDX-License-Identifier: GPL-3.0"],
+    "gpl3-later-ref": ["SPDX-License-Identifier: GPL-3.0-or-later"],
     "gpl2-ref": ["Licensed under the GNU General Public License, version 2",
-                 "GNU General Public License version 2", "SPDX-License-Identifier: GPL-2.0-only"],
+                 "GNU General Public License version 2", "SPDX-License-Identifier: GPL-2.0-only",
+                 "SPDX-License-Identifier: GPL-2.0"],
+    "gpl2-later-ref": ["SPDX-License-Identifier: GPL-2.0-or-later"],
+    "gpl2-terms": ["you can redistribute it and/or modify it under the terms of the GNU General "
+                   "Public License version 2 as published by the Free Software Foundation"],
+    "gpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU General "
+                  "Public License as published by the Free Software Foundation"],
+    "lgpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU Lesser "
+                   "General Public License as published by the Free Software Foundation"],
+    "agpl-terms": ["you can redistribute it and/or modify it under the terms of the GNU Affero "
+                   "General Public License as published by the Free Software Foundation"],
+    "v2-later": ["either version 2 of the License, or (at your option) any later version"],
+    "v2.1-later": ["either version 2.1 of the License, or (at your option) any later version"],
+    "v3-later": ["either version 3 of the License, or (at your option) any later version"],
     "gpl-free": ["This program is free software: you can redistribute it and/or modify it under the "
                  "terms of the GNU General Public License as published by the Free Software "
                  "Foundation, either version 3 of the License, or (at your option) any later "
                  "version"],
     "lgpl3-ref": ["Licensed under the GNU Lesser General Public License, version 3",
                   "SPDX-License-Identifier: LGPL-3.0-only"],
+    "lgpl3-later-ref": ["SPDX-License-Identifier: LGPL-3.0-or-later"],
+    "lgpl-free": ["This program is free software: you can redistribute it and/or modify it under the "
+                  "terms of the GNU Lesser General Public License as published by the Free Software "
+                  "Foundation, either version 3 of the License, or (at your option) any later "
+                  "version"],
+    "lgpl21-ref": ["Licensed under the GNU Lesser General Public License, version 2.1",
+                   "SPDX-License-Identifier: LGPL-2.1-only"],
+    "lgpl21-later-ref": ["SPDX-License-Identifier: LGPL-2.1-or-later"],
+    "agpl3-ref": ["Licensed under the GNU Affero General Public License, version 3",
+                  "SPDX-License-Identifier: AGPL-3.0-only"],
+    "agpl3-later-ref": ["SPDX-License-Identifier: AGPL-3.0-or-later"],
+    "agpl-free": ["This program is free software: you can redistribute it and/or modify it under the "
+                  "terms of the GNU Affero General Public License as published by the Free Software "
+                  "Foundation, either version 3 of the License, or (at your option) any later "
+                  "version"],
     "bsd3-ref": ["Licensed under the BSD 3-Clause License", "BSD 3-Clause License",
                  "SPDX-License-Identifier: BSD-3-Clause"],
     "bsd2-ref": ["Licensed under the BSD 2-Clause License", "BSD 2-Clause License",
                  "SPDX-License-Identifier: BSD-2-Clause"],
     "bsd-grant": ["Redistribution and use in source and binary forms, with or without modification, "
                   "are permitted provided that the following conditions are met:"],
+    "bsd-source": ["Redistributions of source code must retain the above copyright notice, this list "
+                   "of conditions and the following disclaimer"],
+    "bsd-binary": ["Redistributions in binary form must reproduce the above copyright notice, this "
+                   "list of conditions and the following disclaimer in the documentation and/or other "
+                   "materials provided with the distribution"],
+    "bsd-endorse": ["Neither the name of the copyright holder nor the names of its contributors may "
+                    "be used to endorse or promote products derived from this software without "
+                    "specific prior written permission"],
+    "isc-ref": ["Licensed under the ISC License", "ISC License", "SPDX-License-Identifier: ISC"],
+    "isc-grant": ["Permission to use, copy, modify, and/or distribute this software for any purpose "
+                  "with or without fee is hereby granted, provided that the above copyright notice "
+                  "and this permission notice appear in all copies",
+                  "Permission to use, copy, modify, and distribute this software for any purpose "
+                  "with or without fee is hereby granted, provided that the above copyright notice "
+                  "and this permission notice appear in all copies"],
+    "bsl-ref": ["Distributed under the Boost Software License, Version 1.0",
+                "Boost Software License - Version 1.0", "SPDX-License-Identifier: BSL-1.0"],
+    "epl2-ref": ["Licensed under the Eclipse Public License, version 2.0",
+                 "SPDX-License-Identifier: EPL-2.0"],
+    "mpl2-terms": ["This Source Code Form is subject to the terms of the Mozilla Public License, v"],
     "mpl2-ref": ["Licensed under the Mozilla Public License, version 2.0",
                  "SPDX-License-Identifier: MPL-2.0"],
     "cc-by-nc-ref": ["Licensed under CC BY-NC 4.0", "This work is licensed under CC BY-NC 4.0",
@@ -100,14 +151,39 @@ RULES = [
     LicenseRule("GPL-3.0", ("gpl3-ref", "gpl-free"), "copyleft"),
     LicenseRule("GPL-3.0", ("gpl3-ref",), "copyleft"),
     LicenseRule("GPL-3.0-or-later", ("gpl-free",), "copyleft"),
+    LicenseRule("GPL-3.0-or-later", ("gpl-terms", "v3-later"), "copyleft"),
+    LicenseRule("GPL-3.0-or-later", ("gpl3-later-ref",), "copyleft"),
+    LicenseRule("GPL-2.0-or-later", ("gpl-terms", "v2-later"), "copyleft"),
+    LicenseRule("GPL-2.0-or-later", ("gpl2-later-ref",), "copyleft"),
+    LicenseRule("GPL-2.0", ("gpl2-terms",), "copyleft"),
     LicenseRule("GPL-2.0", ("gpl2-ref",), "copyleft"),
+    LicenseRule("AGPL-3.0", ("agpl3-ref", "agpl-free"), "network-copyleft"),
+    LicenseRule("AGPL-3.0", ("agpl3-ref",), "network-copyleft"),
+    LicenseRule("AGPL-3.0-or-later", ("agpl-free",), "network-copyleft"),
+    LicenseRule("AGPL-3.0-or-later", ("agpl-terms", "v3-later"), "network-copyleft"),
+    LicenseRule("AGPL-3.0-or-later", ("agpl3-later-ref",), "network-copyleft"),
     LicenseRule("LGPL-3.0", ("lgpl3-ref",), "weak-copyleft"),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl-free",), "weak-copyleft"),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl-terms", "v3-later"), "weak-copyleft"),
+    LicenseRule("LGPL-3.0-or-later", ("lgpl3-later-ref",), "weak-copyleft"),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl-terms", "v2.1-later"), "weak-copyleft"),
+    LicenseRule("LGPL-2.1-or-later", ("lgpl21-later-ref",), "weak-copyleft"),
+    LicenseRule("LGPL-2.1", ("lgpl21-ref",), "weak-copyleft"),
     LicenseRule("MPL-2.0", ("mpl2-ref",), "weak-copyleft"),
-    LicenseRule("BSD-3-Clause", ("bsd3-ref", "bsd-grant"), "permissive"),
+    LicenseRule("MPL-2.0", ("mpl2-terms",), "weak-copyleft"),
+    LicenseRule("EPL-2.0", ("epl2-ref",), "weak-copyleft"),
+    LicenseRule("ISC", ("isc-ref", "isc-grant"), "permissive"),
+    LicenseRule("ISC", ("isc-grant",), "permissive"),
+    LicenseRule("ISC", ("isc-ref",), "permissive"),
+    LicenseRule("BSL-1.0", ("bsl-ref",), "permissive"),
+    # A title, the rights line and the clauses, as many as there are.
+    *[LicenseRule(name, (*head, *rights, "bsd-grant", *clauses), "permissive")
+      for clauses, plain in ((("bsd-source", "bsd-binary", "bsd-endorse"), "BSD-3-Clause"),
+                             (("bsd-source", "bsd-binary"), "BSD-2-Clause"), ((), "BSD"))
+      for head, name in ((("bsd3-ref",), "BSD-3-Clause"), (("bsd2-ref",), "BSD-2-Clause"), ((), plain))
+      for rights in (("reserved",), ())],
     LicenseRule("BSD-3-Clause", ("bsd3-ref",), "permissive"),
-    LicenseRule("BSD-2-Clause", ("bsd2-ref", "bsd-grant"), "permissive"),
     LicenseRule("BSD-2-Clause", ("bsd2-ref",), "permissive"),
-    LicenseRule("BSD", ("bsd-grant",), "permissive"),
     LicenseRule("CC-BY-NC-4.0", ("cc-by-nc-ref",), "non-commercial"),
     LicenseRule("CC-BY-SA-4.0", ("cc-by-sa-ref",), "share-alike"),
     LicenseRule("CC-BY-4.0", ("cc-by-ref",), "permissive"),
@@ -116,9 +192,6 @@ RULES = [
     LicenseRule("Proprietary", ("reserved",), "restricted"),
 ]
 
-#: A sentence on one line ends at the line end, or at a point that white space
-#: or the end follows.
-SENTENCE_END = r"[\n\r]+|[.;!?]+[ \t\n\r]+|[.;!?]+$"
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 # What ``cut_text`` does to a lower-case text, in order. Between
@@ -126,6 +199,7 @@ UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 # or go on) or a P (point or blank line: every sentence ends here).
 CUTS = [
     ("\r\n?", "\n"),
+    (r"([0-9])\+", "$1 or later"),                                       # SPDX: GPL-2.0+
     (r"(?md)^[^a-z0-9\n]*+(?:https?|ftp)://\S++[^a-z0-9\n]*+$", ""),     # lines of a URL only
     (r"(\A|\n)[^a-z0-9\n]*+(?:(?:dnl|rem)[ \t]++)?", "$1"),            # comment marks
     (r"[.;!?](?=[ \t\n])", "P"),
@@ -138,6 +212,12 @@ CUTS = [
 ]
 
 
+#: Sentences (as ``cut_text`` leaves them) that break no sequence: copyright
+#: lines and item numbers.
+NEUTRAL = r"^(?:(?:portions )?copyright (?:c |[0-9]{4})|c [0-9]{4} |[0-9]{1,2}$)"
+SPDX = "spdx license identifier "
+
+
 def normalise(sentence: str) -> str:
     """A known sentence as ``cut_text`` leaves it on one line, for the tables."""
     kept = "".join(c if c.isascii() and c.isalnum() else " " for c in sentence.lower())
@@ -154,7 +234,9 @@ def cut_text(text: Column) -> Column:
 
 def sentence_ids(text: Column, sentences: dict[str, list[str]]) -> Column:
     """Identifiers of the known sentences of a text, in order; an unknown
-    sentence between two known ones breaks the sequence (an empty entry)."""
+    sentence between two known ones breaks the sequence (an empty entry). An SPDX
+    line names licenses joined by ``or`` and ``and``; exceptions (``with``) are
+    passed over."""
     known = {normalise(s): i for i, group in sentences.items() for s in group}
     table = F.create_map(*[F.lit(x) for kv in sorted(known.items()) for x in kv])
     # At each cut the longest known sentence that ends at a cut, or else all up
@@ -162,9 +244,22 @@ def sentence_ids(text: Column, sentences: dict[str, list[str]]) -> Column:
     longest = sorted(known, key=lambda s: (-len(s), s))
     whole = "|".join(s.replace(" ", r"[ \n]") for s in longest)
     parts = F.regexp_extract_all(cut_text(text), F.lit(
-        rf"(?<![^\nP])(?:(?:{whole})(?![^\nP])|[^\nP]+)"), F.lit(0))
-    full = F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\n", " "))), lambda s: s != "")
-    return F.transform(full, lambda s: F.coalesce(F.try_element_at(table, s), F.lit("")))
+        rf"(?<![^\nP])(?:(?:{whole})(?![^\nP])|{SPDX[:-1].replace(' ', '[ \n]')}[ \n][^\nP]+|[^\nP]+)"),
+        F.lit(0))
+    full = F.filter(F.transform(parts, lambda s: F.trim(F.translate(s, "\n", " "))),
+                    lambda s: (s != "") & ~s.rlike(NEUTRAL))
+
+    def known_id(s: Column) -> Column:
+        return F.coalesce(F.try_element_at(table, s), F.lit(""))
+
+    def terms(s: Column) -> Column:
+        joined = F.replace(F.substr(s, F.lit(len(SPDX) + 1)), F.lit(" or later"), F.lit(" orlater"))
+        return F.transform(F.split(joined, " (?:or|and) "), lambda x: F.concat(
+            F.lit(SPDX), F.replace(F.regexp_replace(x, " with .*", ""), F.lit(" orlater"), F.lit(" or later"))))
+
+    named = F.transform(full, lambda s: F.when(s.startswith(SPDX) & (known_id(s) == ""), terms(s))
+                        .otherwise(F.array(s)))
+    return F.transform(F.flatten(named), known_id)
 
 
 # Fixed value: rarer words of the known sentences, normalised.

@@ -84,6 +84,23 @@ select d.doc_id, cast(len(w) as bigint) as n_words, cast(len(w) - coalesce(n, 0)
 from d left join kept using (doc_id)"""
 
 
+# What the cuts of op 9 do to a lower-case text, as patterns without lookaround.
+_OP9_CUTS = [
+    (r"\r\n?", "\n"),
+    (r"([0-9])\+", r"\1 or later"),
+    (r"(?m)^[^a-z0-9\n]*(?:https?|ftp)://[^ \t\n\v\f\r]+[^a-z0-9\n]*$", ""),
+    (r"(\A|\n)[^a-z0-9\n]*(?:(?:dnl|rem)[ \t]+)?", r"\1"),
+    (r"[.;!?]([ \t\n])", r"P\1"),
+    (r":[ \t]+([^ \t\n])", "\n\\1"),
+    (r":[ \t]+([^ \t\n])", "\n\\1"),  # neighbours share a character
+    (r"[^a-z0-9\nP]+", " "),
+    (r" ?\n ?", "\n"),
+    (r"\n{2,}", "P"),
+    (r"[\n ]?P[\nP ]*", "P"),
+    (r"\A | \z", ""),
+]
+
+
 def _op9() -> str:
     known = {L.normalise(s): i for i, group in L.SENTENCES.items() for s in group}
     table = ", ".join(f"({_text(s)}, {_text(i)})" for s, i in sorted(known.items()))
@@ -92,25 +109,39 @@ def _op9() -> str:
         first.setdefault("".join(f"<{i}>" for i in r.sentences), r)
     rules = ", ".join(f"({_text(k)}, {_text(r.license)}, {_text(r.category)})"
                       for k, r in first.items())
-    fold = _FOLD.format(t="s")
-    end = L.SENTENCE_END.replace("\\n", "\n").replace("\\r", "\r").replace("\\t", "\t")
+    cut = _FOLD.format(t="coalesce(text, '')")
+    for pattern, to in _OP9_CUTS:
+        cut = f"regexp_replace({cut}, {_text(pattern)}, {_text(to)}, 'g')"
+    # Every cut is doubled, so that the sentences on both sides have one each.
+    longest = sorted([*known], key=lambda s: (-len(s), s))
+    gap = r"(?: |\n\n)"
+    spdx = gap.join(["spdx", "license", "identifier"]) + gap + r"[^\nP]+"
+    piece = rf"[\nP]({'|'.join(s.replace(' ', gap) for s in longest)}|{spdx}|[^\nP]+)[\nP]"
+    n = len(L.SPDX)
     return f"""with sentence(norm, id) as (values {table}), rule(line, license, category) as (values {rules}),
-parts as (select doc_id, unnest(parts) as s, unnest(range(1, len(parts) + 1)) as p from (
-  select doc_id, string_split_regex(coalesce(text, ''), {_text(end)}) as parts from documents)),
-normal as (select doc_id, p, trim(regexp_replace({fold}, '[^a-z0-9]+', ' ', 'g')) as norm from parts),
-ids as (select doc_id, p, coalesce(id, '') as id from normal left join sentence using (norm)
-  where norm <> ''),
-lines as (select doc_id, string_agg('<' || id || '>', '' order by p) as line,
-  string_agg(id, ',' order by p) filter (id <> '') as sentence_ids from ids group by doc_id
+cuts as (select doc_id, {cut} as t from documents),
+likely as (select doc_id, chr(10) || regexp_replace(t, '([\\nP])', '\\1\\1', 'g') || chr(10) as t from cuts
+  where regexp_matches(translate(t, chr(10) || 'P', '  '), {_text('|'.join([*longest, L.SPDX]))})),
+parts as (select doc_id, unnest(m) as s, unnest(range(1, len(m) + 1)) as p from (
+  select doc_id, regexp_extract_all(t, {_text(piece)}, 1) as m from likely)),
+plain as (select doc_id, p, trim(regexp_replace(s, '\\n\\n', ' ', 'g')) as s from parts),
+named as (select doc_id, p, case when starts_with(s, '{L.SPDX}') and s not in (select norm from sentence)
+  then list_transform(string_split_regex(replace(substr(s, {n + 1}), ' or later', ' orlater'), ' (?:or|and) '),
+    lambda x: '{L.SPDX}' || replace(regexp_replace(x, ' with .*', ''), ' orlater', ' or later'))
+  else [s] end as terms from plain where s <> '' and not regexp_matches(s, {_text(L.NEUTRAL)})),
+normal as (select doc_id, p, unnest(terms) as norm, unnest(range(len(terms))) as q from named),
+ids as (select doc_id, p, q, coalesce(id, '') as id from normal left join sentence using (norm)),
+lines as (select doc_id, string_agg('<' || id || '>', '' order by p, q) as line,
+  string_agg(id, ',' order by p, q) filter (id <> '') as sentence_ids from ids group by doc_id
   having count(*) filter (id <> '') > 0),
 found as (select doc_id, unnest(m) as line, unnest(range(1, len(m) + 1)) as p from (
   select doc_id, regexp_extract_all(line, {_text('(' + '|'.join(first) + ')')}) as m from lines)),
-named as (select doc_id, count(*) as n, string_agg(license, ',' order by p) as licenses,
+licensed as (select doc_id, count(*) as n, string_agg(license, ',' order by p) as licenses,
   array_to_string(list_sort(list(distinct category)), ',') as categories
   from found join rule using (line) group by doc_id)
 select d.doc_id, coalesce(n, 0) as n_licenses, coalesce(l.sentence_ids, '') as sentence_ids,
  coalesce(licenses, '') as licenses, coalesce(categories, '') as categories
-from documents d left join lines l using (doc_id) left join named using (doc_id)"""
+from documents d left join lines l using (doc_id) left join licensed using (doc_id)"""
 
 
 def _nearest(book: str) -> str:
