@@ -2,9 +2,10 @@
 
 Runs each query over ``$BENCH_SF_DIR`` (default /root/testdata/sf0.1) on
 ``local[$BENCH_CPUS]`` and materialises the full result with the ``noop``
-sink (every row computed, nothing collected to the driver). Each query runs
-``$BENCH_REPEAT`` times (default 3) after one warm-up of the whole pipeline;
-the best time counts. Prints one JSON line.
+sink (every row computed, nothing collected to the driver). After one warm-up of
+the whole pipeline all queries run ``$BENCH_REPEAT`` times (default 5), each
+round from another query on, so that no query always follows the same one; the
+best time counts. Prints one JSON line.
 """
 
 from __future__ import annotations
@@ -39,7 +40,7 @@ HEADLINE = [
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
-    repeat = int(os.environ.get("BENCH_REPEAT", "3"))
+    repeat = int(os.environ.get("BENCH_REPEAT", "5"))
     only = os.environ.get("BENCH_QUERIES")
     names = only.split(",") if only else HEADLINE
     spark = build_session(f"local[{cpus}]", shuffle_partitions=cpus * 2,
@@ -52,9 +53,12 @@ def main() -> None:
         return time.perf_counter() - t0
 
     run("ledger_summary")  # warm-up: JVM, class loading, parquet footers
-    times = {}
-    for name in names:
-        times[name] = round(min(run(name) for _ in range(repeat)), 3)
+    best = dict.fromkeys(names, float("inf"))
+    for i in range(repeat):
+        at = i * len(names) // repeat
+        for name in names[at:] + names[:at]:
+            best[name] = min(best[name], run(name))
+    times = {name: round(t, 3) for name, t in best.items()}
     sf = sf_dir.rstrip("/").rsplit("sf", 1)[-1]
     print(json.dumps({
         "metric": "headline_queries_total",

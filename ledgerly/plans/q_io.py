@@ -155,9 +155,7 @@ def receipt_files(spark, sf) -> str:
 def write_extract(spark, raw, target: str | None = None) -> tuple[str, int]:
     """An extract as pipe files (one per year and writing task): folder, number."""
     target = target or scratch_path(spark, "receipt-files")
-    names = write_receipt_files(spark, raw, year_label(), scratch_path(spark, "receipt-staging"),
-                                target)
-    return target, len(names)
+    return target, len(write_receipt_files(spark, raw, year_label(), target))
 
 
 @register("file_provenance", O.with_ctes(
