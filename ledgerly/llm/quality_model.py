@@ -126,14 +126,14 @@ def _clipped(name: str, low: float, high: float) -> Column:
 def fit(measured: DataFrame, labels: DataFrame, *, fit_rows: int = 20_000, trees: int = 30,
         depth: int = 3, penalty: float = 0.002, seed: int = 7) -> RuleEnsemble:
     """Fit on rows of ``labels`` (``doc_id``, ``label`` 0 or 1; rows with a null
-    are left out, of repeated ids one stays) that ``measured`` has statistics
-    for. Labels of one class only, or none at all, give a constant score: the
+    are left out, of a repeated id the least label and the least statistics stay)
+    that ``measured`` has statistics for. Labels of one class only, or none at all, give a constant score: the
     share of ones, or 0.5."""
     wanted = (labels.where("doc_id is not null and label is not null")
               .groupBy("doc_id").agg(F.min("label").cast("double").alias("label")))
     known = measured.where("doc_id is not null").select("doc_id", "__x").join(wanted, "doc_id")
-    rows = stored(known.dropDuplicates(["doc_id"])
-                  .orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "labelled")
+    one = known.groupBy("doc_id").agg(F.min("__x").alias("__x"), F.min("label").alias("label"))
+    rows = stored(one.orderBy(F.xxhash64("doc_id"), "doc_id").limit(fit_rows), "labelled")
     n, ones = rows.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0.0))).first()
     if not 0 < ones < n:
         share = (ones + 0.5) / (n + 1)

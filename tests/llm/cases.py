@@ -160,3 +160,62 @@ def groups(rows, bits=2):
 
 def crc32(text):
     return zlib.crc32((text or "").encode())
+
+
+def votes(text, function_words):
+    """The votes of the eight default quality rules, from plain counts."""
+    text = text or ""
+    found = words(text)
+    lines = [x for x in text.split("\n") if words(x)]
+    n = len(found)
+
+    def share(part, whole):
+        return part / whole if whole else None
+
+    def vote(value, good, bad):
+        if value is None:
+            return 0
+        if good > bad:
+            return 1 if value >= good else -1 if value <= bad else 0
+        return 1 if value <= good else -1 if value >= bad else 0
+
+    _, chars, symbols, dup_lines, repeats = rule_counts(text)
+    upper, letters = (len(re.findall(p, text)) for p in ("[A-Z]", "[A-Za-z]"))
+    lower = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for w in found]
+    mean = share(chars, n)
+    return (vote(n, 60, 20), vote(share(symbols, n), 0.05, 0.25),
+            vote(share(sum(w in set("|-*#<>&=") for w in found), n), 0.02, 0.2),
+            vote(share(dup_lines, len(lines)), 0.1, 0.3), vote(share(repeats, n), 0.1, 0.3),
+            vote(None if mean is None else abs(mean - 6), 3, 5), vote(share(upper, letters), 0.15, 0.4),
+            vote(share(sum(w.encode() in function_words for w in lower), n), 0.12, 0.04))
+
+
+def fitted_by_row(rows, n_rules, rounds=200):
+    """Expectation-maximisation document by document: share, accuracies, posteriors."""
+    share, good, bad = 0.8, [0.8] * n_rules, [0.6] * n_rules
+
+    def posterior(found):
+        a, b = share, 1 - share
+        for r, v in enumerate(found):
+            a *= 1 if not v else good[r] if v > 0 else 1 - good[r]
+            b *= 1 if not v else bad[r] if v < 0 else 1 - bad[r]
+        return a / (a + b)
+
+    for _ in range(rounds):
+        post = [posterior(found) for found in rows]
+        share = (sum(post) + 4) / (len(rows) + 5)
+        for r in range(n_rules):
+            voted = [(p, v[r]) for p, v in zip(post, rows, strict=True) if v[r]]
+            good[r] = (sum(p for p, v in voted if v > 0) + 8) / (sum(p for p, _ in voted) + 10)
+            bad[r] = (sum(1 - p for p, v in voted if v < 0) + 3) / (sum(1 - p for p, _ in voted) + 5)
+    return share, good, bad, [posterior(found) for found in rows]
+
+
+def kept_by_hand(texts, function_words):
+    """Probability of being good, and the verdict of the quality rules, per text."""
+    *_, post = fitted_by_row([votes(t, function_words) for t in texts], 8)
+    out = []
+    for text, p in zip(texts, post, strict=True):
+        n, *_, repeats = rule_counts(text)
+        out.append((p, n >= 50 and 100 * repeats <= 50 * n and p >= 0.5))
+    return out

@@ -5,7 +5,7 @@ from tokenizers import Tokenizer
 import corpus_pipeline as P
 from ledgerly.llm import quality_rules as Q
 from ledgerly.llm.queries import VOCABULARY, oracle_sql, queries
-from tests.llm.cases import contamination, crowded, frame, groups, rule_counts, secrets
+from tests.llm.cases import contamination, crowded, frame, groups, kept_by_hand, secrets
 from tests.llm.conftest import SF
 
 
@@ -19,10 +19,8 @@ def mask(text):
 
 
 def test_pipeline_by_brute_force(spark, sf_docs, sf_items):
-    stats = Q.stored_statistics(spark.read.parquet(f"{SF}/documents.parquet"))
-    kept = {r["doc_id"] for r in Q.judge(stats, Q.fit_label_model(stats)).collect() if r["kept"]}
-    assert all(rule_counts(t)[0] >= 50 for d, t in sf_docs if d in kept)
-    rows = [(d, t) for d, t in sf_docs if d in kept]
+    judged = kept_by_hand([t for _, t in sf_docs], Q.FUNCTION_WORDS)
+    rows = [x for x, (_, kept) in zip(sf_docs, judged, strict=True) if kept]
     _, group = groups(rows)
     first = {}
     for (doc, _), g in zip(rows, group, strict=True):

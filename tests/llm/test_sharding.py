@@ -1,5 +1,7 @@
 from collections import defaultdict
 
+from pyspark.sql import functions as F
+
 from ledgerly.llm import sharding
 from ledgerly.llm.queries import op1_histogram_sort
 from tests.llm.cases import crc32, crowded, frame
@@ -29,6 +31,25 @@ def test_query(spark, sf_docs):
         assert r["law"] == "bytes" and r["grown_shard"] is None
 
 
+def test_splitters_by_brute_force(spark, sf_docs):
+    """All rows sorted by key in plain Python: shards are ranges of it, and no
+    row boundary is much nearer to a shard's share of the bytes."""
+    for shards, tolerance in ((8, 0.001), (5, 0.05)):
+        docs = frame(spark, [(i, t, "", "", 0) for i, t in sf_docs])
+        got = sharding.shard_documents(docs, shards, tolerance=tolerance)
+        rows = sorted(got.select(F.xxhash64("text"), F.xxhash64("doc_id", F.lit(1)), "shard", "size").collect())
+        assert [r["shard"] for r in rows] == sorted(r["shard"] for r in rows)
+        below = [0]
+        for r in rows:
+            below.append(below[-1] + r["size"])
+        assert below[-1] == sum(len((t or "").encode()) + 1 for _, t in sf_docs)
+        for i in range(1, shards):
+            target = below[-1] * i / shards
+            cut = below[sum(r["shard"] < i for r in rows)]
+            nearest = min(abs(b - target) for b in below)
+            assert abs(cut - target) <= nearest + tolerance * below[-1] / shards
+
+
 def test_small_groups_stay_whole(spark):
     rows = [(i, f"text {i // 3} " + "x" * 40, "en", "s", 1) for i in range(3000)]
     got = sharding.shard_documents(frame(spark, rows), 8, tolerance=0.02).collect()
