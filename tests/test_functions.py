@@ -102,3 +102,18 @@ def test_pick_column_and_typed_equality(spark):
 def test_posting_description(spark, kind, desc, aux, expected):
     df = spark.createDataFrame([(kind, desc, aux)], "k string, d string, a string")
     assert df.select(posting_description("k", "d", F.col("a"))).first()[0] == expected
+
+
+def test_wide_projections_are_split_for_the_compiler(spark, layers):
+    from ledgerly.session import compiled_methods
+    key = "spark.sql.codegen.hugeMethodLimit"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.set(key, "65535")
+        assert layers.raw.count() and compiled_methods(spark) is None
+        assert spark.conf.get(key) == "8000"
+        spark.conf.set(key, "9000")
+        compiled_methods(spark)
+        assert spark.conf.get(key) == "9000"
+    finally:
+        spark.conf.set(key, before)
