@@ -28,9 +28,14 @@ def receipt_field_counts(spark: SparkSession, path: str) -> DataFrame:
     out: ``read_receipts`` pads short lines and cuts long ones without a word, so
     anything but 27 fields deserves a look. Separators inside quotes are text."""
     outside = r'\|(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    value = F.col("value")
+    # The pattern looks at the rest of the line at every separator; a line
+    # without quotes needs only their number.
+    plain = F.length(value) - F.length(F.replace(value, F.lit("|"), F.lit(""))) + 1
+    n_fields = F.when(value.contains('"'), F.size(F.split(value, outside, -1))).otherwise(plain)
     lines = spark.read.text(path).withColumn("SOURCE", file_prefix())
-    return (lines.where(~F.col("value").startswith(RAW.fieldNames()[0] + "|"))
-            .groupBy("SOURCE", F.size(F.split("value", outside, -1)).alias("n_fields"))
+    return (lines.where(~value.startswith(RAW.fieldNames()[0] + "|"))
+            .groupBy("SOURCE", n_fields.alias("n_fields"))
             .agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -59,3 +59,26 @@ def test_a_failed_extract_leaves_no_file(spark):
     with pytest.raises(Exception, match="broken row"):
         write_receipt_files(spark, receipts(spark).coalesce(1).orderBy(number.cast("int")), bad, path)
     assert listed(spark, path) == set()
+
+
+def test_field_counts_with_and_without_quotes(spark):
+    from ledgerly.sources.csv import receipt_field_counts
+    path = scratch_path(spark, "fields")
+    lines = ["", "a", "a|b", "|", 'a|"b|c"|d', 'a|"b|c', 'a"|b"|c|"d', "é||ñ|"]
+    spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.mode("overwrite").text(path)
+    got = {r["n_fields"]: r["n"] for r in receipt_field_counts(spark, path).collect()}
+    outside = r'\|(?=(?:[^"]*"[^"]*")*[^"]*$)'
+    want = spark.createDataFrame([(x,) for x in lines], "value string").groupBy(
+        F.size(F.split("value", outside, -1)).alias("n")).count().collect()
+    assert got == {r[0]: r[1] for r in want}
+
+
+def test_field_counts_search_no_pattern_in_plain_lines(spark):
+    """The pattern reads the rest of the line at every separator."""
+    import time
+    from ledgerly.sources.csv import receipt_field_counts
+    path = scratch_path(spark, "fields")
+    spark.createDataFrame([("|" * 60_000,)], "value string").write.mode("overwrite").text(path)
+    t0 = time.monotonic()
+    assert [r["n_fields"] for r in receipt_field_counts(spark, path).collect()] == [60_001]
+    assert time.monotonic() - t0 < 8
