@@ -57,6 +57,7 @@ class _LabelledFilesWriter(DataSourceArrowWriter):
     def write(self, iterator: Iterator) -> WriterCommitMessage:
         """A file is written under a hidden name and renamed when it is whole, so
         no reader sees half a file. A repeated task writes the same names again."""
+        from pyarrow.compute import run_end_encode
         task = TaskContext.get()
         fs, folder = _shared_folder(self.folder)
         label = out = None
@@ -67,13 +68,17 @@ class _LabelledFilesWriter(DataSourceArrowWriter):
                 fs.move(hidden, f"{folder}/{quote(label, safe=' ')}_{self.stamp}-{task.partitionId():05d}{SUFFIX}")
 
         for batch in iterator:
-            for here, line in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            runs = run_end_encode(batch.column(0))
+            start = 0
+            for here, end in zip(runs.values.to_pylist(), runs.run_ends.to_pylist(), strict=True):
                 if here != label:
                     finish()
                     label, hidden = here, f"{folder}/_{self.stamp}-{task.taskAttemptId()}"
                     out = fs.open_output_stream(hidden)
                     out.write(f"{self.header}\n".encode())
-                out.write(f"{line}\n".encode())
+                lines = batch.column(1).slice(start, end - start).to_pylist()
+                out.write("\n".join([*lines, ""]).encode())
+                start = end
         finish()
         return WriterCommitMessage()
 
