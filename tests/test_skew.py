@@ -47,3 +47,18 @@ def test_hot_key_is_dealt_to_many_tasks(spark):
         for k, v in old.items():
             spark.conf.set(k, v)
     assert sum(sizes) == 6000 and max(sizes) < 3 * 6000 / 32
+
+
+def test_a_chain_of_salted_joins_computes_each_link_once(spark):
+    large, small = (df.withColumnRenamed("key.name", "name") for df in sides(spark))
+    computed = spark.sparkContext.accumulator(0)
+
+    def seen(batches):
+        for b in batches:
+            computed.add(len(b))
+            yield b
+
+    once = large.mapInPandas(seen, large.schema)
+    first = salted_join(once, small.drop("part"), ["name"], ["row"], "left", share=0.02)
+    salted_join(first, small.select("part").distinct(), ["part"], ["row"], share=0.02).count()
+    assert computed.value == 6000
