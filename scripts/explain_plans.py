@@ -29,9 +29,8 @@ NOTES = {
                        "partitioning on the id, so the dedup adds no exchange.",
     "case_sample": "WindowGroupLimit appears before the exchange: at most n rows per case "
                    "leave each map task, so a huge case never lands whole in one task.",
-    "snapshot_changes": "One HashAggregate over whole rows nets the two snapshots (unchanged "
-                        "rows cancel map-side); the key classification aggregates only the "
-                        "changed rows and joins back many-to-one.",
+    "snapshot_changes": "Both snapshots are exchanged once, by key; windows over one sort by key "
+                        "and digest net the rows and classify them by what their key has.",
     "unmatched_events": "The reject report reuses the broadcast joins as outer joins: one "
                         "scan, reason read from the first join that found nothing.",
     "upsert_by_key": "left_anti on the key plus a union; the duplicate-key check is a "
