@@ -1,7 +1,6 @@
 """What the profiles, diffs and stored layers exchange, and that they stay exact."""
 
-
-
+from ledgerly.operators.changes import snapshot_changes
 
 SCHEMA = "k string, v string, w int"
 
@@ -20,3 +19,11 @@ CHANGES = [("a", "1", 1, "delete")] * 2 + [("b", "1", 1, "update_preimage")] + [
     ("b", "2", 1, "update_postimage")] * 2 + [
     (None, None, 2, "update_preimage"), (None, None, 3, "update_postimage"),
     ("d", "4", 4, "delete"), ("e", "5", 5, "insert")]
+
+
+def test_digests_first_keep_all_changes(spark):
+    """Rows that differ only in a column the caller does not use are changes too."""
+    old, new = spark.createDataFrame(OLD, SCHEMA), spark.createDataFrame(NEW, SCHEMA)
+    changes = snapshot_changes(old, new, ["k"], digest_first=True)
+    assert rows(changes) == sorted(CHANGES, key=str)
+    assert rows(changes.select("k", "_change_type")) == sorted([(c[0], c[3]) for c in CHANGES], key=str)
