@@ -122,7 +122,7 @@ def publish_layers(layers: Layers, base: str, resume: bool = False) -> dict[str,
             prev["F0"], layers.product_dim, layers.rules.max_broadcast_rows)),
         ("F2_CONT", C.POSTINGS, "f2_cont", lambda prev: postings(prev["F1"], layers.rules)),
         ("PS", C.LEDGER, "ps", lambda prev: ledger(prev["F2_CONT"], prev["F1"],
-                                                   layers.posting_date)),
+                                                   layers.posting_date, short_ids=True)),
     ]
     stored, paths = {}, {}
     for name, contract, sub, build in steps:

@@ -1,6 +1,12 @@
 """What the profiles, diffs and stored layers exchange, and that they stay exact."""
 
+import glob
+
+from pyspark.sql import functions as F
+
+from ledgerly import contracts as C
 from ledgerly.operators.changes import snapshot_changes
+from ledgerly.operators.ledger import LEDGER_EVENT_COLUMNS, LEDGER_POSTING_COLUMNS, ledger, posting_lineage
 
 SCHEMA = "k string, v string, w int"
 
@@ -27,3 +33,24 @@ def test_digests_first_keep_all_changes(spark):
     changes = snapshot_changes(old, new, ["k"], digest_first=True)
     assert rows(changes) == sorted(CHANGES, key=str)
     assert rows(changes.select("k", "_change_type")) == sorted([(c[0], c[3]) for c in CHANGES], key=str)
+
+
+def test_short_ids_join_as_the_ids(spark):
+    ids = ["ab" * 32, "AB" * 32, "ab" * 31, "zz" * 32, "", "é" * 64, None]
+    events = spark.createDataFrame([(i, *[f"{n}"] * len(LEDGER_EVENT_COLUMNS)) for n, i in enumerate(ids + ids)],
+                                   ", ".join(f"{c} string" for c in ["TR_ID_EVNEG", *LEDGER_EVENT_COLUMNS]))
+    events = events.withColumns({c: F.coalesce(F.length("TR_ID_EVNEG").cast("string"), F.lit("-"))
+                                 for c in LEDGER_EVENT_COLUMNS})
+    lines = spark.createDataFrame([(i, *[f"{n}"] * (len(LEDGER_POSTING_COLUMNS) - 1)) for n, i in enumerate(ids + ids)],
+                                  ", ".join(f"{c} string" for c in LEDGER_POSTING_COLUMNS))
+    lines = lines.withColumn("TR_CC_IMP", F.col("TR_CC_IMP").cast(C.MONEY))
+    got, want = (posting_lineage(lines, events, short_ids=s).drop("TR_ID_EVNEG") for s in (True, False))
+    assert rows(got) == rows(want) and got.count() == 12
+    assert rows(ledger(lines, events, "01012024", short_ids=True)) == rows(ledger(lines, events, "01012024"))
+
+
+def test_stored_layers_are_zstd(spark, tmp_path):
+    from ledgerly.sinks import full_refresh
+    schema = C.POSTINGS
+    full_refresh(spark.createDataFrame([], schema), schema, str(tmp_path / "empty"))
+    assert glob.glob(str(tmp_path / "empty" / "*.zstd.parquet"))
