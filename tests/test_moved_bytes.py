@@ -54,3 +54,19 @@ def test_stored_layers_are_zstd(spark, tmp_path):
     schema = C.POSTINGS
     full_refresh(spark.createDataFrame([], schema), schema, str(tmp_path / "empty"))
     assert glob.glob(str(tmp_path / "empty" / "*.zstd.parquet"))
+
+
+def test_bucketed_layers_are_written_without_a_shuffle(spark, layers, tmp_path, monkeypatch):
+    from ledgerly.plans.layers import publish_bucketed_layers, run_pipeline
+    lay = run_pipeline(layers.raw.limit(40).localCheckpoint(), layers.rules, layers.product_dim_raw, "24062024")
+    shuffled = []
+    real = type(lay.raw).repartition
+    monkeypatch.setattr(type(lay.raw), "repartition",
+                        lambda self, *a: shuffled.append(a) or real(self, *a))
+    names = publish_bucketed_layers(lay, str(tmp_path), 4, "moved_bytes")
+    try:
+        assert shuffled == []
+        assert rows(spark.table(names["PS"])) == rows(lay.ledger)
+    finally:
+        for name in names.values():
+            spark.sql(f"drop table {name}")
