@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerly import contracts as C
 from ledgerly.operators.changes import snapshot_changes
+from ledgerly.operators.counts import receipt_key_profile
 from ledgerly.operators.ledger import LEDGER_EVENT_COLUMNS, LEDGER_POSTING_COLUMNS, ledger, posting_lineage
 
 SCHEMA = "k string, v string, w int"
@@ -19,6 +20,15 @@ def rows(df):
     return sorted(map(tuple, df.collect()), key=str)
 
 
+def test_key_profile_reads_once(spark):
+    data = [("a", None, 1), ("a", None, 1), ("a", "1", None), (None, "1", 1), (None, None, None)]
+    df = spark.createDataFrame(data, SCHEMA)
+    profile = receipt_key_profile(df, "k")
+    assert tuple(profile.first()) == (5, 4, 1)
+    assert tuple(receipt_key_profile(df.limit(0), "k").first()) == (0, 0, 0)
+    assert plan(profile).count("Scan ExistingRDD") + plan(profile).count("LocalTableScan") == 1
+
+
 OLD = [("a", "1", 1)] * 3 + [("b", "1", 1), (None, "1", 1), (None, None, 2), ("d", "4", 4), ("f", "1", 1)]
 NEW = [("a", "1", 1)] + [("b", "2", 1)] * 2 + [(None, "1", 1), (None, None, 3), ("e", "5", 5), ("f", "1", 1)]
 CHANGES = [("a", "1", 1, "delete")] * 2 + [("b", "1", 1, "update_preimage")] + [
