@@ -37,6 +37,13 @@ CHANGES = [("a", "1", 1, "delete")] * 2 + [("b", "1", 1, "update_preimage")] + [
     ("d", "4", 4, "delete"), ("e", "5", 5, "insert")]
 
 
+def test_computed_rows_are_exchanged_once(spark):
+    old, new = spark.createDataFrame(OLD, SCHEMA), spark.createDataFrame(NEW, SCHEMA)
+    changes = snapshot_changes(old, new, ["k"])
+    assert sum("Exchange" in line for line in plan(changes).splitlines()) == 1
+    assert rows(changes) == sorted(CHANGES, key=str)
+
+
 def test_digests_first_keep_all_changes(spark):
     """Rows that differ only in a column the caller does not use are changes too."""
     old, new = spark.createDataFrame(OLD, SCHEMA), spark.createDataFrame(NEW, SCHEMA)
